@@ -26,6 +26,9 @@ SNAPSHOT_DELETES = f"{N.CHANGE_TYPE} = '{N.DELETE}'"
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a Parquet table can be read at ``path``; any failure counts as no."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return False
     try:
         return bool(spark.read.parquet(path).columns)
     except AnalysisException:
