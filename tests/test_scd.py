@@ -1,0 +1,180 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tests import feeds
+from tidemark.operators import scd
+from tidemark.operators.skew import with_group_facts
+
+TIES = ("n",)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_scd1_keeps_last_event(spark, seed):
+    events = feeds.random_events(seed)
+    rows = scd.scd1_latest(feeds.frame(spark, events), ["k"], tie_break=TIES)
+    assert feeds.as_scd1(rows) == feeds.expected_scd1(events)
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 50, 1])
+@pytest.mark.parametrize("seed", [3, 4])
+def test_scd2_versions_for_ordinary_and_hot_keys(spark, seed, hot_rows):
+    events = feeds.random_events(seed)
+    rows = scd.scd2_history(feeds.frame(spark, events), ["k"], tie_break=TIES, hot_rows=hot_rows)
+    assert feeds.as_scd2(rows) == feeds.expected_scd2(events)
+
+
+@pytest.mark.parametrize("sequence", ["long", "date", "string", "timestamp_ntz"])
+def test_scd2_on_other_sequence_types(spark, sequence):
+    events = feeds.random_events(5, minutes=4000)
+    frame = feeds.frame(spark, events)
+    value = F.unix_seconds("_raw_commit_timestamp")
+    if sequence == "string":
+        value = F.date_format("_raw_commit_timestamp", "yyyy-MM-dd HH:mm")
+    elif sequence != "long":
+        value = F.col("_raw_commit_timestamp").cast(sequence)
+    frame = frame.withColumn("seq", value)
+    ordinary = scd.scd2_history(frame, ["k"], "seq", tie_break=TIES).collect()
+    hot = scd.scd2_history(frame, ["k"], "seq", tie_break=TIES, hot_rows=20).collect()
+    assert sorted(map(str, ordinary)) == sorted(map(str, hot))
+    assert len(ordinary) > 100 or sequence == "date"
+
+
+events_of_few_keys = st.lists(
+    st.tuples(
+        st.integers(0, 3),
+        st.integers(0, 9),
+        st.sampled_from(["insert", "update", "delete"]),
+        st.integers(0, 8),
+        st.integers(0, 2),
+    ),
+    min_size=1,
+    max_size=40,
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(drawn=events_of_few_keys)
+def test_scd2_invariants(spark, drawn):
+    events = [(*event, number) for number, event in enumerate(drawn)]
+    frame = feeds.frame(spark, events)
+    versions = feeds.as_scd2(scd.scd2_history(frame, ["k"], tie_break=TIES, hot_rows=5))
+    assert versions == feeds.expected_scd2(events)
+    by_key: dict[int, list] = {}
+    for key, _, _, start, end in versions:
+        assert end is None or start < end
+        by_key.setdefault(key, []).append((start, end))
+    for spans in by_key.values():
+        spans.sort()
+        assert sum(end is None for _, end in spans) <= 1
+        for (_, end), (start, _) in zip(spans, spans[1:]):
+            assert end is not None and end <= start
+    open_rows = {(k, v, n) for k, v, n, _, end in versions if end is None}
+    assert open_rows == feeds.as_scd1(scd.scd1_latest(frame, ["k"], tie_break=TIES))
+
+
+def test_result_does_not_depend_on_arrival_order(spark):
+    events = feeds.random_events(6)
+    forward = scd.scd2_history(feeds.frame(spark, events), ["k"]).collect()
+    backward = scd.scd2_history(feeds.frame(spark, events[::-1]).repartition(5), ["k"]).collect()
+    assert sorted(map(str, forward)) == sorted(map(str, backward))
+
+
+def test_copies_of_an_event_count_once(spark):
+    events = [(1, 5, "insert", 0, 0, 0)] * 200 + [(1, 6, "update", 3, 0, 1)] * 200
+    rows = scd.scd2_history(feeds.frame(spark, events), ["k"], hot_rows=10)
+    assert feeds.as_scd2(rows) == {(1, 5, 0, 0, 3), (1, 6, 1, 3, None)}
+
+
+def test_delete_wins_a_tie(spark):
+    events = [(1, 5, "insert", 0, 0, 0), (1, 5, "delete", 4, 0, 1), (1, 6, "update", 4, 0, 2)]
+    frame = feeds.frame(spark, events)
+    assert feeds.as_scd2(scd.scd2_history(frame, ["k"], tie_break=TIES)) == {(1, 5, 0, 0, 4)}
+    assert feeds.as_scd1(scd.scd1_latest(frame, ["k"], tie_break=TIES)) == set()
+
+
+def test_feed_of_deletes_gives_empty_tables(spark):
+    frame = feeds.frame(spark, [(1, 5, "delete", 0, 0, 0), (2, 5, "delete", 1, 0, 1)])
+    assert scd.scd1_latest(frame, ["k"]).count() == 0
+    assert scd.scd2_history(frame, ["k"]).count() == 0
+
+
+def test_null_keys_form_one_key(spark):
+    frame = feeds.frame(spark, feeds.random_events(7, count=60)).withColumn("k", F.lit(None).cast("int"))
+    versions = scd.scd2_history(frame, ["k"], tie_break=TIES, hot_rows=10)
+    assert versions.where("__END_AT is null").count() <= 1
+    view = scd.scd2_view(versions, ["k"], hot_rows=10)
+    assert view.count() == versions.count()
+
+
+def test_event_without_sequence_is_refused(spark):
+    frame = feeds.frame(spark, [(1, 5, "insert", 0, 0, 0)]).withColumn(
+        "_raw_commit_timestamp", F.lit(None).cast("timestamp")
+    )
+    with pytest.raises(PySparkException, match="no _raw_commit_timestamp"):
+        scd.scd2_history(frame, ["k"]).collect()
+
+
+def test_two_sources_with_the_same_key(spark):
+    events = [(1, 5, "insert", 0, 0, 0), (1, 7, "insert", 2, 0, 1)]
+    frame = feeds.frame(spark, events).withColumn(
+        "_source_system", F.when(F.col("n") == 0, "MRI").otherwise("OAH")
+    )
+    assert scd.scd1_latest(frame, ["k"]).count() == 1
+    assert scd.scd1_latest(frame, ["k", "_source_system"]).count() == 2
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 30])
+def test_views(spark, hot_rows):
+    events = feeds.random_events(8)
+    versions = scd.scd2_history(
+        feeds.frame(spark, events).withColumn("business_key", F.concat_ws("|", "k", F.lit("MRI"))),
+        ["k"],
+        tie_break=TIES,
+    )
+    chains = feeds.survivors(events)
+    alive = {key for key, chain in chains.items() if chain[-1][2] != "delete"}
+    expected = feeds.expected_scd2(events)
+    assert alive and alive != set(chains)
+
+    silver = scd.scd2_view(versions, ["k"], hot_rows).collect()
+    assert len(silver) == len(expected)
+    for row in silver:
+        assert row["is_deleted"] == (row["k"] not in alive)
+        assert row["is_current"] == (row["_row_valid_to"] == dt.datetime(9999, 12, 31, 23, 59, 59))
+
+    first = {}
+    last = {}
+    for key, _, _, start, _ in expected:
+        first[key] = min(start, first.get(key, start))
+        last[key] = max(start, last.get(key, start))
+    gold = scd.scd2_dimension(versions, "user_key", ["k", "n"], hot_rows=hot_rows).collect()
+    starts = {n: (key, start, end) for key, _, n, start, end in expected}
+    assert len(gold) == len(expected)
+    for row in gold:
+        key, start, end = starts[row["n"]]
+        begins = dt.datetime(1900, 1, 1) if start == first[key] else feeds.at(start).replace(tzinfo=None)
+        assert row["_row_valid_from"] == begins
+        assert row["is_current"] == (end is None)
+        assert row["is_deleted"] == (key not in alive and start == last[key])
+    keys = {(row["business_key"], row["user_key"]) for row in gold}
+    assert len(keys) == len(first)
+
+
+def test_dimension_names_missing_columns(spark):
+    with pytest.raises(ValueError, match="__START_AT"):
+        scd.scd2_dimension(spark.range(1), "user_key", ["id"])
+
+
+def test_group_facts_of_hot_and_ordinary_groups(spark):
+    frame = feeds.frame(spark, feeds.random_events(9))
+    known = {r["k"]: r["m"] for r in frame.groupBy("k").agg(F.max("v").alias("m")).collect()}
+    rows = with_group_facts(frame, ["k"], 40, top=F.max("v")).collect()
+    assert len(rows) == frame.count()
+    assert all(row["top"] == known[row["k"]] for row in rows)

@@ -19,7 +19,7 @@ from tidemark.operators.skew import HOT_ROWS, hot_keys, with_group_facts
 
 DELETES = f"{N.RAW_CHANGE_TYPE} = '{N.DELETE}'"
 
-_IS_DELETE = "_is_delete"
+IS_DELETE = "_is_delete"
 _RANK = "_rank_hash"
 _SLICE = "_slice"
 _MARKER = "_marker"
@@ -35,7 +35,7 @@ def scd1_latest(
 ) -> DataFrame:
     """Type 1: the last event of each key; a key whose last event is a delete is absent."""
     events, order = _ordered(changes, sequence_by, deletes, tie_break)
-    return _last(events, keys, order).where(~F.col(_IS_DELETE)).select(*changes.columns)
+    return last_events(events, keys, order).where(~F.col(IS_DELETE)).select(*changes.columns)
 
 
 def scd2_history(
@@ -48,7 +48,7 @@ def scd2_history(
 ) -> DataFrame:
     """Type 2: each event but a delete opens a version, the next event of the key closes it."""
     intervals = event_intervals(changes, keys, sequence_by, deletes, tie_break, hot_rows)
-    return intervals.where(~F.col(_IS_DELETE)).drop(_IS_DELETE)
+    return intervals.where(~F.col(IS_DELETE)).drop(IS_DELETE)
 
 
 def scd1_events(
@@ -60,7 +60,7 @@ def scd1_events(
 ) -> DataFrame:
     """The last event of each key, deletes included and flagged in ``_is_delete``."""
     events, order = _ordered(changes, sequence_by, deletes, tie_break)
-    return _last(events, keys, order).select(*changes.columns, _IS_DELETE)
+    return last_events(events, keys, order).select(*changes.columns, IS_DELETE)
 
 
 def event_intervals(
@@ -79,12 +79,12 @@ def event_intervals(
     keys = list(keys)
     events, order = _ordered(changes, sequence_by, deletes, tie_break)
     hot = hot_keys(events, keys, hot_rows)
-    columns = [*changes.columns, _IS_DELETE, _NEXT]
+    columns = [*changes.columns, IS_DELETE, _NEXT]
 
     ordinary = _with_next(events.join(hot, keys, "left_anti"), keys, order, sequence_by)
     # Events at the same point collapse first, on the map side, so that a slice stays small even
     # where one event was copied many times.
-    points = _last(events.join(hot, keys, "left_semi"), [*keys, sequence_by], order)
+    points = last_events(events.join(hot, keys, "left_semi"), [*keys, sequence_by], order)
     sliced = points.withColumn(_SLICE, _slice(points, sequence_by)).withColumn(_MARKER, F.lit(False))
     in_time = Window.partitionBy(*keys).orderBy(_SLICE)
     markers = (
@@ -101,7 +101,7 @@ def event_intervals(
     every = ordinary.select(columns).unionByName(spread.where(~F.col(_MARKER)).select(columns))
     return every.select(
         *changes.columns,
-        _IS_DELETE,
+        IS_DELETE,
         F.col(sequence_by).alias(N.START_AT),
         F.col(_NEXT).alias(N.END_AT),
     )
@@ -175,17 +175,17 @@ def _ordered(
     )
     added = {
         sequence_by: sequence,
-        _IS_DELETE: F.coalesce(F.expr(deletes), F.lit(False)),
+        IS_DELETE: F.coalesce(F.expr(deletes), F.lit(False)),
     }
     ties = list(tie_break)
     if not ties:
         added[_RANK] = F.xxhash64(*changes.columns)
         ties = [_RANK]
     version = [N.RAW_COMMIT_VERSION] if N.RAW_COMMIT_VERSION in changes.columns else []
-    return changes.withColumns(added), [sequence_by, *version, _IS_DELETE, *ties]
+    return changes.withColumns(added), [sequence_by, *version, IS_DELETE, *ties]
 
 
-def _last(events: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def last_events(events: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last event per key. Map tasks keep one row per key each before anything is shuffled."""
     latest_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
     return events.withColumn("_rn", F.row_number().over(latest_first)).where("_rn = 1").drop("_rn")

@@ -12,14 +12,15 @@ from pyspark.sql import functions as F
 
 from tidemark import names as N
 from tidemark.operators.ingest import Load, ingest
-from tidemark.operators.scd import current_rows, scd2_view
+from tidemark.operators.scd import scd2_view
 from tidemark.plans import gold
 from tidemark.plans.silver import ENTITIES, Entity, clean
 from tidemark.sources.changelog import ChangeLog
 from tidemark.sources.feeds import Feed
 from tidemark.sources.streams import stream_path
-from tidemark.streaming import ledger
+from tidemark.streaming import history
 from tidemark.streaming.bronze import bronze_rows, write_bronze
+from tidemark.streaming.ledger import append_changes
 from tidemark.streaming.triggered import finish
 
 CONCURRENT_FEEDS = 3
@@ -88,7 +89,6 @@ def refresh_silver(
     layout: Layout,
     entities: Iterable[Entity] = tuple(ENTITIES.values()),
     silver_time: Column | None = None,
-    buckets: int = ledger.BUCKETS,
     limit: int = CONCURRENT_FEEDS,
 ) -> None:
     """Clean new bronze rows of every entity and apply them to its type 1 or type 2 table."""
@@ -97,12 +97,11 @@ def refresh_silver(
         events = layout.table("ledger", entity.name)
         target = layout.table("silver", entity.name)
         rows = clean(stream_path(spark, layout.table("bronze", entity.source)), entity, silver_time)
-        checkpoint = layout.checkpoint("silver", entity.name)
-        finish(ledger.append_changes(rows, events, entity.keys, checkpoint, buckets))
-        refresh = ledger.refresh_scd1 if entity.scd_type == 1 else ledger.refresh_scd2
+        finish(append_changes(rows, events, layout.checkpoint("silver", entity.name)))
+        refresh = history.refresh_scd1 if entity.scd_type == 1 else history.refresh_scd2
         refresh(spark, events, target, entity.keys)
         if entity.presented:
-            view = scd2_view(ledger.read_target(spark, target), entity.keys)
+            view = scd2_view(history.read_scd2(spark, target, entity.keys), entity.keys)
             view.write.mode("overwrite").parquet(layout.table("silver", f"{entity.name}_scd2"))
 
     in_parallel(spark, [lambda entity=entity: run(entity) for entity in entities], limit)
@@ -110,13 +109,10 @@ def refresh_silver(
 
 def current(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     """Current rows of a silver entity."""
-    rows = ledger.read_target(spark, layout.table("silver", name))
-    return current_rows(rows) if ENTITIES[name].scd_type == 2 else rows
+    return history.read_current(spark, layout.table("silver", name))
 
 
-def refresh_gold(
-    spark: SparkSession, layout: Layout, buckets: int = ledger.BUCKETS, limit: int = CONCURRENT_FEEDS
-) -> None:
+def refresh_gold(spark: SparkSession, layout: Layout, limit: int = CONCURRENT_FEEDS) -> None:
     """Rewrite the dimensions from the current rows, then bring the order fact up to date."""
 
     def of(name: str) -> DataFrame:
@@ -139,15 +135,11 @@ def refresh_gold(
 
     orders = stream_path(spark, layout.table("bronze", ENTITIES["order"].source))
     customers = spark.read.parquet(layout.table("gold", "dim_customer"))
-    refresh_fact_order(spark, clean(orders, ENTITIES["order"]), customers, layout, buckets)
+    refresh_fact_order(spark, clean(orders, ENTITIES["order"]), customers, layout)
 
 
 def refresh_fact_order(
-    spark: SparkSession,
-    orders: DataFrame,
-    customers: DataFrame,
-    layout: Layout,
-    buckets: int = ledger.BUCKETS,
+    spark: SparkSession, orders: DataFrame, customers: DataFrame, layout: Layout
 ) -> None:
     """Join a stream of cleaned orders to the customer dimension and upsert the result by order.
 
@@ -156,10 +148,9 @@ def refresh_fact_order(
     """
     facts = gold.fact_order(orders, customers, *RAW_COLUMNS)
     events, state = layout.table("ledger", "fact_order"), layout.table("state", "fact_order")
-    checkpoint = layout.checkpoint("gold", "fact_order")
-    finish(ledger.append_changes(facts, events, ["order_key"], checkpoint, buckets))
-    ledger.refresh_scd1(spark, events, state, ["order_key"])
-    write_fact(ledger.read_target(spark, state), layout.table("gold", "fact_order"))
+    finish(append_changes(facts, events, layout.checkpoint("gold", "fact_order")))
+    if history.refresh_scd1(spark, events, state, ["order_key"]):
+        write_fact(history.read_scd1(spark, state), layout.table("gold", "fact_order"))
 
 
 def write_fact(facts: DataFrame, path: str) -> None:
@@ -184,14 +175,13 @@ def run_pipeline(
     feeds: Sequence[Feed],
     layout: Layout,
     run_time: Column | None = None,
-    buckets: int = ledger.BUCKETS,
     limit: int = CONCURRENT_FEEDS,
 ) -> dict[str, Load | None]:
     """One triggered refresh of everything; returns what was ingested."""
     loads = ingest_all(spark, feeds, run_time, limit)
     refresh_bronze(spark, feeds, layout, limit)
-    refresh_silver(spark, layout, silver_time=run_time, buckets=buckets, limit=limit)
-    refresh_gold(spark, layout, buckets, limit)
+    refresh_silver(spark, layout, silver_time=run_time, limit=limit)
+    refresh_gold(spark, layout, limit)
     return loads
 
 
@@ -201,9 +191,12 @@ def layer_counts(spark: SparkSession, layout: Layout, feeds: Sequence[Feed]) ->
     tables += [
         ("bronze", feed.table, spark.read.parquet(layout.table("bronze", feed.table))) for feed in feeds
     ]
-    tables += [
-        ("silver", name, ledger.read_target(spark, layout.table("silver", name))) for name in ENTITIES
-    ]
+    for name, entity in ENTITIES.items():
+        place = layout.table("silver", name)
+        kept = history.read_scd1(spark, place)
+        if entity.scd_type == 2:
+            kept = history.read_scd2(spark, place, entity.keys)
+        tables.append(("silver", name, kept))
     names = ["dim_customer", "dim_nation", "dim_region", "dim_supplier", "dim_part"]
     names += ["dim_part_supplier", "dim_date", "fact_order"]
     tables += [("gold", name, spark.read.parquet(layout.table("gold", name))) for name in names]

@@ -1,146 +1,41 @@
-"""Keyed upserts from a stream of changes, whatever order they arrive in.
+"""Landing place of a stream of keyed changes.
 
-A stream only appends: each micro-batch becomes its own partition of an event ledger, so a batch that
-is run again replaces itself, and its cost does not depend on how much is already there. The ledger is
-split into key buckets. ``refresh_scd1`` and ``refresh_scd2`` recompute the buckets that got new events
-since their last refresh and replace those partitions of the target; they read the ledger only, so an
-interrupted refresh is repaired by the next one. Refresh when the stream has stopped without an error.
-Deletes stay in the ledger, so a late older event cannot revive a key, and flagged in the target, so no
-bucket of it ever becomes empty; ``read_target`` hides them.
+A stream only appends: each micro-batch becomes its own partition, so a batch that is run again
+replaces itself, and its cost does not depend on how much is already there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark import names as N
-from tidemark.operators.scd import DELETES, event_intervals, scd1_events
-from tidemark.operators.skew import HOT_ROWS
-from tidemark.sources.changelog import table_exists
 from tidemark.streaming.triggered import start
 
-BUCKETS = 64
-
-_BATCH = "_batch_id"
-_BUCKET = "_bucket"
-_REFRESHED = "_refreshed_batch"
-_IS_DELETE = "_is_delete"
+BATCH = "_batch_id"
 
 
 def append_changes(
-    changes: DataFrame,
-    ledger: str,
-    keys: Sequence[str],
-    checkpoint: str,
-    buckets: int = BUCKETS,
-    interval: str | None = None,
+    changes: DataFrame, ledger: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
-    """Append a stream of changes to a ledger with ``buckets`` key buckets.
-
-    The number of buckets must stay the same over the life of a ledger.
-    """
-    write = partial(_write_batch, ledger=ledger, keys=list(keys), buckets=buckets)
+    """Append a stream of changes to a ledger; the ledger and the checkpoint belong together."""
+    write = partial(_write_batch, ledger=ledger)
     return start(changes.writeStream.foreachBatch(write), checkpoint, interval)
 
 
-def _write_batch(
-    batch: DataFrame, batch_id: int, ledger: str, keys: Sequence[str], buckets: int
-) -> None:
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+def _write_batch(batch: DataFrame, batch_id: int, ledger: str) -> None:
     (
-        batch.withColumn(_BATCH, F.lit(batch_id).cast("long"))
-        .withColumn(_BUCKET, bucket)
-        # Few files per bucket; adaptive execution splits a bucket that a hot key has made large.
-        .hint("rebalance", _BUCKET)
+        batch.withColumn(BATCH, F.lit(batch_id).cast("long"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(_BUCKET, _BATCH)
+        .partitionBy(BATCH)
         .parquet(ledger)
     )
 
 
-def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
-    """All events, with the columns of all batches."""
-    return spark.read.option("mergeSchema", "true").parquet(ledger)
-
-
-def refresh_scd1(
-    spark: SparkSession,
-    ledger: str,
-    target: str,
-    keys: Sequence[str],
-    sequence_by: str = N.RAW_COMMIT_TIMESTAMP,
-    deletes: str = DELETES,
-    tie_break: Sequence[str] = (),
-) -> int:
-    """Bring a type 1 table up to date with its ledger; returns the buckets rewritten."""
-    last = partial(
-        scd1_events, keys=keys, sequence_by=sequence_by, deletes=deletes, tie_break=tie_break
-    )
-    return _refresh(spark, ledger, target, last)
-
-
-def refresh_scd2(
-    spark: SparkSession,
-    ledger: str,
-    target: str,
-    keys: Sequence[str],
-    sequence_by: str = N.RAW_COMMIT_TIMESTAMP,
-    deletes: str = DELETES,
-    tie_break: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
-) -> int:
-    """Bring a type 2 table up to date with its ledger; returns the buckets rewritten."""
-    intervals = partial(
-        event_intervals,
-        keys=keys,
-        sequence_by=sequence_by,
-        deletes=deletes,
-        tie_break=tie_break,
-        hot_rows=hot_rows,
-    )
-    return _refresh(spark, ledger, target, intervals)
-
-
-def read_target(spark: SparkSession, target: str) -> DataFrame:
-    """Rows of a refreshed table, without deletes and bookkeeping."""
-    rows = spark.read.option("mergeSchema", "true").parquet(target)
-    return rows.where(~F.col(_IS_DELETE)).drop(_IS_DELETE, _BUCKET, _REFRESHED)
-
-
-def _refresh(
-    spark: SparkSession, ledger: str, target: str, apply: Callable[[DataFrame], DataFrame]
-) -> int:
-    events = read_ledger(spark, ledger)
-    stale = _stale_buckets(spark, events, target)
-    if not stale:
-        return 0
-    newest = max(stale.values())
-    touched = events.where(F.col(_BUCKET).isin(list(stale)))
-    # The bucket follows from the key, so it travels with the rows as a plain column.
-    (
-        apply(touched.drop(_BATCH))
-        .withColumn(_REFRESHED, F.lit(newest).cast("long"))
-        .hint("rebalance", _BUCKET)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(_BUCKET)
-        .parquet(target)
-    )
-    return len(stale)
-
-
-def _stale_buckets(spark: SparkSession, events: DataFrame, target: str) -> dict[int, int]:
-    """Buckets with events newer than the target, and their newest batch. At most one row per bucket."""
-    arrived = events.groupBy(_BUCKET).agg(F.max(_BATCH).alias("newest"))
-    if table_exists(spark, target):
-        done = spark.read.parquet(target).groupBy(_BUCKET).agg(F.min(_REFRESHED).alias("done"))
-        arrived = arrived.join(done, _BUCKET, "left").where(
-            F.col("done").isNull() | (F.col("newest") > F.col("done"))
-        )
-    return {row[_BUCKET]: row["newest"] for row in arrived.collect()}
+def read_ledger(spark: SparkSession, ledger: str, after: int = -1) -> DataFrame:
+    """Events of the micro-batches after ``after``, with the columns of all batches."""
+    events = spark.read.option("mergeSchema", "true").parquet(ledger)
+    return events.where(F.col(BATCH) > after)

@@ -17,7 +17,8 @@ from tidemark.plans.silver import ENTITIES, clean
 from tidemark.session import work_folder
 from tidemark.sources import changelog, feeds
 from tidemark.sources.streams import stream_path, stream_table
-from tidemark.streaming import bronze, ledger
+from tidemark.streaming import bronze, history
+from tidemark.streaming.ledger import append_changes
 from tidemark.streaming.triggered import finish, start
 from workloads import inputs as I
 
@@ -26,7 +27,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 WINDOW_START, WINDOW_END = 5, 19
 SNAPSHOT_VERSION = 14
 MICRO_BATCHES = 4
-BUCKETS = 4
 SECOND_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 # The two configured source systems and their tables.
@@ -313,19 +313,25 @@ def _shuffled_stream(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
 def scd1_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_folder(spark, "scd1")
     stream = _shuffled_stream(spark, sf_dir, root)
-    events, target = f"{root}/ledger", f"{root}/users"
-    finish(ledger.append_changes(stream, events, I.USER_KEYS, f"{root}/checkpoint", BUCKETS))
-    ledger.refresh_scd1(spark, events, target, I.USER_KEYS, tie_break=("event_id",))
-    return ledger.read_target(spark, target)
+    finish(append_changes(stream, f"{root}/ledger", f"{root}/checkpoint"))
+    history.refresh_scd1(spark, f"{root}/ledger", f"{root}/users", I.USER_KEYS, tie_break=("event_id",))
+    return history.read_scd1(spark, f"{root}/users")
 
 
 def scd2_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three refreshes: some days, the days after them in order, and last the days before, too late."""
     root = work_folder(spark, "scd2")
-    stream = _shuffled_stream(spark, sf_dir, root)
-    events, target = f"{root}/ledger", f"{root}/users"
-    finish(ledger.append_changes(stream, events, I.USER_KEYS, f"{root}/checkpoint", BUCKETS))
-    ledger.refresh_scd2(spark, events, target, I.USER_KEYS, tie_break=("event_id",))
-    return ledger.read_target(spark, target)
+    changes = I.user_changes(I.user_feed(spark, sf_dir))
+    version = F.col(N.RAW_COMMIT_VERSION)
+    middle = version.between(WINDOW_START, WINDOW_END)
+    for arrived in (middle, version > WINDOW_END, version < WINDOW_START):
+        changes.where(arrived).write.mode("append").parquet(f"{root}/changes")
+        stream = stream_path(spark, f"{root}/changes")
+        finish(append_changes(stream, f"{root}/ledger", f"{root}/checkpoint"))
+        history.refresh_scd2(
+            spark, f"{root}/ledger", f"{root}/users", I.USER_KEYS, tie_break=("event_id",)
+        )
+    return history.read_scd2(spark, f"{root}/users", I.USER_KEYS)
 
 
 # --- star schema ----------------------------------------------------------------------------------
@@ -380,7 +386,7 @@ def fact_order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     I.bronze_rows(spark, sf_dir, "order").write.parquet(bronze_path)
     clean(stream_path(spark, bronze_path), ENTITIES["order"]).createOrReplaceTempView("slv_order_stream")
     orders = spark.sql("SELECT * FROM slv_order_stream")
-    pipeline.refresh_fact_order(spark, orders, dim_customer(spark, sf_dir), layout, BUCKETS)
+    pipeline.refresh_fact_order(spark, orders, dim_customer(spark, sf_dir), layout)
     return spark.read.parquet(layout.table("gold", "fact_order"))
 
 
@@ -391,7 +397,7 @@ def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_business_logs(spark, sf_dir, found)
     pipeline.ingest_all(spark, found, I.moment(I.RUN_TIME))
     layout = pipeline.Layout(root)
-    pipeline.run_pipeline(spark, found, layout, I.moment(I.RUN_TIME), BUCKETS)
+    pipeline.run_pipeline(spark, found, layout, I.moment(I.RUN_TIME))
     return pipeline.layer_counts(spark, layout, found)
 
 
