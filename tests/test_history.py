@@ -28,7 +28,7 @@ def parts_of(events, order):
         events = random.Random(0).sample(events, len(events))
     else:
         events = sorted(events, key=lambda e: e[3], reverse=order == "backwards")
-    size = len(events) // 4 + 1
+    size = len(events) // 3 + 1
     return [events[i : i + size] for i in range(0, len(events), size)]
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -17,6 +18,10 @@ def work_folder(spark: SparkSession, name: str) -> str:
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors reach")
-        shared = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
