@@ -13,6 +13,7 @@ from tidemark.plans import pipeline
 from tidemark.session import work_folder
 from tidemark.sources import changelog, feeds
 from tidemark.sources.changelog import ChangeLog
+from tidemark.sources.storage import table_exists
 
 ON = '{"%s":"TRUE"}' % N.FEED_PROPERTY
 OFF = '{"%s":"false"}' % N.FEED_PROPERTY
@@ -145,7 +146,7 @@ def test_empty_first_load_goes_on_from_the_feed(spark, folder):
     target = f"{folder}/raw"
     first = ingest.ingest(log, target, "MRI", F.lit("2024-03-01").cast("timestamp"))
     assert (first.kind, first.rows) == ("initial", 0)
-    assert changelog.table_exists(spark, target)
+    assert table_exists(spark, target)
     assert ingest.last_processed_version(spark, target) is None
     second = ingest.ingest(log, target, "MRI")
     assert (second.kind, second.start, second.rows) == ("incremental", 3, 2)

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tidemark import names as N
 from tidemark.operators.normalize import add_run_metadata, normalize_changes, tag_snapshot
-from tidemark.sources.changelog import ChangeLog, table_exists
+from tidemark.sources.changelog import ChangeLog
+from tidemark.sources.storage import table_exists
 
 
 @dataclass(frozen=True)

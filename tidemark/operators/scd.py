@@ -44,7 +44,7 @@ def scd2_history(
     sequence_by: str = N.RAW_COMMIT_TIMESTAMP,
     deletes: str = DELETES,
     tie_break: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Type 2: each event but a delete opens a version, the next event of the key closes it."""
     intervals = event_intervals(changes, keys, sequence_by, deletes, tie_break, hot_rows)
@@ -69,15 +69,20 @@ def event_intervals(
     sequence_by: str = N.RAW_COMMIT_TIMESTAMP,
     deletes: str = DELETES,
     tie_break: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """All effective events with ``__START_AT`` and ``__END_AT``, deletes included and flagged.
 
     One shuffle and one sort by key serve ordinary keys. The events of a hot key are spread over
-    time slices; each slice learns from a marker row where the next one begins.
+    time slices; each slice learns from a marker row where the next one begins. ``hot_rows`` None says
+    that no key is hot.
     """
     keys = list(keys)
     events, order = _ordered(changes, sequence_by, deletes, tie_break)
+    bounds = [F.col(sequence_by).alias(N.START_AT), F.col(_NEXT).alias(N.END_AT)]
+    if hot_rows is None:
+        stamped = _with_next(events, keys, order, sequence_by)
+        return stamped.select(*changes.columns, IS_DELETE, *bounds)
     hot = hot_keys(events, keys, hot_rows)
     columns = [*changes.columns, IS_DELETE, _NEXT]
 
@@ -99,12 +104,7 @@ def event_intervals(
     spread = _with_next(marked, [*keys, _SLICE], [sequence_by, _MARKER], sequence_by)
 
     every = ordinary.select(columns).unionByName(spread.where(~F.col(_MARKER)).select(columns))
-    return every.select(
-        *changes.columns,
-        IS_DELETE,
-        F.col(sequence_by).alias(N.START_AT),
-        F.col(_NEXT).alias(N.END_AT),
-    )
+    return every.select(*changes.columns, IS_DELETE, *bounds)
 
 
 def scd2_view(versions: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -11,30 +11,19 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark import names as N
 from tidemark.operators.scd import scd1_latest
+from tidemark.sources.storage import table_exists
 
 FEED_COLUMNS = (N.CHANGE_TYPE, N.COMMIT_VERSION, N.COMMIT_TIMESTAMP)
 _POSITION = "_position"
 SNAPSHOT_DELETES = f"{N.CHANGE_TYPE} = '{N.DELETE}'"
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a Parquet table can be read at ``path``; any failure counts as no."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return False
-    try:
-        return bool(spark.read.parquet(path).columns)
-    except AnalysisException:
-        return False
-
-
 def changes_between(log: DataFrame, start: int, end: int) -> DataFrame:
     """Changes of the versions ``start`` to ``end``, both included."""
     return log.where(F.col(N.COMMIT_VERSION).between(start, end))

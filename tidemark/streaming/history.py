@@ -25,14 +25,15 @@ from pyspark.sql import functions as F
 from tidemark import names as N
 from tidemark.operators.scd import DELETES, IS_DELETE, event_intervals, last_events, scd1_events
 from tidemark.operators.skew import HOT_ROWS
-from tidemark.sources.changelog import table_exists
-from tidemark.streaming.ledger import BATCH, read_ledger
+from tidemark.sources.storage import path_exists
+from tidemark.streaming.ledger import pending_batches, read_batches
 
 _REFRESH = "_refresh"
 _LATE = "_late"
 _OPEN = "_open"
 _FROM = "_from"
 _LAST_START = "_last_start"
+_ROWS = "_rows"
 _LOG_SCHEMA = "refresh long, last_batch long, has_late boolean"
 
 
@@ -49,7 +50,7 @@ class _Table:
     @classmethod
     def open(cls, spark: SparkSession, root: str) -> _Table:
         log = f"{root}/refreshes"
-        if not table_exists(spark, log):
+        if not path_exists(spark, log):
             return cls(spark, root, 0, -1, False)
         done = spark.read.schema(_LOG_SCHEMA).parquet(log)
         row = done.agg(F.max("refresh"), F.max("last_batch"), F.max("has_late")).first()
@@ -74,7 +75,11 @@ class _Table:
         """All events that have an end, each as last written; None before the first refresh."""
         if not self.refresh:
             return None
-        events = self.spark.read.option("mergeSchema", "true").parquet(self.events_path)
+        # The last events have every column so far; naming them spares a look into all files.
+        schema = f"{_REFRESH} long, {_LATE} int, {_OPEN} int"
+        for field in self.latest().schema:
+            schema += f", `{field.name}` {field.dataType.simpleString()}"
+        events = self.spark.read.schema(schema).parquet(self.events_path)
         return events.where((F.col(_REFRESH) <= self.refresh) & (F.col(_OPEN) == 0))
 
     def finish(self, last_batch: int, late: bool) -> None:
@@ -96,7 +101,7 @@ def refresh_scd1(
 ) -> bool:
     """Apply what is new in the ledger to a type 1 table; False when nothing was."""
     table, new, newest = _pending(spark, ledger, root)
-    if newest is None:
+    if new is None:
         return False
     touched = _write_touched(table, new, keys, sequence_by)
     moved, kept = _split_latest(table, touched, keys)
@@ -119,21 +124,27 @@ def refresh_scd2(
 ) -> bool:
     """Apply what is new in the ledger to a type 2 table; False when nothing was."""
     table, new, newest = _pending(spark, ledger, root)
-    if newest is None:
+    if new is None:
         return False
     keys = list(keys)
     touched = _write_touched(table, new, keys, sequence_by)
     moved, kept = _split_latest(table, touched, keys)
-    late = touched.where(F.col(_FROM) < F.col(_LAST_START))
-    oldest = late.agg(F.min(_FROM).alias(_FROM)).first()[_FROM]
-
-    def intervals(events: DataFrame) -> DataFrame:
+    is_late = F.col(_FROM) < F.col(_LAST_START)
+    late = touched.where(is_late)
+    found = touched.agg(
+        F.min(F.when(is_late, F.col(_FROM))).alias("oldest"), F.max(_ROWS).alias("most")
+    ).first()
+    oldest = found["oldest"]
+    # Hot keys are looked for only where a key has that many events.
+    split_above = hot_rows if found["most"] >= hot_rows else None
+
+    def intervals(events: DataFrame, split_above: int | None) -> DataFrame:
         events = events.drop(IS_DELETE, N.START_AT, N.END_AT)
-        return event_intervals(events, keys, sequence_by, deletes, tie_break, hot_rows)
+        return event_intervals(events, keys, sequence_by, deletes, tie_break, split_above)
 
     active = _together(new, moved)
     if oldest is None:
-        ended = intervals(active).withColumn(_LATE, F.lit(0))
+        ended = intervals(active, split_above).withColumn(_LATE, F.lit(0))
     else:
         late_keys = late.select(*keys)
         # The bound prunes files: versions that ended before it are left unread.
@@ -144,8 +155,8 @@ def refresh_scd2(
             .where(F.col(N.END_AT) > F.col(_FROM))
             .drop(_FROM)
         )
-        on_time = intervals(active.join(late_keys, keys, "left_anti"))
-        redone = intervals(_together(active.join(late_keys, keys, "left_semi"), known))
+        on_time = intervals(active.join(late_keys, keys, "left_anti"), split_above)
+        redone = intervals(_together(active.join(late_keys, keys, "left_semi"), known), hot_rows)
         ended = on_time.withColumn(_LATE, F.lit(0)).unionByName(
             redone.withColumn(_LATE, F.lit(1)), allowMissingColumns=True
         )
@@ -193,11 +204,10 @@ def _pending(
 ) -> tuple[_Table, DataFrame | None, int | None]:
     """The table, the ledger events it has not seen, and the newest batch among them."""
     table = _Table.open(spark, root)
-    if not table_exists(spark, ledger):
+    batches = pending_batches(spark, ledger, table.last_batch)
+    if not batches:
         return table, None, None
-    new = read_ledger(spark, ledger, table.last_batch)
-    newest = new.agg(F.max(BATCH).alias(BATCH)).first()[BATCH]
-    return table, new.drop(BATCH), newest
+    return table, read_batches(spark, ledger, batches), batches[-1]
 
 
 def _write_touched(
@@ -207,7 +217,9 @@ def _write_touched(
 
     Written out, because several joins use it and its size then tells Spark whether to broadcast it.
     """
-    touched = new.groupBy(*keys).agg(F.min(sequence_by).alias(_FROM))
+    touched = new.groupBy(*keys).agg(
+        F.min(sequence_by).alias(_FROM), F.count(F.lit(1)).alias(_ROWS)
+    )
     latest = table.latest()
     if latest is None:
         touched = touched.withColumn(_LAST_START, F.lit(None).cast(touched.schema[_FROM].dataType))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.sources.storage import partition_values
 from tidemark.streaming.triggered import start
 
 BATCH = "_batch_id"
@@ -35,7 +36,12 @@ def _write_batch(batch: DataFrame, batch_id: int, ledger: str) -> None:
     )
 
 
-def read_ledger(spark: SparkSession, ledger: str, after: int = -1) -> DataFrame:
-    """Events of the micro-batches after ``after``, with the columns of all batches."""
-    events = spark.read.option("mergeSchema", "true").parquet(ledger)
-    return events.where(F.col(BATCH) > after)
+def pending_batches(spark: SparkSession, ledger: str, after: int = -1) -> list[int]:
+    """Micro-batches of a ledger that came after ``after``."""
+    return [batch for batch in partition_values(spark, ledger, BATCH) if batch > after]
+
+
+def read_batches(spark: SparkSession, ledger: str, batches: list[int]) -> DataFrame:
+    """Events of these micro-batches, with the columns of all of them; others are not even listed."""
+    folders = [f"{ledger}/{BATCH}={batch}" for batch in batches]
+    return spark.read.option("mergeSchema", "true").parquet(*folders)

@@ -63,18 +63,18 @@ def entity_of(table: str) -> str:
 
 # --- change feed ----------------------------------------------------------------------------------
 
-_LOGS: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple[str, str], str] = {}
 
 
 def user_log(spark: SparkSession, sf_dir: str) -> changelog.ChangeLog:
     """The user feed as a change log on shared storage; written once per application."""
     place = (spark.sparkContext.applicationId, sf_dir)
-    if place not in _LOGS:
+    if place not in _STORED:
         feed = I.user_feed_with_preimages(spark, sf_dir)
         path = work_folder(spark, "user-log")
         changelog.write_commits(feed, I.commit_history(I.user_feed(spark, sf_dir)), path)
-        _LOGS[place] = path
-    return changelog.ChangeLog(spark, _LOGS[place], I.USER_KEYS, ("event_id",))
+        _STORED[place] = path
+    return changelog.ChangeLog(spark, _STORED[place], I.USER_KEYS, ("event_id",))
 
 
 def cdf_range(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,14 +292,23 @@ def scd2_history_tied(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd.scd2_history(changes, I.USER_KEYS, tie_break=("event_id",))
 
 
+def user_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The users' type 2 table, stored once per application as the views find it."""
+    place = (spark.sparkContext.applicationId, f"versions of {sf_dir}")
+    if place not in _STORED:
+        path = work_folder(spark, "user-versions")
+        scd2_history(spark, sf_dir).write.parquet(path)
+        _STORED[place] = path
+    return spark.read.parquet(_STORED[place])
+
+
 def scd2_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    view = scd.scd2_view(scd2_history(spark, sf_dir), I.USER_KEYS)
+    view = scd.scd2_view(user_versions(spark, sf_dir), I.USER_KEYS)
     return view.withColumn(N.ROW_VALID_TO, F.date_format(N.ROW_VALID_TO, SECOND_TEXT))
 
 
 def gold_scd2_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    versions = scd2_history(spark, sf_dir)
-    view = scd.scd2_dimension(versions, "user_key", ["user_id", "value"])
+    view = scd.scd2_dimension(user_versions(spark, sf_dir), "user_key", ["user_id", "value"])
     return view.withColumn(N.ROW_VALID_TO, F.date_format(N.ROW_VALID_TO, SECOND_TEXT))
 
 
