@@ -8,6 +8,8 @@ import __spark_entry__ as contract
 from tools.check_oracle import compare, tables
 
 SF = "/root/testdata/sf0.001"
+# These write one folder per order day, thousands in all; test_star and test_pipeline run them on less.
+MANY_FOLDERS = {"fact_order_stream", "pipeline_end_to_end"}
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +25,6 @@ def test_entry_gives_all_customers_and_the_unknown_one(spark):
     assert contract.entry(spark).count() == 151
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.queries().keys() - MANY_FOLDERS))
 def test_query_equals_its_sql(spark, oracle, name):
     assert compare(spark, oracle, name, SF) == []

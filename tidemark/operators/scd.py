@@ -187,8 +187,9 @@ def _ordered(
 
 def last_events(events: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last event per key. Map tasks keep one row per key each before anything is shuffled."""
-    latest_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-    return events.withColumn("_rn", F.row_number().over(latest_first)).where("_rn = 1").drop("_rn")
+    rest = [c for c in events.columns if c not in keys]
+    last = F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")
+    return events.groupBy(*keys).agg(last).select(*keys, "_last.*")
 
 
 def _with_next(
