@@ -7,7 +7,8 @@ from tests.sessions import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session()
+    # Tests run many tiny plans once each; compiling them would take most of the time.
+    return local_session(**{"spark.sql.codegen.wholeStage": "false", "spark.sql.shuffle.partitions": "4"})
 
 
 @pytest.fixture

@@ -121,17 +121,22 @@ def load_incremental(
     enabled_version: int,
     source_system: str,
     run_time: Column | None = None,
+    latest: int | None = None,
 ) -> Load | None:
-    """Append the changes the target does not have yet; None when there are no new versions."""
-    latest = log.latest_version()
+    """Append the changes the target does not have yet; None when there are no new versions.
+
+    ``latest`` is the last version to read, by default the last one there is.
+    """
+    if latest is None:
+        latest = log.latest_version()
     if latest is None:
         raise ValueError(f"{log.path} has no readable commits")
     processed = last_processed_version(log.spark, target)
     window = plan_window(log.spark, processed, enabled_version, latest)
     if window is None:
         return None
-    changes = log.changes(*window)
-    rows = 0 if changes.isEmpty() else write_history(changes, target, source_system, run_time)
+    # A window without changes adds no file.
+    rows = write_history(log.changes(*window), target, source_system, run_time)
     return Load("incremental", *window, rows)
 
 
@@ -139,13 +144,13 @@ def ingest(
     log: ChangeLog, target: str, source_system: str, run_time: Column | None = None
 ) -> Load | None:
     """One run of a feed: a first load where the target does not exist, else what is new."""
-    if not log.feed_enabled():
+    state = log.state()
+    if not state["enabled"]:
         raise ValueError(f"the change feed of {log.path} is off")
-    enabled_version = log.feed_start_version()
-    if enabled_version is None:
-        raise ValueError(f"no commit of {log.path} switched its change feed on")
-    load = load_incremental if table_exists(log.spark, target) else load_initial
-    return load(log, target, enabled_version, source_system, run_time)
+    first = state["first_enabled"]
+    if table_exists(log.spark, target):
+        return load_incremental(log, target, first, source_system, run_time, state["latest"])
+    return load_initial(log, target, first, source_system, run_time)
 
 
 def _write_schema(snapshot: DataFrame, target: str, run_time: Column | None) -> None:

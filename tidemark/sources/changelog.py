@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -59,6 +59,17 @@ def last_version(history: DataFrame) -> DataFrame:
     return history.agg(F.max("version").alias("version"))
 
 
+def feed_state(history: DataFrame) -> DataFrame:
+    """One row: the last version, whether the feed is on now, and the version that first switched it on."""
+    settings = feed_settings(history).select(F.col("version").alias("switched"), "enabled")
+    rows = history.select("version").unionByName(settings, allowMissingColumns=True)
+    return rows.agg(
+        F.max("version").alias("latest"),
+        F.coalesce(F.max_by("enabled", "switched"), F.lit(False)).alias("enabled"),
+        F.min(F.when(F.col("enabled"), F.col("switched"))).alias("first_enabled"),
+    )
+
+
 def commit_timestamps(history: DataFrame, version: int) -> DataFrame:
     return history.where(F.col("version") == version).agg(F.max("timestamp").alias("timestamp"))
 
@@ -105,11 +116,15 @@ class ChangeLog:
     def snapshot(self, version: int) -> DataFrame:
         return snapshot_at(self.feed(), self.keys, version, self.tie_break)
 
+    def state(self) -> Row:
+        """``latest``, ``enabled`` and ``first_enabled`` in one look at the history."""
+        if not self.exists():
+            raise ValueError(f"{self.path} has no readable commits")
+        return feed_state(self.history()).first()
+
     def latest_version(self) -> int | None:
         """Version of the last commit; None where there is none."""
-        if not self.exists():
-            return None
-        return last_version(self.history()).first()["version"]
+        return self.state()["latest"] if self.exists() else None
 
     def commit_timestamp(self, version: int) -> datetime:
         micros = F.unix_micros("timestamp").alias("micros")
@@ -122,12 +137,11 @@ class ChangeLog:
 
     def feed_enabled(self) -> bool:
         """The setting of the last commit that touched it; off where none did."""
-        last = feed_settings(self.history()).orderBy(F.desc("version")).first()
-        return last is not None and last["enabled"]
+        return self.state()["enabled"]
 
     def feed_start_version(self) -> int | None:
-        first = feed_start(self.history()).first()
-        return None if first is None else first["version"]
+        """The first version that switched the feed on."""
+        return self.state()["first_enabled"]
 
 
 def write_commits(changes: DataFrame, history: DataFrame, path: str, mode: str = "append") -> None:
