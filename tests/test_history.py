@@ -100,6 +100,19 @@ def test_late_older_event_does_not_revive_a_deleted_key(spark, folder):
     assert feeds.as_scd2(versions) == {(1, 4, 1, 20, 50)}
 
 
+def test_null_is_a_key_like_others(spark, folder):
+    """Key 0, the one with most events, becomes NULL."""
+    events = feeds.random_events(16, count=90)
+    for number, part in enumerate([events[:45], events[45:]]):
+        rows = feeds.frame(spark, part).withColumn("k", F.nullif("k", F.lit(0)))
+        rows.coalesce(1).write.parquet(f"{folder}/landing/part={number}")
+        stream = stream_path(spark, f"{folder}/landing").drop("part")
+        finish(append_changes(stream, f"{folder}/ledger", f"{folder}/checkpoint"))
+        history.refresh_scd2(spark, f"{folder}/ledger", f"{folder}/two", ["k"], tie_break=TIES)
+    versions = history.read_scd2(spark, f"{folder}/two", ["k"]).fillna(0, "k")
+    assert feeds.as_scd2(versions) == feeds.expected_scd2(events)
+
+
 def test_column_added_later(spark, folder):
     events = sorted(feeds.random_events(15, count=80), key=lambda e: e[3])
     first = feeds.frame(spark, events[:40])

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def date_key(day: Column) -> Column:
-    """Day as the integer yyyymmdd; NULL stays NULL."""
-    return F.date_format(day, "yyyyMMdd").cast("int")
+    """Day as the integer yyyymmdd; NULL stays NULL. Plain arithmetic, no text in between."""
+    return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
 def calendar_columns(day: Column) -> list[Column]:

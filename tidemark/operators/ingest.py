@@ -51,7 +51,7 @@ def plan_window(
     """The window of one feed, or None when there is nothing to read."""
     state = [F.lit(v).cast("long") for v in (processed, enabled, latest)]
     window = version_window(*state)
-    row = spark.range(1).select(*[value.alias(name) for name, value in window.items()]).first()
+    row = spark.range(0, 1, 1, 1).select(*[value.alias(name) for name, value in window.items()]).first()
     return (row["start_version"], row["end_version"]) if row["versions"] else None
 
 
@@ -157,7 +157,7 @@ def _write_schema(snapshot: DataFrame, target: str, run_time: Column | None) ->
     """Leave a readable table behind an empty first load, so that the next run goes on from it."""
     empty = normalize_changes(snapshot)
     today = F.current_date() if run_time is None else run_time.cast("date")
-    day = empty.sparkSession.range(1).select(today.alias("day")).first()["day"]
+    day = empty.sparkSession.range(0, 1, 1, 1).select(today.alias("day")).first()["day"]
     empty.drop(N.PROCESSING_DATE).limit(0).write.mode("append").parquet(
         f"{target.rstrip('/')}/{N.PROCESSING_DATE}={day}"
     )

@@ -19,7 +19,7 @@ def with_unknown_member(dimension: DataFrame, **values: Column) -> DataFrame:
         values.get(field.name, _unknown(field)).cast(field.dataType).alias(field.name)
         for field in dimension.schema
     ]
-    return dimension.unionByName(dimension.sparkSession.range(1).select(*filled))
+    return dimension.unionByName(dimension.sparkSession.range(0, 1, 1, 1).select(*filled))
 
 
 def _unknown(field: T.StructField) -> Column:

@@ -7,22 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key with more rows than this is handled apart. A table of T rows has fewer than T / HOT_ROWS
-# such keys: 10^12 rows (about 100 TB) give at most 10^6 keys, some tens of MB to broadcast.
-HOT_ROWS = 1_000_000
+# A key with more rows than this is handled apart; one task sorts fewer. A table of T rows has fewer
+# than T / HOT_ROWS such keys: 10^12 rows (about 100 TB) give at most 200,000, some MB to broadcast.
+HOT_ROWS = 5_000_000
 
 _ROWS = "_rows_of_key"
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, **facts: Column) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, with any further aggregates asked for.
+def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows.
 
-    Counting combines on the map side, so a hot key costs one row per input partition.
+    Reads the key columns only. Counting combines on the map side, so a hot key costs one row per
+    input partition.
     """
-    counted = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(_ROWS), *[value.alias(name) for name, value in facts.items()]
-    )
-    return F.broadcast(counted.where(F.col(_ROWS) > hot_rows).drop(_ROWS))
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
+    return F.broadcast(counted.where(F.col(_ROWS) > hot_rows).select(*keys))
 
 
 def with_group_facts(
@@ -31,12 +30,17 @@ def with_group_facts(
     """Add aggregates of each row's key to the row.
 
     Ordinary keys take one window (one shuffle). The rows of hot keys are not shuffled at all: their
-    pre-aggregated facts are broadcast. Without hot keys adaptive execution removes that branch.
+    pre-aggregated facts, one row per hot key, are broadcast. Without hot keys adaptive execution
+    drops that branch before it reads anything.
     """
     keys = list(keys)
-    hot = hot_keys(rows, keys, hot_rows, **facts)
+    hot = hot_keys(rows, keys, hot_rows)
     window = Window.partitionBy(*keys)
-    ordinary = rows.join(hot.select(*keys), keys, "left_anti").select(
+    ordinary = rows.join(hot, keys, "left_anti").select(
         *rows.columns, *[value.over(window).alias(name) for name, value in facts.items()]
     )
-    return ordinary.unionByName(rows.join(hot, keys).select(*rows.columns, *facts))
+    heavy = rows.join(hot, keys, "left_semi")
+    known = heavy.groupBy(*keys).agg(*[value.alias(name) for name, value in facts.items()])
+    return ordinary.unionByName(
+        heavy.join(F.broadcast(known), keys).select(*rows.columns, *facts)
+    )

@@ -135,7 +135,7 @@ def dim_part_supplier(partsupp: DataFrame) -> DataFrame:
 def dim_date(spark: SparkSession, first_day: str = FIRST_DAY, last_day: str = LAST_DAY) -> DataFrame:
     """One row per day, both ends included, and the unknown day."""
     bounds = [F.lit(day).cast("date") for day in (first_day, last_day)]
-    days = spark.range(1).select(
+    days = spark.range(0, 1, 1, 1).select(
         F.explode(F.sequence(*bounds, F.expr("interval 1 day"))).alias("full_date")
     )
     unknown_year = F.lit(N.FIRST_START[:4])

@@ -83,7 +83,7 @@ class _Table:
         return events.where((F.col(_REFRESH) <= self.refresh) & (F.col(_OPEN) == 0))
 
     def finish(self, last_batch: int, late: bool) -> None:
-        self.spark.range(1).select(
+        self.spark.range(0, 1, 1, 1).select(
             F.lit(self.refresh + 1).cast("long").alias("refresh"),
             F.lit(last_batch).cast("long").alias("last_batch"),
             F.lit(late).alias("has_late"),
@@ -146,17 +146,14 @@ def refresh_scd2(
     if oldest is None:
         ended = intervals(active, split_above).withColumn(_LATE, F.lit(0))
     else:
-        late_keys = late.select(*keys)
         # The bound prunes files: versions that ended before it are left unread.
         known = (
-            _current_ended(table, keys)
-            .where(F.col(N.END_AT) > F.lit(oldest))
-            .join(late.select(*keys, _FROM), keys)
-            .where(F.col(N.END_AT) > F.col(_FROM))
-            .drop(_FROM)
+            _joined(_current_ended(table, keys).where(F.col(N.END_AT) > F.lit(oldest)), late, keys, "inner")
+            .where(F.col(f"l.{N.END_AT}") > F.col(f"r.{_FROM}"))
+            .select("l.*")
         )
-        on_time = intervals(active.join(late_keys, keys, "left_anti"), split_above)
-        redone = intervals(_together(active.join(late_keys, keys, "left_semi"), known), hot_rows)
+        on_time = intervals(_joined(active, late, keys, "left_anti"), split_above)
+        redone = intervals(_together(_joined(active, late, keys, "left_semi"), known), hot_rows)
         ended = on_time.withColumn(_LATE, F.lit(0)).unionByName(
             redone.withColumn(_LATE, F.lit(1)), allowMissingColumns=True
         )
@@ -224,8 +221,8 @@ def _write_touched(
     if latest is None:
         touched = touched.withColumn(_LAST_START, F.lit(None).cast(touched.schema[_FROM].dataType))
     else:
-        starts = latest.select(*keys, F.col(sequence_by).alias(_LAST_START))
-        touched = touched.join(starts, list(keys), "left")
+        last_start = F.col(f"r.{sequence_by}").alias(_LAST_START)
+        touched = _joined(touched, latest, keys, "left").select("l.*", last_start)
     touched.write.mode("overwrite").parquet(table.touched_path)
     return table.spark.read.parquet(table.touched_path)
 
@@ -237,8 +234,8 @@ def _split_latest(
     latest = table.latest()
     if latest is None:
         return None, None
-    wanted = touched.select(*keys)
-    return latest.join(wanted, list(keys), "left_semi"), latest.join(wanted, list(keys), "left_anti")
+    moved, kept = (_joined(latest, touched, keys, how) for how in ("left_semi", "left_anti"))
+    return moved, kept
 
 
 def _current_ended(table: _Table, keys: Sequence[str]) -> DataFrame:
@@ -248,9 +245,15 @@ def _current_ended(table: _Table, keys: Sequence[str]) -> DataFrame:
         return events.drop(_REFRESH, _LATE, _OPEN)
     point = [*keys, N.START_AT]
     redone = last_events(events.where(F.col(_LATE) == 1), point, [_REFRESH])
-    first = events.where(F.col(_LATE) == 0).join(redone.select(*point), point, "left_anti")
+    first = _joined(events.where(F.col(_LATE) == 0), redone, point, "left_anti")
     return first.unionByName(redone).drop(_REFRESH, _LATE, _OPEN)
 
 
+def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join ``l`` to ``r`` on the keys, a NULL key being equal to NULL."""
+    on = [F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}")) for key in keys]
+    return left.alias("l").join(right.alias("r"), on, how)
+
+
 def _together(rows: DataFrame, more: DataFrame | None) -> DataFrame:
     return rows if more is None else rows.unionByName(more, allowMissingColumns=True)
