@@ -202,12 +202,16 @@ def _with_next(
 
 
 def _slice(events: DataFrame, sequence_by: str) -> Column:
-    """Coarser value that grows with the sequence: the minute of a time, a thousand of whole numbers."""
+    """Coarser value that grows with the sequence: the minute of a time, a million of whole numbers.
+
+    Events of a key differ in their sequence here, so a slice is bounded: by a million events for
+    whole numbers, by the microseconds of a minute for times.
+    """
     kind = events.schema[sequence_by].dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.date_trunc("minute", sequence_by)
     if isinstance(kind, T.IntegralType):
-        return F.floor(F.col(sequence_by) / 1000)
+        return F.floor(F.col(sequence_by) / 1_000_000)
     return F.col(sequence_by)
 
 

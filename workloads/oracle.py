@@ -65,6 +65,15 @@ TIED = f"SELECT * REPLACE (date_trunc('day', _commit_timestamp) AS _commit_times
 TIED_CHANGES = f"SELECT user_id || '|MRI' AS business_key, * FROM ({normalized(TIED)})"
 
 
+TWO_SOURCES = f"""
+SELECT user_id || '|' || _source_system AS business_key, *
+FROM (SELECT *, CASE WHEN value >= 100 THEN 'OAH' ELSE 'MRI' END AS _source_system FROM ({normalized(FEED)}))"""
+RAW_EVOLVED = f"""
+SELECT *, CASE WHEN _raw_commit_version <= {Q.SNAPSHOT_VERSION} THEN NULL
+               WHEN value >= 100 THEN 'high' ELSE 'low' END AS grade
+FROM ({RAW_ALL})"""
+
+
 def scd1(changes: str) -> str:
     return f"""
 SELECT * EXCLUDE (rn) FROM (
@@ -74,13 +83,13 @@ SELECT * EXCLUDE (rn) FROM (
 WHERE rn = 1 AND _raw_change_type <> 'delete'"""
 
 
-def scd2(changes: str) -> str:
+def scd2(changes: str, keys: str = "user_id") -> str:
     return f"""
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, _raw_commit_timestamp AS "__START_AT",
-         lead(_raw_commit_timestamp) OVER (PARTITION BY user_id ORDER BY _raw_commit_timestamp) AS "__END_AT"
+         lead(_raw_commit_timestamp) OVER (PARTITION BY {keys} ORDER BY _raw_commit_timestamp) AS "__END_AT"
   FROM (
-    SELECT *, row_number() OVER (PARTITION BY user_id, _raw_commit_timestamp
+    SELECT *, row_number() OVER (PARTITION BY {keys}, _raw_commit_timestamp
         ORDER BY _raw_commit_version DESC, _raw_change_type = 'delete' DESC, event_id DESC) AS rn
     FROM ({changes}))
   WHERE rn = 1)
@@ -174,17 +183,22 @@ FROM customer""",
 
 LOCATED = f"({SILVER['nation']}) n LEFT JOIN ({SILVER['region']}) r ON n.n_regionkey = r.r_regionkey"
 
-CUSTOMERS = f"""
+
+
+def customers(customer: str, nation: str) -> str:
+    return f"""
 SELECT c_custkey AS customer_key, c_name AS customer_name, c_address AS customer_address,
        c_phone AS customer_phone, c_acctbal AS customer_account_balance,
        c_mktsegment AS customer_market_segment, c_comment AS customer_comment, n_name AS nation_name,
        r_name AS region_name, n_nationkey AS nation_key, r_regionkey AS region_key,
        concat_ws('-', c_custkey, n_nationkey, r_regionkey) AS _key
-FROM ({SILVER['customer']}) c LEFT JOIN ({SILVER['nation']}) n ON c.c_nationkey = n.n_nationkey
+FROM ({customer}) c LEFT JOIN ({nation}) n ON c.c_nationkey = n.n_nationkey
 LEFT JOIN ({SILVER['region']}) r ON n.n_regionkey = r.r_regionkey"""
 
-DIM_CUSTOMER = f"""
-SELECT * EXCLUDE (_key) FROM ({hash_text(CUSTOMERS, "_key", "customer_surrogate_key")})
+
+def dim_customer(customer: str = SILVER["customer"], nation: str = SILVER["nation"]) -> str:
+    return f"""
+SELECT * EXCLUDE (_key) FROM ({hash_text(customers(customer, nation), "_key", "customer_surrogate_key")})
 UNION ALL BY NAME
 SELECT -1 AS customer_surrogate_key, -1 AS customer_key, 'Unknown' AS customer_name,
        'Unknown' AS customer_address, 'Unknown' AS customer_phone,
@@ -192,6 +206,13 @@ SELECT -1 AS customer_surrogate_key, -1 AS customer_key, 'Unknown' AS customer_n
        'Unknown' AS customer_comment, 'Unknown' AS nation_name, 'Unknown' AS region_name,
        -1 AS nation_key, -1 AS region_key"""
 
+
+DIM_CUSTOMER = dim_customer()
+DIM_CUSTOMER_UNLOCATED = dim_customer(
+    f"SELECT * REPLACE (nullif(c_nationkey, 3) AS c_nationkey) FROM ({SILVER['customer']})",
+    f"SELECT * REPLACE (nullif(n_regionkey, 2) AS n_regionkey) FROM ({SILVER['nation']})",
+)
+
 NATIONS = f"""
 SELECT n_nationkey AS nation_key, n_name AS nation_name, n_regionkey AS region_key, r_name AS region_name,
        n_comment AS nation_comment
@@ -275,13 +296,23 @@ placed AS (
 SELECT calendar.*, coalesce(orders_placed, 0) AS orders_placed
 FROM calendar LEFT JOIN placed ON calendar.date_key = placed.date_key"""
 
-FACT_ORDER = f"""
+
+def fact_order(orders: str, dimension: str) -> str:
+    return f"""
 SELECT o_orderkey AS order_key, coalesce(customer_surrogate_key, -1) AS customer_surrogate_key,
        CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS order_date_key, o_orderstatus AS order_status,
        o_orderpriority AS order_priority, o_clerk AS clerk_name, o_shippriority AS ship_priority,
        CAST(o_totalprice AS DECIMAL(15,2)) AS total_price, o_comment AS order_comment,
        o_orderdate AS order_date
-FROM ({SILVER['order']}) o LEFT JOIN ({DIM_CUSTOMER}) c ON o.o_custkey = c.customer_key"""
+FROM ({orders}) o LEFT JOIN ({dimension}) c ON o.o_custkey = c.customer_key"""
+
+
+FACT_ORDER = fact_order(SILVER["order"], DIM_CUSTOMER)
+FACT_ORDER_GAPS = fact_order(
+    f"""SELECT * REPLACE (CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS o_orderdate)
+FROM ({SILVER['order']})""",
+    f"SELECT * FROM ({DIM_CUSTOMER}) WHERE customer_account_balance >= 0",
+)
 
 FACT_ORDER_LINES = f"""
 SELECT f.*, CAST(coalesce(q, 0) AS DECIMAL(15,2)) AS total_quantity,
@@ -384,6 +415,7 @@ ORACLE: dict[str, str] = {
     f"WHERE _commit_version <= {Q.SNAPSHOT_VERSION}",
     "version_windows": VERSION_WINDOWS,
     "raw_history": RAW_ALL,
+    "raw_history_evolved": RAW_EVOLVED,
     "initial_load": RAW_INITIAL,
     "incremental_load": RAW_INCREMENT,
     "ingest_two_runs": f"SELECT * FROM ({RAW_INITIAL}) UNION ALL BY NAME SELECT * FROM ({RAW_INCREMENT})",
@@ -396,11 +428,13 @@ ORACLE: dict[str, str] = {
     "scd1_latest": scd1(CHANGES),
     "scd2_history": scd2(CHANGES),
     "scd2_history_tied": scd2(TIED_CHANGES),
+    "scd2_two_sources": scd2(TWO_SOURCES, "user_id, _source_system"),
     "scd2_view": SCD2_VIEW,
     "gold_scd2_dim": GOLD_SCD2,
     "scd1_stream": scd1(CHANGES),
     "scd2_stream": scd2(CHANGES),
     "dim_customer": DIM_CUSTOMER,
+    "dim_customer_unlocated": DIM_CUSTOMER_UNLOCATED,
     "dim_nation": DIM_NATION,
     "dim_region": DIM_REGION,
     "dim_supplier": DIM_SUPPLIER,
@@ -408,6 +442,7 @@ ORACLE: dict[str, str] = {
     "dim_part_supplier": DIM_PART_SUPPLIER,
     "dim_date": DIM_DATE,
     "fact_order": FACT_ORDER,
+    "fact_order_gaps": FACT_ORDER_GAPS,
     "fact_order_lines": FACT_ORDER_LINES,
     "fact_order_stream": FACT_ORDER,
     "pipeline_end_to_end": PIPELINE,

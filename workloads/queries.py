@@ -159,6 +159,17 @@ def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.read_history(spark, target)
 
 
+def raw_history_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads; the second brings a column the first did not have."""
+    target = work_folder(spark, "raw-history")
+    feed, run = I.user_feed_with_preimages(spark, sf_dir), I.moment(I.RUN_TIME)
+    early = F.col(N.COMMIT_VERSION) <= SNAPSHOT_VERSION
+    ingest.write_history(feed.where(early), target, "MRI", run)
+    grade = F.when(F.col("value") >= 100, "high").otherwise("low")
+    ingest.write_history(feed.where(~early).withColumn("grade", grade), target, "MRI", run)
+    return ingest.read_history(spark, target)
+
+
 def initial_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     log, target = user_log(spark, sf_dir), work_folder(spark, "initial-load")
     ingest.load_initial(log, target, I.FEED_ENABLED_AT, "MRI", I.moment(I.RUN_TIME))
@@ -292,6 +303,15 @@ def scd2_history_tied(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd.scd2_history(changes, I.USER_KEYS, tie_break=("event_id",))
 
 
+def scd2_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users kept by two systems under the same keys; the system is part of the key."""
+    changes = normalize.normalize_changes(I.user_feed(spark, sf_dir)).withColumn(
+        N.SOURCE_SYSTEM, F.when(F.col("value") >= 100, "OAH").otherwise("MRI")
+    )
+    keyed = changes.select(business_key(["user_id", N.SOURCE_SYSTEM]), "*")
+    return scd.scd2_history(keyed, ["user_id", N.SOURCE_SYSTEM], tie_break=("event_id",))
+
+
 def user_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The users' type 2 table, stored once per application as the views find it."""
     place = (spark.sparkContext.applicationId, f"versions of {sf_dir}")
@@ -385,6 +405,24 @@ def fact_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.fact_order(I.silver_rows(spark, sf_dir, "order"), dim_customer(spark, sf_dir))
 
 
+def dim_customer_unlocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of one nation lose it, nations of one region lose theirs."""
+    customer, nation, region = (I.silver_rows(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    return gold.dim_customer(
+        customer.withColumn("c_nationkey", F.nullif("c_nationkey", F.lit(3))),
+        nation.withColumn("n_regionkey", F.nullif("n_regionkey", F.lit(2))),
+        region,
+    )
+
+
+def fact_order_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pending orders have no date; customers in debt are missing from the dimension."""
+    orders = I.silver_rows(spark, sf_dir, "order")
+    dated = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate"))
+    customers = dim_customer(spark, sf_dir).where("customer_account_balance >= 0")
+    return gold.fact_order(orders.withColumn("o_orderdate", dated), customers)
+
+
 def fact_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.fact_order_lines(fact_order(spark, sf_dir), I.table(spark, sf_dir, "lineitem"))
 
@@ -423,6 +461,7 @@ QUERIES: dict[str, Query] = {
     "high_water_mark": high_water_mark,
     "version_windows": version_windows,
     "raw_history": raw_history,
+    "raw_history_evolved": raw_history_evolved,
     "initial_load": initial_load,
     "incremental_load": incremental_load,
     "ingest_two_runs": ingest_two_runs,
@@ -435,11 +474,13 @@ QUERIES: dict[str, Query] = {
     "scd1_latest": scd1_latest,
     "scd2_history": scd2_history,
     "scd2_history_tied": scd2_history_tied,
+    "scd2_two_sources": scd2_two_sources,
     "scd2_view": scd2_view,
     "gold_scd2_dim": gold_scd2_dim,
     "scd1_stream": scd1_stream,
     "scd2_stream": scd2_stream,
     "dim_customer": dim_customer,
+    "dim_customer_unlocated": dim_customer_unlocated,
     "dim_nation": dim_nation,
     "dim_region": dim_region,
     "dim_supplier": dim_supplier,
@@ -447,6 +488,7 @@ QUERIES: dict[str, Query] = {
     "dim_part_supplier": dim_part_supplier,
     "dim_date": dim_date,
     "fact_order": fact_order,
+    "fact_order_gaps": fact_order_gaps,
     "fact_order_lines": fact_order_lines,
     "fact_order_stream": fact_order_stream,
     "pipeline_end_to_end": pipeline_end_to_end,
