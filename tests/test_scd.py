@@ -46,6 +46,24 @@ def test_scd2_on_other_sequence_types(spark, sequence):
     assert len(ordinary) > 100 or sequence == "date"
 
 
+def test_times_without_zone_where_the_clock_changes(spark):
+    """Hot keys, a session in a zone with summer time, and times in the hour it skips and the one it repeats."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for start in ("2024-03-10 00:00:00", "2024-11-03 00:00:00"):
+            moments = spark.range(0, 360, 7).select(
+                F.lit(1).alias("k"),
+                F.lit("update").alias("_raw_change_type"),
+                F.expr(f"timestamp_ntz'{start}' + make_dt_interval(0, 0, id)").alias("seq"),
+            )
+            versions = scd.scd2_history(moments, ["k"], "seq", hot_rows=5)
+            chain = sorted((r["__START_AT"], r["__END_AT"]) for r in versions.collect())
+            assert len(chain) == 52
+            assert all(end == begin for (_, end), (begin, _) in zip(chain, chain[1:]))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 events_of_few_keys = st.lists(
     st.tuples(
         st.integers(0, 3),

@@ -74,7 +74,7 @@ def event_intervals(
     """All effective events with ``__START_AT`` and ``__END_AT``, deletes included and flagged.
 
     One shuffle and one sort by key serve ordinary keys. The events of a hot key are spread over
-    time slices; each slice learns from a marker row where the next one begins. ``hot_rows`` None says
+    slices of the sequence; each slice learns from a marker row where the next one begins. ``hot_rows`` None says
     that no key is hot.
     """
     keys = list(keys)
@@ -202,17 +202,21 @@ def _with_next(
 
 
 def _slice(events: DataFrame, sequence_by: str) -> Column:
-    """Coarser value that grows with the sequence: the minute of a time, a million of whole numbers.
+    """Coarser value that grows with the sequence: ten minutes of a time, a million of whole numbers.
 
-    Events of a key differ in their sequence here, so a slice is bounded: by a million events for
-    whole numbers, by the microseconds of a minute for times.
+    A decade has about half a million slices of ten minutes, so the markers of one key stay few. The
+    events of a key differ in their sequence here, which bounds a slice too. Times without a zone are
+    cut by their fields: in a zone with summer time, turning them into moments would break the order.
     """
-    kind = events.schema[sequence_by].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_trunc("minute", sequence_by)
+    kind, value = events.schema[sequence_by].dataType, F.col(sequence_by)
+    if isinstance(kind, T.TimestampType):
+        return F.floor(F.unix_seconds(value) / 600)
+    if isinstance(kind, T.TimestampNTZType):
+        hours = F.unix_date(value.cast("date")) * 24 + F.hour(value)
+        return hours * 6 + F.floor(F.minute(value) / 10)
     if isinstance(kind, T.IntegralType):
-        return F.floor(F.col(sequence_by) / 1_000_000)
-    return F.col(sequence_by)
+        return F.floor(value / 1_000_000)
+    return value
 
 
 def _moment(text: str) -> Column:
