@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans import gold, pipeline
-from tidemark.plans.silver import ENTITIES
+from tidemark.plans.silver import ENTITIES, clean
+from tidemark.sources.streams import stream_path
 from workloads import inputs as I
 
 SF = "/root/testdata/sf0.001"
@@ -26,8 +28,6 @@ def test_silver_schemas(silver):
 
 def test_order_status_is_one_character(spark):
     rows = I.bronze_rows(spark, SF, "order").withColumn("o_orderstatus", F.lit("Open"))
-    from tidemark.plans.silver import clean
-
     assert {r[0] for r in clean(rows, ENTITIES["order"]).select("o_orderstatus").distinct().collect()} == {"O"}
 
 
@@ -87,9 +87,6 @@ def test_fact_stream_keeps_the_key_an_order_got(spark, folder, silver):
     bronze.write.parquet(source)
 
     def refresh(customers):
-        from tidemark.plans.silver import clean
-        from tidemark.sources.streams import stream_path
-
         orders = clean(stream_path(spark, source), ENTITIES["order"])
         dim = gold.dim_customer(customers, silver["nation"], silver["region"])
         pipeline.refresh_fact_order(spark, orders, dim, layout)
@@ -105,6 +102,58 @@ def test_fact_stream_keeps_the_key_an_order_got(spark, folder, silver):
     assert keys[1] != -1 and {keys[0], keys[2], keys[3]} == {-1}
 
 
+def test_only_changed_days_of_the_fact_are_rewritten(spark, folder, silver, monkeypatch):
+    layout = pipeline.Layout(folder)
+    source, path = layout.table("bronze", "h_order"), layout.table("gold", "fact_order")
+    day = F.when(F.col("o_orderkey") < 2, F.lit("1995-01-01")).when(F.col("o_orderkey") == 2, F.lit("1995-01-02"))
+    bronze = I.bronze_rows(spark, SF, "order").where("o_orderkey < 5").withColumn("o_orderdate", day)
+    bronze = bronze.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")).coalesce(1)
+    dim = gold.dim_customer(silver["customer"], silver["nation"], silver["region"])
+
+    def refresh():
+        orders = clean(stream_path(spark, source), ENTITIES["order"])
+        pipeline.refresh_fact_order(spark, orders, dim, layout)
+        rows = spark.read.parquet(path).select("order_key", "order_date_key", "order_status").collect()
+        files = {f.parent.name: f.name for f in sorted(Path(path).glob("*/*.parquet"))}
+        return {r["order_key"]: (r["order_date_key"], r["order_status"]) for r in rows}, files
+
+    def change(number, hours, kind="update", **columns):
+        changed = bronze.where(f"o_orderkey = {number}").withColumns(columns)
+        at = F.col("_raw_commit_timestamp") + F.expr(f"interval {hours} hours")
+        changed.withColumns({"_raw_change_type": F.lit(kind), "_raw_commit_timestamp": at}).write.mode(
+            "append"
+        ).parquet(source)
+
+    bronze.write.parquet(source)
+    rows, first = refresh()
+    assert [rows[k][0] for k in range(5)] == [19950101, 19950101, 19950102, None, None]
+    assert refresh()[1] == first
+
+    change(2, 1, o_orderdate=F.lit("1995-01-03").cast("timestamp_ntz"))
+    change(4, 1, kind="delete")
+    rows, second = refresh()
+    assert sorted(rows) == [0, 1, 2, 3] and rows[2][0] == 19950103
+    assert second["order_date_key=19950101"] == first["order_date_key=19950101"]
+    assert "order_date_key=19950102" not in second
+
+    change(3, 2, kind="delete")
+    with monkeypatch.context() as broken:
+        def stop(*_):
+            raise RuntimeError("lost")
+
+        broken.setattr(pipeline, "write_fact", stop)
+        with pytest.raises(RuntimeError):
+            refresh()
+    rows, third = refresh()
+    assert sorted(rows) == [0, 1, 2]
+    assert set(third) == {"order_date_key=19950101", "order_date_key=19950103"}
+
+    change(0, 3, o_orderstatus=F.lit("Z"))
+    monkeypatch.setattr(pipeline, "MOST_DAYS", 0)
+    rows, _ = refresh()
+    assert rows[0] == (19950101, "Z") and sorted(rows) == [0, 1, 2]
+
+
 def test_fact_directories_are_days(spark, folder, silver):
     dim = gold.dim_customer(silver["customer"], silver["nation"], silver["region"])
     fact = gold.fact_order(silver["order"].where("o_orderdate < '1995-02-01'"), dim)

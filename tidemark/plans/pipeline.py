@@ -17,6 +17,7 @@ from tidemark.plans import gold
 from tidemark.plans.silver import ENTITIES, Entity, clean
 from tidemark.sources.changelog import ChangeLog
 from tidemark.sources.feeds import Feed
+from tidemark.sources.storage import delete_folder, path_exists
 from tidemark.sources.streams import stream_path
 from tidemark.streaming import history
 from tidemark.streaming.bronze import bronze_rows, write_bronze
@@ -24,6 +25,9 @@ from tidemark.streaming.ledger import append_changes
 from tidemark.streaming.triggered import finish
 
 CONCURRENT_FEEDS = 3
+DAY = "order_date_key"
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+MOST_DAYS = 10_000
 RAW_COLUMNS = (N.RAW_CHANGE_TYPE, N.RAW_COMMIT_TIMESTAMP, N.RAW_COMMIT_VERSION)
 
 
@@ -149,23 +153,54 @@ def refresh_fact_order(
     facts = gold.fact_order(orders, customers, *RAW_COLUMNS)
     events, state = layout.table("ledger", "fact_order"), layout.table("state", "fact_order")
     finish(append_changes(facts, events, layout.checkpoint("gold", "fact_order")))
-    if history.refresh_scd1(spark, events, state, ["order_key"]):
-        write_fact(history.read_scd1(spark, state), layout.table("gold", "fact_order"))
+    history.refresh_scd1(spark, events, state, ["order_key"])
+    publish_fact(spark, state, layout.table("gold", "fact_order"))
 
 
-def write_fact(facts: DataFrame, path: str) -> None:
+def publish_fact(spark: SparkSession, state: str, path: str) -> None:
+    """Bring the published fact in line with its state, rewriting only the days that changed.
+
+    Everything is rewritten the first time, after a refresh that was never published, and when very
+    many days changed. ``<state>/published`` notes the last refresh that is out.
+    """
+    log = f"{state}/published"
+    now, published = history.refresh_count(spark, state), 0
+    if path_exists(spark, log):
+        published = spark.read.schema("refresh long").parquet(log).agg(F.max("refresh")).first()[0]
+    if now == published:
+        return
+    facts = history.read_scd1(spark, state)
+    days = None
+    if published and published == now - 1:
+        changed = history.changed_rows(spark, state, ["order_key"]).select(DAY).distinct()
+        days = {row[DAY] for row in changed.limit(MOST_DAYS + 1).collect()}
+    if days is None or len(days) > MOST_DAYS:
+        write_fact(facts, path)
+    else:
+        known = F.col(DAY).isin([day for day in days if day is not None])
+        of_days = facts.where(known | F.col(DAY).isNull() if None in days else known)
+        write_fact(of_days, path, "dynamic")
+        left = {row[DAY] for row in of_days.select(DAY).distinct().collect()}
+        for day in days - left:
+            delete_folder(spark, f"{path}/{DAY}={NO_DAY if day is None else day}")
+    done = spark.range(0, 1, 1, 1).select(F.lit(now).cast("long").alias("refresh"))
+    done.write.mode("append").parquet(log)
+
+
+def write_fact(facts: DataFrame, path: str, replaced: str = "static") -> None:
     """Write the declared columns, one directory per order day.
 
     Ranges of (day, order) give every task neighbouring days and split a day that holds many orders.
+    ``replaced`` is Spark's overwrite mode: "dynamic" leaves days without rows here as they are.
     """
     typed = [F.col(name).cast(kind).alias(name) for name, kind in gold.FACT_SCHEMA.items()]
     tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         facts.select(*typed)
-        .repartitionByRange(tasks, "order_date_key", "order_key")
+        .repartitionByRange(tasks, DAY, "order_key")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("order_date_key")
+        .option("partitionOverwriteMode", replaced)
+        .partitionBy(DAY)
         .parquet(path)
     )
 

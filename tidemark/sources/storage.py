@@ -16,6 +16,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
     """Whole-number values of ``column`` that the folders directly under ``path`` are named after."""
     folder, files = _folder(spark, path)

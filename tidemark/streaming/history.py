@@ -189,6 +189,22 @@ def read_current(spark: SparkSession, root: str) -> DataFrame:
     return read_scd1(spark, root).drop(N.START_AT, N.END_AT)
 
 
+def refresh_count(spark: SparkSession, root: str) -> int:
+    """Finished refreshes of a table."""
+    return _Table.open(spark, root).refresh
+
+
+def changed_rows(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
+    """Last events of the keys the last refresh touched, as they were before it and as they are now."""
+    table = _Table.open(spark, root)
+    touched = spark.read.parquet(table.touched_path)
+    now = _joined(_existing(spark, root), touched, keys, "left_semi")
+    if table.refresh == 1:
+        return now
+    before = spark.read.parquet(table.slot(table.refresh - 1))
+    return _together(now, _joined(before, touched, keys, "left_semi"))
+
+
 def _existing(spark: SparkSession, root: str) -> DataFrame:
     latest = _Table.open(spark, root).latest()
     if latest is None:
