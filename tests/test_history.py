@@ -32,8 +32,9 @@ def parts_of(events, order):
     return [events[i : i + size] for i in range(0, len(events), size)]
 
 
-@pytest.mark.parametrize("order", ["in time", "mixed"])
-def test_refreshed_tables_equal_the_batch_result(spark, folder, order):
+@pytest.mark.parametrize("order, most_touched", [("in time", 1_000_000), ("mixed", 1_000_000), ("mixed", 2)])
+def test_refreshed_tables_equal_the_batch_result(spark, folder, monkeypatch, order, most_touched):
+    monkeypatch.setattr(history, "MOST_TOUCHED", most_touched)
     events = feeds.random_events(11, count=240, minutes=2000)
     seen = []
     for number, part in enumerate(parts_of(events, order)):

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from tidemark import names as N
 from tidemark.operators.scd import DELETES, IS_DELETE, event_intervals, last_events, scd1_events
@@ -28,6 +29,10 @@ from tidemark.operators.skew import HOT_ROWS
 from tidemark.sources.storage import path_exists
 from tidemark.streaming.ledger import pending_batches, read_batches
 
+# Above this many touched keys all last events go through the merge: one shuffle of them, where
+# separating the touched ones would take two.
+MOST_TOUCHED = 1_000_000
+
 _REFRESH = "_refresh"
 _LATE = "_late"
 _OPEN = "_open"
@@ -104,7 +109,7 @@ def refresh_scd1(
     if new is None:
         return False
     touched = _write_touched(table, new, keys, sequence_by)
-    moved, kept = _split_latest(table, touched, keys)
+    moved, kept = _split_latest(table, touched, keys, touched.count())
     events = _together(new, moved).drop(IS_DELETE)
     merged = scd1_events(events, keys, sequence_by, deletes, tie_break)
     _together(merged, kept).write.mode("overwrite").parquet(table.slot(table.refresh + 1))
@@ -128,12 +133,17 @@ def refresh_scd2(
         return False
     keys = list(keys)
     touched = _write_touched(table, new, keys, sequence_by)
-    moved, kept = _split_latest(table, touched, keys)
     is_late = F.col(_FROM) < F.col(_LAST_START)
     late = touched.where(is_late)
+    # Moments cross the driver as numbers: Python would lose which of two equal clock times is meant.
+    is_moment = isinstance(touched.schema[_FROM].dataType, TimestampType)
+    oldest_late = F.min(F.when(is_late, F.col(_FROM)))
     found = touched.agg(
-        F.min(F.when(is_late, F.col(_FROM))).alias("oldest"), F.max(_ROWS).alias("most")
+        F.count(F.lit(1)).alias("keys"),
+        (F.unix_micros(oldest_late) if is_moment else oldest_late).alias("oldest"),
+        F.max(_ROWS).alias("most"),
     ).first()
+    moved, kept = _split_latest(table, touched, keys, found["keys"])
     oldest = found["oldest"]
     # Hot keys are looked for only where a key has that many events.
     split_above = hot_rows if found["most"] >= hot_rows else None
@@ -147,8 +157,10 @@ def refresh_scd2(
         ended = intervals(active, split_above).withColumn(_LATE, F.lit(0))
     else:
         # The bound prunes files: versions that ended before it are left unread.
+        bound = F.timestamp_micros(F.lit(oldest)) if is_moment else F.lit(oldest)
+        recent = _current_ended(table, keys).where(F.col(N.END_AT) > bound)
         known = (
-            _joined(_current_ended(table, keys).where(F.col(N.END_AT) > F.lit(oldest)), late, keys, "inner")
+            _joined(recent, late, keys, "inner")
             .where(F.col(f"l.{N.END_AT}") > F.col(f"r.{_FROM}"))
             .select("l.*")
         )
@@ -244,12 +256,12 @@ def _write_touched(
 
 
 def _split_latest(
-    table: _Table, touched: DataFrame, keys: Sequence[str]
+    table: _Table, touched: DataFrame, keys: Sequence[str], count: int
 ) -> tuple[DataFrame | None, DataFrame | None]:
-    """Last events of touched keys, and of all others."""
+    """Last events to merge, those of touched keys at least, and last events to copy."""
     latest = table.latest()
-    if latest is None:
-        return None, None
+    if latest is None or count > MOST_TOUCHED:
+        return latest, None
     moved, kept = (_joined(latest, touched, keys, how) for how in ("left_semi", "left_anti"))
     return moved, kept
 
