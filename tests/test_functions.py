@@ -63,7 +63,8 @@ def test_surrogate_key_of_one_and_of_several_columns(spark):
 
 
 def feed(spark):
-    rows = [(1, kind, 3, "2024-01-01 00:00:00") for kind in ("insert", "update_preimage", "update_postimage", "delete", None)]
+    kinds = ("insert", "update_preimage", "update_postimage", "delete", None)
+    rows = [(1, kind, 3, "2024-01-01 00:00:00") for kind in kinds]
     return spark.createDataFrame(rows, "id int, _change_type string, _commit_version long, at string").select(
         "id", "_change_type", "_commit_version", F.col("at").cast("timestamp").alias("_commit_timestamp")
     )

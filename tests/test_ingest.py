@@ -38,7 +38,9 @@ def commit(spark, path, changes, versions, enabled=None, extra=None):
     feed = spark.createDataFrame(rows, FEED_SCHEMA)
     if extra:
         feed = feed.withColumn(extra, F.lit("x"))
-    commits = [(v, at(v), "SET TBLPROPERTIES" if v == enabled else "WRITE", ON if v == enabled else None) for v in versions]
+    commits = [
+        (v, at(v), "SET TBLPROPERTIES", ON) if v == enabled else (v, at(v), "WRITE", None) for v in versions
+    ]
     changelog.write_commits(feed, spark.createDataFrame(commits, HISTORY_SCHEMA), path)
 
 
@@ -100,6 +102,15 @@ def test_range_read_prunes_partitions(log):
     assert sorted(r["_commit_version"] for r in changes.collect()) == [4, 4, 5]
     plan = changes._jdf.queryExecution().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*_commit_version[^\]]*>= 4", plan)
+    assert len(changes.inputFiles()) < len(log.feed().inputFiles())
+    assert log.changes(90, 99).count() == 0
+
+
+def test_feed_read_under_a_given_schema(spark, log):
+    schema = log.feed().schema
+    known = ChangeLog(spark, log.path, ("id",), schema=schema)
+    assert known.feed().schema == schema
+    assert sorted(map(str, known.changes(1, 5).collect())) == sorted(map(str, log.changes(1, 5).collect()))
 
 
 def test_runs_copy_everything_once(spark, log, folder):

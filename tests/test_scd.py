@@ -28,6 +28,7 @@ def test_scd2_versions_for_ordinary_and_hot_keys(spark, seed, hot_rows):
     events = feeds.random_events(seed)
     rows = scd.scd2_history(feeds.frame(spark, events), ["k"], tie_break=TIES, hot_rows=hot_rows)
     assert feeds.as_scd2(rows) == feeds.expected_scd2(events)
+    assert feeds.as_scd1(scd.current_rows(rows)) == feeds.expected_scd1(events)
 
 
 @pytest.mark.parametrize("sequence", ["long", "date", "string", "timestamp_ntz"])

@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from tidemark import names as N
 from tidemark.operators.scd import scd1_latest
-from tidemark.sources.storage import table_exists
+from tidemark.sources.storage import partition_values, table_exists
 
 FEED_COLUMNS = (N.CHANGE_TYPE, N.COMMIT_VERSION, N.COMMIT_TIMESTAMP)
 _POSITION = "_position"
@@ -104,15 +104,21 @@ class ChangeLog:
 
     def feed(self) -> DataFrame:
         """The whole feed, with columns that later commits added."""
+        return self._read([self.changes_path])
+
+    def changes(self, start: int, end: int) -> DataFrame:
+        """Changes of the versions ``start`` to ``end``; the folders of others are not even listed."""
+        versions = partition_values(self.spark, self.changes_path, N.COMMIT_VERSION)
+        folders = [f"{self.changes_path}/{N.COMMIT_VERSION}={v}" for v in versions if start <= v <= end]
+        return changes_between(self._read(folders or [self.changes_path]), start, end)
+
+    def _read(self, folders: list[str]) -> DataFrame:
         reader = self.spark.read.option("mergeSchema", "true")
         if self.schema is not None:
             reader = self.spark.read.schema(self.schema)
-        log = reader.parquet(self.changes_path)
+        log = reader.option("basePath", self.changes_path).parquet(*folders)
         return log.withColumn(N.COMMIT_VERSION, F.col(N.COMMIT_VERSION).cast("long"))
 
-    def changes(self, start: int, end: int) -> DataFrame:
-        return changes_between(self.feed(), start, end)
-
     def snapshot(self, version: int) -> DataFrame:
         return snapshot_at(self.feed(), self.keys, version, self.tie_break)
 

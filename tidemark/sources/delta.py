@@ -27,13 +27,13 @@ class DeltaLog(ChangeLog):
         return commits.select("version", "timestamp", "operation", properties)
 
     def feed(self) -> DataFrame:
-        return self._read(readChangeFeed="true", startingVersion=0)
+        return self._load(readChangeFeed="true", startingVersion=0)
 
     def changes(self, start: int, end: int) -> DataFrame:
-        return self._read(readChangeFeed="true", startingVersion=start, endingVersion=end)
+        return self._load(readChangeFeed="true", startingVersion=start, endingVersion=end)
 
     def snapshot(self, version: int) -> DataFrame:
-        return self._read(versionAsOf=version)
+        return self._load(versionAsOf=version)
 
-    def _read(self, **options: object) -> DataFrame:
+    def _load(self, **options: object) -> DataFrame:
         return self.spark.read.format("delta").options(**options).load(self.path)
