@@ -49,6 +49,19 @@ def test_refreshed_tables_equal_the_batch_result(spark, folder, monkeypatch, ord
     assert feeds.as_scd1(history.read_current(spark, f"{folder}/two")) == feeds.expected_scd1(events)
 
 
+def test_compacted_table_goes_on(spark, folder):
+    events = feeds.random_events(17, count=180, minutes=2000)
+    old, new = f"{folder}/two", f"{folder}/compact"
+    for number, part in enumerate([events[:60], events[60:120], events[120:]]):
+        land(spark, folder, part, number)
+        if number < 2:
+            history.refresh_scd2(spark, f"{folder}/ledger", old, ["k"], tie_break=TIES)
+    history.compact_scd2(spark, old, new, ["k"])
+    assert feeds.as_scd2(history.read_scd2(spark, new, ["k"])) == feeds.expected_scd2(events[:120])
+    assert history.refresh_scd2(spark, f"{folder}/ledger", new, ["k"], tie_break=TIES)
+    assert feeds.as_scd2(history.read_scd2(spark, new, ["k"])) == feeds.expected_scd2(events)
+
+
 def test_nothing_new_means_no_refresh(spark, folder):
     assert not history.refresh_scd2(spark, f"{folder}/ledger", f"{folder}/two", ["k"])
     events = feeds.random_events(12, count=60)

@@ -5,6 +5,7 @@ The only state between runs is the raw history itself: its highest commit versio
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -15,6 +16,8 @@ from tidemark.operators.normalize import add_run_metadata, normalize_changes, ta
 from tidemark.sources.changelog import ChangeLog
 from tidemark.sources.storage import table_exists
 
+logger = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Load:
@@ -149,8 +152,11 @@ def ingest(
         raise ValueError(f"the change feed of {log.path} is off")
     first = state["first_enabled"]
     if table_exists(log.spark, target):
-        return load_incremental(log, target, first, source_system, run_time, state["latest"])
-    return load_initial(log, target, first, source_system, run_time)
+        load = load_incremental(log, target, first, source_system, run_time, state["latest"])
+    else:
+        load = load_initial(log, target, first, source_system, run_time)
+    logger.info("%s into %s: %s", log.path, target, load or "nothing new")
+    return load
 
 
 def _write_schema(snapshot: DataFrame, target: str, run_time: Column | None) -> None:

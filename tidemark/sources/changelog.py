@@ -7,6 +7,7 @@ properties (a JSON object of table properties the commit set).
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -19,6 +20,8 @@ from tidemark import names as N
 from tidemark.operators.scd import scd1_latest
 from tidemark.sources.storage import partition_values, table_exists
 
+logger = logging.getLogger(__name__)
+
 FEED_COLUMNS = (N.CHANGE_TYPE, N.COMMIT_VERSION, N.COMMIT_TIMESTAMP)
 _POSITION = "_position"
 SNAPSHOT_DELETES = f"{N.CHANGE_TYPE} = '{N.DELETE}'"
@@ -129,8 +132,11 @@ class ChangeLog:
         return feed_state(self.history()).first()
 
     def latest_version(self) -> int | None:
-        """Version of the last commit; None where there is none."""
-        return self.state()["latest"] if self.exists() else None
+        """Version of the last commit; None, with a warning, where there is none."""
+        if not self.exists():
+            logger.warning("%s has no readable commits", self.path)
+            return None
+        return self.state()["latest"]
 
     def commit_timestamp(self, version: int) -> datetime:
         micros = F.unix_micros("timestamp").alias("micros")

@@ -201,6 +201,18 @@ def read_current(spark: SparkSession, root: str) -> DataFrame:
     return read_scd1(spark, root).drop(N.START_AT, N.END_AT)
 
 
+def compact_scd2(spark: SparkSession, root: str, target: str, keys: Sequence[str]) -> None:
+    """Write a type 2 table anew at ``target``, without the rows that corrections overruled.
+
+    The new table goes on where the old one stopped, with the same ledger.
+    """
+    table, fresh = _Table.open(spark, root), _Table(spark, target, 0, -1, False)
+    ended = f"{fresh.events_path}/{_REFRESH}=1/{_LATE}=0/{_OPEN}=0"
+    _current_ended(table, list(keys)).write.mode("overwrite").parquet(ended)
+    _existing(spark, root).write.mode("overwrite").parquet(fresh.slot(1))
+    fresh.finish(table.last_batch, False)
+
+
 def refresh_count(spark: SparkSession, root: str) -> int:
     """Finished refreshes of a table."""
     return _Table.open(spark, root).refresh
