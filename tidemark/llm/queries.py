@@ -2,17 +2,37 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.language import predicted_languages
 from tidemark.llm.near_copies import near_copy_groups
+from tidemark.llm.packing import pack
 from tidemark.llm.tables import table
 
+# The vocabulary, the same as ranks, and its pattern.
+TOKENIZER = {
+    "vocabulary": public_tokenizers.path("byte_bpe_50k.json"),
+    "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    "pattern": public_tokenizers.PATTERN,
+}
+
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copy_groups(table(spark, sf_dir, "documents"), shingle=4, radius=4, seed=42)
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), **TOKENIZER, capacity=1024)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predicted_languages(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_language_id": op10_language_id,
 }
 ORACLE: dict[str, str] = {}
