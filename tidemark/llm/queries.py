@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.decontaminate import leaks
 from tidemark.llm.language import predicted_languages
 from tidemark.llm.near_copies import near_copy_groups
 from tidemark.llm.packing import pack
@@ -18,6 +19,10 @@ TOKENIZER = {
 }
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copy_groups(table(spark, sf_dir, "documents"), shingle=4, radius=4, seed=42)
 
@@ -31,6 +36,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_language_id": op10_language_id,
