@@ -182,14 +182,25 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
+def with_language(documents: DataFrame, folds: int = 4, held_fold: int = 2, **bounds: int) -> DataFrame:
+    """The rows of ``documents`` whose text is in some language; trained as ``predicted_languages`` is."""
+    model = train(_in_folds(documents, folds, held_fold).where("not held_out"), **bounds)
+    rest = [F.col(f"`{name}`") for name in documents.columns]
+    marked = identify(documents.select(F.struct(*rest).alias("row"), "text"), model)
+    return marked.where(F.col("lang_pred") != UNDETERMINED).select("row.*")
+
+
+def _in_folds(documents: DataFrame, folds: int, held_fold: int) -> DataFrame:
+    rows = renamed(documents, {"doc_id": "doc_id", "text": "text", "lang": "lang"})
+    return rows.withColumn("held_out", id_remainder(F.col("doc_id"), folds) == held_fold)
+
+
 def predicted_languages(documents: DataFrame, folds: int = 4, held_fold: int = 2, **bounds: int) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row; trained on the rows that are not held out.
 
     A row is held out if crc32 of its id as text, modulo ``folds``, is ``held_fold``. Neither lang, source
     nor doc_id takes part in a prediction. Rows with a NULL id or language are predicted like any other.
     """
-    rows = renamed(documents, {"doc_id": "doc_id", "text": "text", "lang": "lang"}).withColumn(
-        "held_out", id_remainder(F.col("doc_id"), folds) == held_fold
-    )
+    rows = _in_folds(documents, folds, held_fold)
     model = train(rows.where("not held_out"), **bounds)
     return identify(rows.select("doc_id", "held_out", "text"), model).drop("text")

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
+from tidemark.llm.shingles import small
 from tidemark.llm.tables import renamed, settled
 
 BITS = 64
@@ -34,7 +35,7 @@ _FRONTIER = 1 << 20
 
 
 def fingerprints(documents: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame:
-    """One row (doc_id, fingerprint) per row of ``documents``; the fingerprint is a signed 64-bit number.
+    """One row (doc_id, text_key, fingerprint) per row of ``documents``; the fingerprint is a signed 64-bit number.
 
     Words are runs of bytes other than space and \\t to \\r, with A-Z in lower case. A bit is 1 if it is
     set in over half the XXH64 hashes of the shingles, repeats included. Fewer words than a shingle make
@@ -44,11 +45,11 @@ def fingerprints(documents: DataFrame, shingle: int = 4, seed: int = 42) -> Data
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             marks = np.fromiter((simhash(text, shingle, seed) for text in batch["text"]), np.uint64, len(batch))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fingerprint": marks.view(np.int64)})
+            yield batch[["doc_id", "text_key"]].assign(fingerprint=marks.view(np.int64))
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    texts = documents.select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
-    return texts.mapInPandas(run, f"doc_id {kind}, fingerprint bigint")
+    texts = documents.select("doc_id", F.xxhash64("text").alias("text_key"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
+    return texts.mapInPandas(run, f"doc_id {kind}, text_key bigint, fingerprint bigint")
 
 
 def simhash(text: bytes, shingle: int, seed: int) -> int:
@@ -69,7 +70,7 @@ def simhash(text: bytes, shingle: int, seed: int) -> int:
 
 
 def near_copy_groups(documents: DataFrame, shingle: int = 4, radius: int = 4, seed: int = 42) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits) and component_id.
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id and text_key, a hash of the text.
 
     Documents whose fingerprints differ in ``radius`` bits or fewer are linked; ``component_id`` is the
     smallest doc_id that can be reached over links. Repeated rows and ids stay as they are. NULL ids get a
@@ -86,10 +87,33 @@ def near_copy_groups(documents: DataFrame, shingle: int = 4, radius: int = 4, se
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
     known = named.select("fingerprint", "root").join(smallest, "root").select("fingerprint", "component_id")
     return marks.join(known, "fingerprint").select(
-        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id", "text_key"
     )
 
 
+def one_of_each_group(documents: DataFrame, **bounds: int) -> DataFrame:
+    """The rows of ``documents`` with the smallest id of their group, with all their columns.
+
+    Of rows that share this id the one with the least text hash stays, and one row of those that repeat it.
+    """
+    groups = settled(near_copy_groups(documents, **bounds), "groups")
+    copies = groups.groupBy("component_id", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("times"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("first")
+    least = copies.groupBy("component_id").agg(first).select(
+        F.col("component_id").alias("_component"), F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")
+    )
+    own = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
+    judged = copies.join(least, F.col("component_id").eqNullSafe(F.col("_component"))).select(
+        F.col("doc_id").alias("_doc"), F.col("text_key").alias("_text"), own.alias("stays"), "times"
+    )
+    judged = settled(judged.where("not stays or times > 1"), "judged")
+    keyed = documents.withColumn("_text_key", F.xxhash64("text"))
+    match = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text_key") == F.col("_text"))
+    single = keyed.join(small(judged), match, "left_anti")
+    repeated = keyed.join(small(judged.where("stays")), match, "left_semi").dropDuplicates(["doc_id", "_text_key"])
+    return single.unionByName(repeated).drop("_text_key")
+
+
 def links(distinct: DataFrame, radius: int) -> DataFrame:
     """Edges (a, b) that join all distinct fingerprints within ``radius`` bits of each other.
 

@@ -2,22 +2,17 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tidemark.llm.decontaminate import leaks
 from tidemark.llm.language import predicted_languages
 from tidemark.llm.near_copies import near_copy_groups
 from tidemark.llm.packing import pack
+from tidemark.llm.settings import SURROGATE_KEY, TOKENIZER
+from tidemark.llm.surrogates import with_surrogates
 from tidemark.llm.tables import table
 
-# The vocabulary, the same as ranks, and its pattern.
-TOKENIZER = {
-    "vocabulary": public_tokenizers.path("byte_bpe_50k.json"),
-    "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"),
-    "pattern": public_tokenizers.PATTERN,
-}
-
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -27,6 +22,11 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copy_groups(table(spark, sf_dir, "documents"), shingle=4, radius=4, seed=42)
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return with_surrogates(documents, SURROGATE_KEY)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), **TOKENIZER, capacity=1024)
 
@@ -38,7 +38,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op8_pii_surrogates": op8_pii_surrogates,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_language_id": op10_language_id,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {}
