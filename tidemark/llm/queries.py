@@ -9,6 +9,7 @@ from tidemark.llm.decontaminate import leaks
 from tidemark.llm.language import predicted_languages
 from tidemark.llm.near_copies import near_copy_groups
 from tidemark.llm.packing import pack
+from tidemark.llm.repeats import without_repeats
 from tidemark.llm.settings import SURROGATE_KEY, TOKENIZER
 from tidemark.llm.surrogates import with_surrogates
 from tidemark.llm.tables import table
@@ -18,6 +19,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents"), length=400).drop("kept")
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copy_groups(table(spark, sf_dir, "documents"), shingle=4, radius=4, seed=42)
 
@@ -37,6 +42,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_best_fit_packing": op9_best_fit_packing,

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.session import work_folder
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -21,10 +23,27 @@ def settled(frame: DataFrame, name: str) -> DataFrame:
     """
     spark = frame.sparkSession
     folder = work_folder(spark, name)
-    frame.write.parquet(folder)
+    # Nothing reads the shuffles again once their result is written.
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        frame.write.parquet(folder)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def discard(frame: DataFrame) -> None:
+    """Delete the files of a settled frame that nothing reads any more."""
+    spark = frame.sparkSession
+    for file in {name.rsplit("/", 1)[0] for name in frame.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def id_remainder(key: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; NULL ids count as the empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % divisor
