@@ -13,6 +13,7 @@ from tidemark.llm.repeats import without_repeats
 from tidemark.llm.settings import SURROGATE_KEY, TOKENIZER
 from tidemark.llm.surrogates import with_surrogates
 from tidemark.llm.tables import table
+from tidemark.llm.toxicity import toxicity
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,10 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"), length=400).drop("kept")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copy_groups(table(spark, sf_dir, "documents"), shingle=4, radius=4, seed=42)
 
@@ -43,6 +48,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_best_fit_packing": op9_best_fit_packing,
