@@ -8,7 +8,9 @@ import corpus_pipeline
 from tidemark.llm.decontaminate import leaks
 from tidemark.llm.language import predicted_languages
 from tidemark.llm.near_copies import near_copy_groups
+from tidemark.llm.nearest import nearest
 from tidemark.llm.packing import pack
+from tidemark.llm.pages import main_texts
 from tidemark.llm.repeats import without_repeats
 from tidemark.llm.settings import SURROGATE_KEY, TOKENIZER
 from tidemark.llm.surrogates import with_surrogates
@@ -32,6 +34,14 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copy_groups(table(spark, sf_dir, "documents"), shingle=4, radius=4, seed=42)
 
 
+def op6_multi_index_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return with_surrogates(documents, SURROGATE_KEY)
@@ -50,6 +60,8 @@ QUERIES = {
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op6_multi_index_neighbours": op6_multi_index_neighbours,
+    "op7_html_extraction": op7_html_extraction,
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_language_id": op10_language_id,
