@@ -189,7 +189,8 @@ def repeated_spans(texts: DataFrame, length: int, reach: int) -> DataFrame:
     wanted = classes.groupBy(*TEXT).agg(
         F.collect_list(F.struct("lo", "hi", "first", (F.col("n") == 1).alias("open"))).alias("wanted")
     )
-    strings = settled(_strings(texts.join(wanted, [*TEXT]), length), "third-pass")
+    # Settled sides are joined by plain shuffles, of which Spark can split a text that very many rows share.
+    strings = settled(_strings(texts.join(settled(wanted, "wanted"), [*TEXT]), length), "third-pass")
     equal = settled(
         strings.groupBy("first", "string")
         .agg(F.min("place").alias("least"), F.max("place").alias("most"))
@@ -220,7 +221,7 @@ def without_repeats(documents: DataFrame, length: int = 400, reach: int = 128) -
     texts = texts.withColumns({"text_key": F.xxhash64("text"), "n_bytes": F.octet_length("text").cast("bigint")})
     spans = repeated_spans(texts.where(F.col("n_bytes") >= length).select(*TEXT, "text"), length, reach)
     packed = spans.select(*TEXT, (F.col("lo") * reach + F.col("hi") - F.col("lo")).alias("span")).distinct()
-    lists = packed.groupBy(*TEXT).agg(F.collect_list("span").alias("spans"))
+    lists = settled(packed.groupBy(*TEXT).agg(F.collect_list("span").alias("spans")), "spans")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
