@@ -15,12 +15,11 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shingles import joined, shingle_rows, small, words
+from tidemark.llm.shingles import DOC, item_windows, joined, sized_items, sized_shingles, small, with_words
 from tidemark.llm.tables import renamed, settled
 
 BITS = 64
 BLOCK_BITS = 8
-DOC = ("doc_id", "text_key")
 
 
 def leaks(
@@ -37,60 +36,22 @@ def leaks(
     """
     if not 0.5 <= similarity <= 1:
         raise ValueError("windows are chosen for similarities of 0.5 to 1")
-    texts = renamed(documents, {"doc_id": "doc_id", "text": "text"}).select(
-        "doc_id", F.xxhash64("text").alias("text_key"), words(F.col("text")).alias("words")
-    )
-    items = settled(
-        renamed(benchmark, {"item_id": "item_id", "text": "text"})
-        .select("item_id", words(F.col("text")).alias("words"))
-        .where(F.size("words") > 0)
-        .select("item_id", "words", F.size("words").alias("n"), F.least(F.size("words"), F.lit(shingle)).alias("k")),
-        "items",
-    )
+    texts = with_words(documents)
+    items = settled(sized_items(renamed(benchmark, {"item_id": "item_id", "text": "text"}), shingle), "items")
     sizes = sorted(row["k"] for row in items.select("k").distinct().collect())
     if not sizes:
         return _best(_no_matches(texts, items))
-    item_shingles = settled(reduce(DataFrame.union, [_shingles(items, k, "item_id", "n", "k") for k in sizes]), "item-shingles")
+    item_shingles = settled(reduce(DataFrame.union, [sized_shingles(items, k, "item_id", "n", "k") for k in sizes]), "item-shingles")
     windows = settled(
-        reduce(DataFrame.union, [_windows(texts, item_shingles, k) for k in sizes]), "windows"
+        reduce(DataFrame.union, [item_windows(texts, item_shingles, k) for k in sizes]), "windows"
     )
     item_marks = _marks(item_shingles, "item_id", "n").toDF("item_id", "n", "item_mark")
-    shingles = reduce(DataFrame.union, [_shingles(windows, k, *DOC, "n", "k", "start") for k in sizes])
+    shingles = reduce(DataFrame.union, [sized_shingles(windows, k, *DOC, "n", "k", "start") for k in sizes])
     marks = settled(_marks(shingles, *DOC, "n", "start"), "marks")
     near = settled(_within(marks, item_marks, radius), "near")
     return _best(_verified(near, windows, item_shingles, sizes, similarity))
 
 
-def _shingles(frame: DataFrame, k: int, *keep: str) -> DataFrame:
-    return shingle_rows(frame.where(F.col("k") == k), "words", k, *keep)
-
-
-def _windows(texts: DataFrame, item_shingles: DataFrame, k: int) -> DataFrame:
-    """Item-sized windows of the documents that share enough shingles with items of their size."""
-    known = item_shingles.where(F.col("k") == k).select("shingle", "n").distinct()
-    hits = shingle_rows(
-        texts.withColumn("size", F.size("words")), "words", k, *DOC, "size"
-    ).join(small(known), "shingle")
-    span = F.col("n") - (k - 1)
-    last = F.greatest(F.lit(0), F.least(F.col("pos"), F.col("size") - F.col("n")))
-    starts = (
-        hits.select(*DOC, "n", F.explode(F.sequence(F.greatest(F.lit(0), F.col("pos") - span + 1), last)).alias("start"))
-        .groupBy(*DOC, "n", "start")
-        .agg(F.count(F.lit(1)).alias("hits"))
-        .where(F.col("hits") * 2 >= span)  # a similar window shares more of the item's shingles
-        .groupBy(*DOC)
-        .agg(F.collect_list(F.struct("n", "start")).alias("places"))
-    )
-    starts = settled(starts, "starts")
-    return joined(texts, small(starts), *DOC).select(*DOC, "words", F.explode("places").alias("place")).select(
-        *DOC,
-        "place.n",
-        F.lit(k).alias("k"),
-        "place.start",
-        F.slice("words", F.col("place.start") + 1, F.col("place.n")).alias("words"),
-    ).distinct()
-
-
 def _marks(shingles: DataFrame, *keys: str) -> DataFrame:
     """The SimHash of each group of shingles: a bit is 1 if it is set in over half of them."""
     ones = [F.sum(F.shiftright("shingle", bit).bitwiseAND(F.lit(1))).alias(f"b{bit}") for bit in range(BITS)]
@@ -140,7 +101,7 @@ def _verified(
     """Pairs with their weighted Jaccard similarity, where it is high enough."""
     pairs = joined(near, windows, *DOC, "n", "start")
     keys = (*DOC, "n", "start", "item_id", "distance")
-    own = reduce(DataFrame.union, [_shingles(pairs, k, *keys) for k in sizes])
+    own = reduce(DataFrame.union, [sized_shingles(pairs, k, *keys) for k in sizes])
     own = own.groupBy(*keys, "shingle").agg(F.count(F.lit(1)).alias("times"))
     theirs = item_shingles.groupBy("item_id", "shingle").agg(F.count(F.lit(1)).alias("item_times"))
     totals = item_shingles.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_total"))

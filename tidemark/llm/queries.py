@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from tidemark.llm.decontaminate import leaks
 from tidemark.llm.language import predicted_languages
+from tidemark.llm.licenses import license_matches, templates
 from tidemark.llm.near_copies import near_copy_groups
 from tidemark.llm.nearest import nearest
 from tidemark.llm.packing import pack
@@ -34,6 +35,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copy_groups(table(spark, sf_dir, "documents"), shingle=4, radius=4, seed=42)
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_matches(table(spark, sf_dir, "documents"), templates(spark))
+
+
 def op6_multi_index_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
@@ -60,6 +65,7 @@ QUERIES = {
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_license_scan": op5_license_scan,
     "op6_multi_index_neighbours": op6_multi_index_neighbours,
     "op7_html_extraction": op7_html_extraction,
     "op8_pii_surrogates": op8_pii_surrogates,
