@@ -25,6 +25,8 @@ GRAM_LENGTHS = (4, 5, 6)
 BLOCK = 64
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 _EVIDENCE = 3
+# Blocks that a query reads before it looks at its bounds again; then twice as many each time.
+_FIRST_BLOCKS = 2
 # Chi-square that none of some hundred thousand n-grams reaches by chance.
 _SURE = 30.0
 _ROWS = 100_000
@@ -94,24 +96,33 @@ class BlockMaxIndex:
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` examples of greatest cosine above 0 and their cosines; ties go to the earlier example."""
-        bounds = weight @ self.bound[term] if len(term) else np.zeros(self.bound.shape[1])
-        blocks = np.argsort(-bounds, kind="stable")
         best, score = np.empty(0, np.int64), np.empty(0)
-        for block in blocks[bounds[blocks] > 0].tolist():
-            # A bound is a sum in another order than a score, so it may be lower by rounding.
-            if len(score) == k and bounds[block] < score[-1] - 1e-9:
-                break
-            scores = np.zeros(BLOCK)
-            for one, heavy in zip(term.tolist(), weight.tolist()):
-                lo, hi = self.first[one, block], self.first[one, block + 1]
-                scores[self.example[lo:hi] - block * BLOCK] += heavy * self.weight[lo:hi]
+        if not len(term):
+            return best, score
+        bounds = weight @ self.bound[term]
+        blocks = np.argsort(-bounds, kind="stable")
+        blocks = blocks[bounds[blocks] > 0]
+        at, many = 0, _FIRST_BLOCKS
+        # A bound is a sum in another order than a score, so it may be lower by rounding.
+        while at < len(blocks) and not (len(score) == k and bounds[blocks[at]] < score[-1] - 1e-9):
+            read, at, many = blocks[at : at + many], at + many, many * 2
+            scores = self._scores(term, weight, read)
             found = np.flatnonzero(scores)
-            found = found[found + block * BLOCK != but]
-            best, score = np.r_[best, found + block * BLOCK], np.r_[score, scores[found]]
+            found = found[found != but]
+            best, score = np.r_[best, found], np.r_[score, scores[found]]
             order = np.lexsort((best, -score))[:k]
             best, score = best[order], score[order]
         return best, score
 
+    def _scores(self, term: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """The cosines of the examples in some blocks, from the postings of the query's terms there."""
+        lo = self.first[term][:, blocks].ravel()
+        sizes = self.first[term][:, blocks + 1].ravel() - lo
+        stops = np.cumsum(sizes)
+        posting = np.repeat(lo - (stops - sizes), sizes) + np.arange(stops[-1])
+        heavy = np.repeat(np.repeat(weight, len(blocks)), sizes)
+        return np.bincount(self.example[posting], heavy * self.weight[posting], len(self.ids))
+
 
 @dataclass(frozen=True)
 class ToxicityModel:
