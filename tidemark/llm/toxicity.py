@@ -25,6 +25,8 @@ GRAM_LENGTHS = (4, 5, 6)
 BLOCK = 64
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 _EVIDENCE = 3
+# Cosine mass that speaks against the label: a few far neighbours say little.
+_DOUBT = 3.0
 # Blocks that a query reads before it looks at its bounds again; then twice as many each time.
 _FIRST_BLOCKS = 2
 # Chi-square that none of some hundred thousand n-grams reaches by chance.
@@ -143,7 +145,7 @@ class ToxicityModel:
 
 
 def _vote(labels: np.ndarray, cosine: np.ndarray) -> float:
-    return float((labels * cosine).sum() / cosine.sum())
+    return float((labels * cosine).sum() / (cosine.sum() + _DOUBT))
 
 
 def train(
