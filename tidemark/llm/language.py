@@ -106,9 +106,11 @@ def _frozen(languages: tuple[str, ...], grams: pd.DataFrame, least: int) -> Lang
     times = grams["times"].to_numpy(np.float64)
     language = np.searchsorted(np.array(languages), grams["lang"].to_numpy(str))
     seen = np.unique(gram & 255)
-    classes = np.zeros(256, np.int32)
-    classes[seen] = np.arange(1, len(seen) + 1)
-    width = len(seen) + 1
+    # Class 0 is the edge of a text, class 1 all bytes that training never held.
+    classes = np.ones(256, np.int32)
+    classes[_EDGE[0]] = 0
+    classes[seen] = np.arange(2, len(seen) + 2)
+    width = len(seen) + 2
     part = [classes[(gram >> shift) & 255].astype(np.int64) for shift in (24, 16, 8, 0)]
     shape = (width, width, width)
     rows = np.zeros(shape, np.int32)

@@ -128,7 +128,7 @@ def nearest(
     share: float = 0.45,
     least: int = 2000,
     sample: int = 20_000,
-    per_cell: int = 4,
+    per_cell: int = 1,
     most: int = 1024,
 ) -> DataFrame:
     """The ``k`` nearest rows found for each query: query_id, rank from 1, vec_id and score, the Euclidean distance.
