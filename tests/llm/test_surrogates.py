@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from tests.llm.cases import documents, rows
+from tidemark.llm import surrogates
+from tidemark.llm.surrogates import GIVEN_NAMES, with_surrogates
+
+
+def replaced(spark, *texts, key="k"):
+    frame = documents(spark, list(enumerate(texts)))
+    return [row.text for row in with_surrogates(frame, key).orderBy("doc_id").collect()]
+
+
+def luhn(digits):
+    numbers = [int(d) for d in reversed(digits)]
+    return sum(n if at % 2 == 0 else sum(divmod(2 * n, 10)) for at, n in enumerate(numbers)) % 10 == 0
+
+
+FORMS = [
+    ("a.b+9@Mail7.example.com", r"[a-z]\.[a-z]\+\d@[A-Z][a-z]{3}\d\.[a-z]{7}\.com"),
+    ("+1 (017) 555-7713", r"\+1 \(\d{3}\) \d{3}-\d{4}"),
+    ("97.51.17.173", r"\d{1,3}(\.\d{1,3}){3}"),
+    ("9807915762804490", r"9\d{15}"),
+    ("4111-1111-1111-1111", r"4\d{3}-\d{4}-\d{4}-\d{4}"),
+    ("123-45-6789", r"\d{3}-\d{2}-\d{4}"),
+    ("DE89 3704 0044 0532 0130 00", r"DE\d{2}( \d{4}){4} \d{2}"),
+    ("b44e15e09fd311c3cf3163b66d5a9875b883d8ce", r"[0-9a-f]{40}"),
+    ("9233A8ECF7C5B09FE5949719B6B82BC439E9329B", r"[0-9A-F]{40}"),
+    ("Mrs Anna Petrova", rf"Mrs ({'|'.join(GIVEN_NAMES['latin', 'female'])}) [A-Z][a-z]+"),
+    ("Иван Петров", rf"({'|'.join(GIVEN_NAMES['cyrillic', 'male'])}) [А-Я][а-я]+"),
+]
+
+
+@pytest.mark.parametrize("entity, form", FORMS)
+def test_surrogates_keep_kind_and_form(spark, entity, form):
+    [text] = replaced(spark, f"See {entity}, or not.")
+    found = re.fullmatch(rf"See ({form}), or not\.", text)
+    assert found and found[1] != entity
+
+
+def test_secrets_with_a_name(spark):
+    [text] = replaced(spark, 'api_key: "AbC123_def-456GhI" and token = abcdefghijklmnop1')
+    assert re.fullmatch(r'api_key: "[A-Z][a-z][A-Z]\d{3}_[a-z]{3}-\d{3}[A-Z][a-z][A-Z]" and token = [a-z]{16}\d', text)
+    assert "AbC123" not in text and "abcdefgh" not in text
+
+
+def test_one_entity_has_one_surrogate_in_any_spelling(spark):
+    texts = replaced(
+        spark,
+        "Ms Smith, BOB@X.ORG, +1 (017) 555-7713, 4111 1111 1111 1111",
+        "Mary Smith, bob@x.org, +10175557713, 4111111111111111",
+    )
+    first, second = (text.split(", ") for text in texts)
+    assert first[0].split()[-1] == second[0].split()[-1] != "Smith"
+    assert first[1].lower() == second[1] and first[1].isupper()
+    assert re.sub(r"\D", "", first[2]) == re.sub(r"\D", "", second[2])
+    assert first[3].replace(" ", "") == second[3] and luhn(second[3])
+
+
+def test_two_entities_never_share_a_surrogate(spark, monkeypatch):
+    # Alphabets so small that most draws collide.
+    monkeypatch.setitem(surrogates.ALPHABETS, "latin", "ab")
+    monkeypatch.setitem(surrogates.ALPHABETS, "digit", "01")
+    names = [f"q{n:03d}@z.org" for n in range(20)]
+    texts = replaced(spark, *names)
+    assert len(set(texts)) == 20 and not set(texts) & set(names)
+
+
+def test_clean_rows_nulls_and_other_columns_stay(spark):
+    frame = documents(spark)
+    got = with_surrogates(frame, "k")
+    assert got.columns == [*frame.columns, "n_replaced"]
+    assert rows(got.drop("n_replaced"), *frame.columns) == rows(frame, *frame.columns)
+    assert {row.n_replaced for row in got.collect()} == {0}
+    assert with_surrogates(documents(spark, []), "k").count() == 0
+
+
+def test_repeated_rows_come_out_alike_and_keys_differ(spark):
+    one, two = replaced(spark, "mail a@b.com 1.2.3.4 end", "mail a@b.com 1.2.3.4 end")
+    assert one == two and one.startswith("mail ") and one.endswith(" end")
+    assert replaced(spark, "mail a@b.com 1.2.3.4 end", key="other") != [one]
+
+
+def test_many_entities_in_one_text(spark):
+    [text] = replaced(spark, " | ".join(f"u{n}@site.org" for n in range(2000)))
+    parts = text.split(" | ")
+    assert len(set(parts)) == 2000 and all(part.endswith(".org") for part in parts)
