@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.shingles import small
 from tidemark.llm.tables import settled
 
 # Titles and given names that mark persons, by script and gender.
@@ -59,11 +60,13 @@ _IP = rf"{_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)"
 _CARD = r"(?:\d{13,19}|\d{4}(?:-\d{4}){2}-\d{1,7}|\d{4}(?: \d{4}){3})(?!\d)"
 _SSN = r"\d{3}-\d{2}-\d{4}(?!\d)"
 _PHONE = r"(?:\+\d{1,3}(?:[ .\-]?\(?\d{2,4}\)?){2,5}|\(?\d{3}\)?[ .\-]\d{3}[ .\-]\d{4})(?!\d)"
-_PERSON = rf"(?:(?:{'|'.join(TITLES)})\.? {_NAME}(?: {_NAME})?|(?:{_GIVEN}) {_NAME})"
+_PERSON = rf"(?=\p{{Lu}}|г)(?:(?:{'|'.join(TITLES)})\.? {_NAME}(?: {_NAME})?|(?:{_GIVEN}) {_NAME})"
 ENTITY = "(?<![\\p{L}\\p{N}])(?:" + "|".join((_EMAIL, _KEYED, _HEX, _IBAN, _IP, _CARD, _SSN, _PHONE, _PERSON)) + ")"
 
-# Later draws give up on avoiding true values, where these fill the whole space, but never on distinctness.
+# Where entities fill most of what their form allows, later draws no longer avoid true values, and the last
+# one, that only a form with too few values for its entities ever reaches, takes what it gets.
 AVOIDING_DRAWS = 8
+MOST_DRAWS = 64
 
 
 def with_surrogates(documents: DataFrame, key: str) -> DataFrame:
@@ -75,11 +78,8 @@ def with_surrogates(documents: DataFrame, key: str) -> DataFrame:
     gives the same surrogates over the same corpus.
     """
     columns = [name for name in documents.columns if name != "n_replaced"]
-    found = F.coalesce(F.col("text").rlike(ENTITY), F.lit(False))
-    kept = [F.col(f"`{name}`") for name in columns]
-    clean = documents.where(~found).select(*kept, F.lit(0).alias("n_replaced"))
-    holding = documents.where(found).select(*kept, F.md5("text").alias("_text_key"))
-    parts = settled(_parts(holding), "parts")
+    keyed = documents.select(*[F.col(f"`{name}`") for name in columns], F.md5("text").alias("_text_key"))
+    parts = settled(_parts(keyed), "parts")
     known = _mapping(parts.where("value is not null").select("kind", "value").distinct(), key)
     rendered = parts.join(known, ["kind", "value"], "left").select(
         "text_key", "pos", "part", F.concat(F.when(F.col("part") > 0, " ").otherwise(""), _rendered(key)).alias("out")
@@ -88,22 +88,27 @@ def with_surrogates(documents: DataFrame, key: str) -> DataFrame:
         F.collect_list(F.struct("pos", "part", "out")).alias("_parts"),
         (F.max("pos") + 1).alias("_entities"),
     )
+    lists = settled(lists, "lists")
+    # Only texts that hold an entity are shuffled, unless these are too many to be known everywhere.
+    holding = small(lists.select("text_key"))
+    same = F.col("_text_key") == F.col("text_key")
+    kept = [F.col(f"`{name}`") for name in columns]
+    clean = keyed.join(holding, same, "left_anti").select(*kept, F.lit(0).alias("n_replaced"))
     gaps = F.transform(
         F.split("text", ENTITY, -1),
         lambda gap, at: F.struct(at.alias("pos"), F.lit(-1).alias("part"), gap.alias("out")),
     )
-    ordered = F.sort_array(F.concat("_parts", gaps))
-    text = F.array_join(F.transform(ordered, lambda piece: piece["out"]), "")
-    replaced = holding.join(lists, F.col("_text_key") == F.col("text_key")).select(
+    text = F.array_join(F.transform(F.sort_array(F.concat("_parts", gaps)), lambda piece: piece["out"]), "")
+    replaced = keyed.join(holding, same, "left_semi").join(lists, same).select(
         *[text.alias("text") if name == "text" else F.col(f"`{name}`") for name in columns],
         F.col("_entities").alias("n_replaced"),
     )
     return clean.unionByName(replaced)
 
 
-def _parts(holding: DataFrame) -> DataFrame:
+def _parts(keyed: DataFrame) -> DataFrame:
     """The parts of all entities of each distinct text; a person's name has several, all others one."""
-    mentions = holding.select(
+    mentions = keyed.select(
         F.col("_text_key").alias("text_key"),
         F.posexplode(F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0))).alias("pos", "mention"),
     ).distinct()
@@ -150,7 +155,7 @@ def _mapping(entities: DataFrame, key: str) -> DataFrame:
     taken = entities.select("kind", F.col("value").alias("surrogate"))
     pending, accepted, draw = entities, [], 0
     while not pending.isEmpty():
-        drawn = pending.withColumn("surrogate", _surrogate(key, draw))
+        drawn = _with_digest(pending, key, draw).withColumn("surrogate", _surrogate(draw))
         first = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("value")) == 1
         used = reduce(DataFrame.union, [part.select("kind", "surrogate") for part in accepted], taken.limit(0))
         if draw < AVOIDING_DRAWS:
@@ -158,7 +163,7 @@ def _mapping(entities: DataFrame, key: str) -> DataFrame:
         checked = (
             drawn.withColumn("first", first)
             .join(used.distinct().withColumn("used", F.lit(True)), ["kind", "surrogate"], "left")
-            .select("kind", "value", "surrogate", (F.col("first") & F.col("used").isNull()).alias("good"))
+            .select("kind", "value", "surrogate", ((F.col("first") & F.col("used").isNull()) | F.lit(draw + 1 >= MOST_DRAWS)).alias("good"))
         )
         checked = settled(checked, "drawn")
         accepted.append(checked.where("good").select("kind", "value", "surrogate"))
@@ -177,12 +182,17 @@ def _pick(alphabet: str, number: Column) -> Column:
     return F.substring(F.lit(alphabet), number % len(alphabet) + 1, 1)
 
 
-def _surrogate(key: str, draw: int) -> Column:
-    """The canonical surrogate of an entity (kind, value) in one draw."""
+def _with_digest(entities: DataFrame, key: str, draw: int) -> DataFrame:
+    """Entities with the keyed digest of a draw, as numbers, and the place where an email's last label begins."""
     seed = F.concat_ws("|", F.lit(key), F.lit(str(draw)), "kind", "value")
     digest = F.concat(F.sha2(F.concat(seed, F.lit("|0")), 512), F.sha2(F.concat(seed, F.lit("|1")), 512))
-    kind, value = F.col("kind"), F.col("value")
-    tail = F.length(F.regexp_extract("value", r"\.[^.]*$", 0))
+    tail = F.length("value") - F.length(F.regexp_extract("value", r"\.[^.]*$", 0))
+    return entities.withColumns({"digest": digest, "tail": tail})
+
+
+def _surrogate(draw: int) -> Column:
+    """The canonical surrogate of an entity (kind, value, digest, tail) in one draw."""
+    kind, value, digest = F.col("kind"), F.col("value"), F.col("digest")
 
     def drawn(char: Column, at: Column) -> Column:
         number = _number(digest, at)
@@ -190,7 +200,7 @@ def _surrogate(key: str, draw: int) -> Column:
             ((kind == "phone") & (at == 1) & value.startswith("+"))
             | ((kind == "card") & (at == 0))
             | ((kind == "iban") & (at < 2))
-            | ((kind == "email") & (at >= F.length(value) - tail))
+            | ((kind == "email") & (at >= F.col("tail")))
         )
         return (
             F.when(fixed, char)
