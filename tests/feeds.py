@@ -38,7 +38,7 @@ def frame(spark: SparkSession, events: list[Event]) -> DataFrame:
 def survivors(events: list[Event]) -> dict[int, list[Event]]:
     """Per key, in time order, the event that counts at each minute."""
     found: dict[int, dict[int, Event]] = {}
-    for event in sorted(events, key=lambda e: (e[3], e[4], e[2] == "delete", e[5])):
+    for event in sorted(events, key=lambda e: (e[3], e[4], e[5], e[2] != "delete")):
         found.setdefault(event[0], {})[event[3]] = event
     return {key: [points[m] for m in sorted(points)] for key, points in found.items()}
 

@@ -8,6 +8,7 @@ from tidemark.functions.keys import business_key, surrogate_key
 from tidemark.functions.metadata import silver_metadata
 from tidemark.operators import normalize
 from tidemark.operators.members import with_unknown_member
+from tidemark.sources.changelog import feed_settings
 
 
 def one(spark, *columns):
@@ -125,3 +126,11 @@ def test_unknown_member_keeps_the_column_types(spark):
     unknown = both.where("part_key = -1").first()
     assert (unknown["name"], str(unknown["price"]), unknown["flag"]) == ("Unknown", "0.00", False)
     assert (str(unknown["day"]), unknown["year"]) == ("1900-01-01", 1900)
+
+
+def test_feed_that_was_unset_is_off(spark):
+    on, off = '{"delta.enableChangeDataFeed":"true"}', '["delta.enableChangeDataFeed"]'
+    rows = [(0, None), (1, on), (2, off), (3, '["other"]'), (4, on)]
+    commits = spark.createDataFrame([(v, v, p) for v, p in rows], "version bigint, timestamp bigint, properties string")
+    switched = [(row.version, row.enabled) for row in feed_settings(commits).orderBy("version").collect()]
+    assert switched == [(1, True), (2, False), (4, True)]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tests import feeds
 from tidemark.operators import scd
-from tidemark.operators.skew import with_group_facts
+from tidemark.operators.skew import hot_keys, join_hot, with_group_facts
 
 TIES = ("n",)
 
@@ -111,13 +111,36 @@ def test_copies_of_an_event_count_once(spark):
     assert feeds.as_scd2(rows) == {(1, 5, 0, 0, 3), (1, 6, 1, 3, None)}
 
 
-def test_delete_wins_a_tie(spark):
-    events = [(1, 5, "insert", 0, 0, 0), (1, 5, "delete", 4, 0, 1), (1, 6, "update", 4, 0, 2)]
+@pytest.mark.parametrize("ties", [TIES, ()])
+def test_a_rewritten_row_stays(spark, ties):
+    events = [(1, 5, "insert", 0, 0, 0), (1, 5, "delete", 4, 1, 1), (1, 6, "insert", 4, 1, 2)]
     frame = feeds.frame(spark, events)
-    assert feeds.as_scd2(scd.scd2_history(frame, ["k"], tie_break=TIES)) == {(1, 5, 0, 0, 4)}
+    assert feeds.as_scd2(scd.scd2_history(frame, ["k"], tie_break=ties)) == {(1, 5, 0, 0, 4), (1, 6, 2, 4, None)}
+    assert feeds.as_scd1(scd.scd1_latest(frame, ["k"], tie_break=ties)) == {(1, 6, 2)}
+
+
+def test_given_order_comes_before_the_kind_of_change(spark):
+    frame = feeds.frame(spark, [(1, 5, "insert", 0, 0, 0), (1, 6, "update", 4, 1, 1), (1, 6, "delete", 4, 1, 2)])
     assert feeds.as_scd1(scd.scd1_latest(frame, ["k"], tie_break=TIES)) == set()
 
 
+def test_ties_do_not_depend_on_when_a_run_took_place(spark):
+    frame = feeds.frame(spark, [(n, v, "update", 4, 1, 0) for n in range(20) for v in (5, 6, 7)])
+    frame = frame.withColumn("tags", F.create_map(F.lit("b"), "v", F.lit("a"), "v"))
+    kept = [
+        sorted((row.k, row.v) for row in scd.scd1_latest(frame.withColumn("_silver_timestamp", F.lit(run)), ["k"]).collect())
+        for run in range(4)
+    ]
+    assert all(one == kept[0] for one in kept)
+
+
+def test_rows_of_a_null_hot_key_are_split_off(spark):
+    frame = feeds.frame(spark, feeds.random_events(7, count=60)).withColumn("k", F.lit(None).cast("int"))
+    hot = hot_keys(frame, ["k"], 10)
+    assert join_hot(frame, hot, ["k"], "left_anti").count() == 0
+    assert join_hot(frame, hot, ["k"], "left_semi").count() == 60
+
+
 def test_feed_of_deletes_gives_empty_tables(spark):
     frame = feeds.frame(spark, [(1, 5, "delete", 0, 0, 0), (2, 5, "delete", 1, 0, 1)])
     assert scd.scd1_latest(frame, ["k"]).count() == 0

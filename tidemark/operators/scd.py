@@ -1,8 +1,9 @@
 """Slowly changing dimensions from a stream of keyed changes.
 
-Events of a key are put into one total order: the sequence column, then the commit version, deletes
-after other changes, then ``tie_break`` columns (a hash of the row where none are given). Of the events
-that share a sequence value only the last one counts, so versions never have zero length.
+Events of a key are put into one total order: the sequence column, then the commit version, then the
+``tie_break`` columns, then row images after deletes, since a commit that rewrites a row deletes and inserts
+it, and at last a hash of the business columns where no tie-break is given. Of the events that share a
+sequence value only the last one counts, so versions never have zero length.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ from pyspark.sql import types as T
 
 from tidemark import names as N
 from tidemark.functions.keys import surrogate_key
-from tidemark.operators.skew import HOT_ROWS, hot_keys, with_group_facts
+from tidemark.operators.skew import HOT_ROWS, hot_keys, join_hot, with_group_facts
 
 DELETES = f"{N.RAW_CHANGE_TYPE} = '{N.DELETE}'"
 
 IS_DELETE = "_is_delete"
+_IMAGE = "_is_image"
 _RANK = "_rank_hash"
 _SLICE = "_slice"
 _MARKER = "_marker"
@@ -86,10 +88,10 @@ def event_intervals(
     hot = hot_keys(events, keys, hot_rows)
     columns = [*changes.columns, IS_DELETE, _NEXT]
 
-    ordinary = _with_next(events.join(hot, keys, "left_anti"), keys, order, sequence_by)
+    ordinary = _with_next(join_hot(events, hot, keys, "left_anti"), keys, order, sequence_by)
     # Events at the same point collapse first, on the map side, so that a slice stays small even
     # where one event was copied many times.
-    points = last_events(events.join(hot, keys, "left_semi"), [*keys, sequence_by], order)
+    points = last_events(join_hot(events, hot, keys, "left_semi"), [*keys, sequence_by], order)
     sliced = points.withColumn(_SLICE, _slice(points, sequence_by)).withColumn(_MARKER, F.lit(False))
     in_time = Window.partitionBy(*keys).orderBy(_SLICE)
     markers = (
@@ -173,16 +175,24 @@ def _ordered(
     sequence = F.coalesce(
         F.col(sequence_by), F.raise_error(F.lit(f"an event has no {sequence_by}"))
     )
-    added = {
-        sequence_by: sequence,
-        IS_DELETE: F.coalesce(F.expr(deletes), F.lit(False)),
-    }
-    ties = list(tie_break)
-    if not ties:
-        added[_RANK] = F.xxhash64(*changes.columns)
-        ties = [_RANK]
+    is_delete = F.coalesce(F.expr(deletes), F.lit(False))
+    added = {sequence_by: sequence, IS_DELETE: is_delete, _IMAGE: ~is_delete}
+    last = []
+    if not tie_break:
+        added[_RANK] = _business_hash(changes)
+        last = [_RANK]
     version = [N.RAW_COMMIT_VERSION] if N.RAW_COMMIT_VERSION in changes.columns else []
-    return changes.withColumns(added), [sequence_by, *version, IS_DELETE, *ties]
+    return changes.withColumns(added), [sequence_by, *version, *tie_break, _IMAGE, *last]
+
+
+def _business_hash(changes: DataFrame) -> Column:
+    """A hash of the columns that no run or commit stamps, so that it is the same in every run."""
+    values = [
+        F.array_sort(F.map_entries(field.name)) if isinstance(field.dataType, T.MapType) else F.col(field.name)
+        for field in changes.schema
+        if not field.name.startswith("_")
+    ]
+    return F.xxhash64(*values) if values else F.lit(0)
 
 
 def last_events(events: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

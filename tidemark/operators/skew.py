@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +26,13 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) ->
     return F.broadcast(counted.where(F.col(_ROWS) > hot_rows).select(*keys))
 
 
+def join_hot(rows: DataFrame, hot: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join a table of hot keys; NULL is a key like any other."""
+    other = hot.withColumnsRenamed({key: f"_hot_{key}" for key in keys})
+    same = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_hot_{key}")) for key in keys])
+    return rows.join(other, same, how).drop(*[f"_hot_{key}" for key in keys])
+
+
 def with_group_facts(
     rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, **facts: Column
 ) -> DataFrame:
@@ -36,11 +45,11 @@ def with_group_facts(
     keys = list(keys)
     hot = hot_keys(rows, keys, hot_rows)
     window = Window.partitionBy(*keys)
-    ordinary = rows.join(hot, keys, "left_anti").select(
+    ordinary = join_hot(rows, hot, keys, "left_anti").select(
         *rows.columns, *[value.over(window).alias(name) for name, value in facts.items()]
     )
-    heavy = rows.join(hot, keys, "left_semi")
+    heavy = join_hot(rows, hot, keys, "left_semi")
     known = heavy.groupBy(*keys).agg(*[value.alias(name) for name, value in facts.items()])
     return ordinary.unionByName(
-        heavy.join(F.broadcast(known), keys).select(*rows.columns, *facts)
+        join_hot(heavy, F.broadcast(known), keys, "inner").select(*rows.columns, *facts)
     )

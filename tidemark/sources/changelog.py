@@ -45,10 +45,16 @@ def snapshot_at(
 
 
 def feed_settings(history: DataFrame) -> DataFrame:
-    """Commits that switched the change feed, with the boolean ``enabled`` they set."""
+    """Commits that switched the change feed, with the boolean ``enabled`` they set.
+
+    Properties that are set come as an object; those that are unset as a list of names, which turns the
+    feed off like "false" does.
+    """
     properties = F.from_json("properties", "map<string,string>")
-    setting = F.lower(F.trim(properties[N.FEED_PROPERTY]))
-    return history.select("version", "timestamp", (setting == "true").alias("enabled")).where(
+    setting = F.lower(F.trim(properties[N.FEED_PROPERTY])) == "true"
+    unset = F.array_contains(F.from_json("properties", "array<string>"), N.FEED_PROPERTY)
+    enabled = F.coalesce(setting, F.when(unset, F.lit(False)))
+    return history.select("version", "timestamp", enabled.alias("enabled")).where(
         F.col("enabled").isNotNull()
     )
 

@@ -41,7 +41,7 @@ def snapshot(version: int) -> str:
     return f"""
 SELECT user_id, event_id, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id
-      ORDER BY _commit_version DESC, _commit_timestamp DESC, _change_type = 'delete' DESC, event_id DESC) AS rn
+      ORDER BY _commit_version DESC, _commit_timestamp DESC, event_id DESC, _change_type <> 'delete' DESC) AS rn
   FROM ({FEED}) WHERE _commit_version <= {version})
 WHERE rn = 1 AND _change_type <> 'delete'"""
 
@@ -78,7 +78,7 @@ def scd1(changes: str) -> str:
     return f"""
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY _raw_commit_timestamp DESC,
-      _raw_commit_version DESC, _raw_change_type = 'delete' DESC, event_id DESC) AS rn
+      _raw_commit_version DESC, event_id DESC, _raw_change_type <> 'delete' DESC) AS rn
   FROM ({changes}))
 WHERE rn = 1 AND _raw_change_type <> 'delete'"""
 
@@ -90,7 +90,7 @@ SELECT * EXCLUDE (rn) FROM (
          lead(_raw_commit_timestamp) OVER (PARTITION BY {keys} ORDER BY _raw_commit_timestamp) AS "__END_AT"
   FROM (
     SELECT *, row_number() OVER (PARTITION BY {keys}, _raw_commit_timestamp
-        ORDER BY _raw_commit_version DESC, _raw_change_type = 'delete' DESC, event_id DESC) AS rn
+        ORDER BY _raw_commit_version DESC, event_id DESC, _raw_change_type <> 'delete' DESC) AS rn
     FROM ({changes}))
   WHERE rn = 1)
 WHERE _raw_change_type <> 'delete'"""
