@@ -197,3 +197,28 @@ def business_history(spark: SparkSession) -> DataFrame:
         "operation",
         "properties",
     )
+
+
+# --- customers whose whole table is written twice ---------------------------------------------------
+
+
+def overwritten_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Version 0 inserts all customers, version 1 deletes and inserts them again with a higher balance."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    commits = (("insert", 0, 0, LOAD_TIME), ("delete", 1, 0, RUN_TIME), ("insert", 1, 1, RUN_TIME))
+    changes = [
+        F.struct(
+            (F.col("c_acctbal") + more).alias("c_acctbal"),
+            F.lit(kind).alias(N.CHANGE_TYPE),
+            F.lit(version).cast("long").alias(N.COMMIT_VERSION),
+            moment(at).alias(N.COMMIT_TIMESTAMP),
+        )
+        for kind, version, more, at in commits
+    ]
+    return rows.select("c_custkey", F.inline(F.array(*changes)))
+
+
+def skewed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed of users, a third of it on user 1 and another third on NULL."""
+    user = F.when(F.col("event_id") % 3 == 0, F.lit(1)).when(F.col("event_id") % 3 == 2, F.col("user_id"))
+    return user_feed(spark, sf_dir).withColumn("user_id", user.cast("long"))

@@ -96,6 +96,26 @@ SELECT * EXCLUDE (rn) FROM (
 WHERE _raw_change_type <> 'delete'"""
 
 
+OVERWRITTEN = f"""
+SELECT c_custkey, c_acctbal + more AS c_acctbal, _raw_change_type, _raw_commit_version, _raw_commit_timestamp
+FROM customer, (VALUES ('insert', CAST(0 AS BIGINT), 0, {LOAD}), ('delete', 1, 0, {RUN}), ('insert', 1, 1, {RUN}))
+     AS c(_raw_change_type, _raw_commit_version, more, _raw_commit_timestamp)"""
+OVERWRITTEN_LAST = f"SELECT * FROM ({OVERWRITTEN}) WHERE _raw_commit_version = 1 AND _raw_change_type = 'insert'"
+OVERWRITTEN_SCD2 = f"""
+SELECT *, _raw_commit_timestamp AS "__START_AT",
+       CASE WHEN _raw_commit_version = 0 THEN {RUN} END AS "__END_AT"
+FROM ({OVERWRITTEN}) WHERE _raw_change_type = 'insert'"""
+
+SKEWED = f"""
+SELECT * REPLACE (CASE event_id % 3 WHEN 0 THEN 1 WHEN 2 THEN user_id END AS user_id) FROM ({FEED})"""
+SKEWED_CHANGES = f"SELECT concat_ws('|', user_id, 'MRI') AS business_key, * FROM ({normalized(SKEWED)})"
+SKEWED_VIEW = f"""
+SELECT business_key, user_id, event_id, value, _raw_change_type, _raw_commit_timestamp, _raw_commit_version,
+       NOT bool_or("__END_AT" IS NULL) OVER (PARTITION BY user_id) AS is_deleted,
+       "__END_AT" IS NULL AS is_current, "__START_AT" AS _row_valid_from
+FROM ({scd2(SKEWED_CHANGES)})"""
+
+
 def valid_to(end: str) -> str:
     return f"strftime(coalesce({end}, TIMESTAMP '9999-12-31 23:59:59'), '%Y-%m-%d %H:%M:%S') AS _row_valid_to"
 
@@ -426,6 +446,11 @@ ORACLE: dict[str, str] = {
     **{f"silver_{name}": sql for name, sql in SILVER.items()},
     "silver_stream": SILVER["order"],
     "scd1_latest": scd1(CHANGES),
+    "snapshot_overwritten": f"SELECT c_custkey, c_acctbal FROM ({OVERWRITTEN_LAST})",
+    "scd1_overwritten": OVERWRITTEN_LAST,
+    "scd2_overwritten": OVERWRITTEN_SCD2,
+    "scd2_skewed": scd2(SKEWED_CHANGES),
+    "scd2_view_skewed": SKEWED_VIEW,
     "scd2_history": scd2(CHANGES),
     "scd2_history_tied": scd2(TIED_CHANGES),
     "scd2_two_sources": scd2(TWO_SOURCES, "user_id, _source_system"),

@@ -27,6 +27,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 WINDOW_START, WINDOW_END = 5, 19
 SNAPSHOT_VERSION = 14
 MICRO_BATCHES = 4
+# Low enough that the skewed feed has hot keys in the smallest tables too.
+HOT_USER_ROWS = 100
 SECOND_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 # The two configured source systems and their tables.
@@ -297,6 +299,31 @@ def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd.scd2_history(changes, I.USER_KEYS, tie_break=("event_id",))
 
 
+def snapshot_overwritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changelog.snapshot_at(I.overwritten_feed(spark, sf_dir), ("c_custkey",), 1)
+
+
+def scd1_overwritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = normalize.normalize_changes(I.overwritten_feed(spark, sf_dir))
+    return scd.scd1_latest(changes, ("c_custkey",))
+
+
+def scd2_overwritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = normalize.normalize_changes(I.overwritten_feed(spark, sf_dir))
+    return scd.scd2_history(changes, ("c_custkey",))
+
+
+def scd2_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two hot keys, one of them NULL, split off and cut into slices."""
+    changes = I.user_changes(I.skewed_feed(spark, sf_dir))
+    return scd.scd2_history(changes, I.USER_KEYS, tie_break=("event_id",), hot_rows=HOT_USER_ROWS)
+
+
+def scd2_view_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    versions = scd2_skewed(spark, sf_dir)
+    return scd.scd2_view(versions, I.USER_KEYS, HOT_USER_ROWS).drop(N.ROW_VALID_TO)
+
+
 def scd2_history_tied(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All changes of a day at one point in time: one of them survives."""
     changes = I.user_changes(I.tied_feed(spark, sf_dir))
@@ -472,6 +499,11 @@ QUERIES: dict[str, Query] = {
     **{f"silver_{name}": _silver(name) for name in ENTITIES},
     "silver_stream": silver_stream,
     "scd1_latest": scd1_latest,
+    "snapshot_overwritten": snapshot_overwritten,
+    "scd1_overwritten": scd1_overwritten,
+    "scd2_overwritten": scd2_overwritten,
+    "scd2_skewed": scd2_skewed,
+    "scd2_view_skewed": scd2_view_skewed,
     "scd2_history": scd2_history,
     "scd2_history_tied": scd2_history_tied,
     "scd2_two_sources": scd2_two_sources,
