@@ -149,7 +149,6 @@ def test_only_changed_days_of_the_fact_are_rewritten(spark, folder, silver, monk
     assert set(third) == {"order_date_key=19950101", "order_date_key=19950103"}
 
     change(0, 3, o_orderstatus=F.lit("Z"))
-    monkeypatch.setattr(pipeline, "MOST_DAYS", 0)
     rows, _ = refresh()
     assert rows[0] == (19950101, "Z") and sorted(rows) == [0, 1, 2]
 

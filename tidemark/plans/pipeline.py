@@ -26,8 +26,8 @@ from tidemark.streaming.triggered import finish
 
 CONCURRENT_FEEDS = 3
 DAY = "order_date_key"
+_CHANGED = "_changed_day"
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
-MOST_DAYS = 10_000
 RAW_COLUMNS = (N.RAW_CHANGE_TYPE, N.RAW_COMMIT_TIMESTAMP, N.RAW_COMMIT_VERSION)
 
 
@@ -160,8 +160,8 @@ def refresh_fact_order(
 def publish_fact(spark: SparkSession, state: str, path: str) -> None:
     """Bring the published fact in line with its state, rewriting only the days that changed.
 
-    Everything is rewritten the first time, after a refresh that was never published, and when very
-    many days changed. ``<state>/published`` notes the last refresh that is out.
+    These are all days the first time and after a refresh that was never published. Days that have no orders
+    any more lose their folder. ``<state>/published`` notes the last refresh that is out.
     """
     log = f"{state}/published"
     now, published = history.refresh_count(spark, state), 0
@@ -170,36 +170,35 @@ def publish_fact(spark: SparkSession, state: str, path: str) -> None:
     if now == published:
         return
     facts = history.read_scd1(spark, state)
-    days = None
     if published and published == now - 1:
-        changed = history.changed_rows(spark, state, ["order_key"]).select(DAY).distinct()
-        days = {row[DAY] for row in changed.limit(MOST_DAYS + 1).collect()}
-    if days is None or len(days) > MOST_DAYS:
-        write_fact(facts, path)
+        days = history.changed_rows(spark, state, ["order_key"]).select(DAY)
     else:
-        known = F.col(DAY).isin([day for day in days if day is not None])
-        of_days = facts.where(known | F.col(DAY).isNull() if None in days else known)
-        write_fact(of_days, path, "dynamic")
-        left = {row[DAY] for row in of_days.select(DAY).distinct().collect()}
-        for day in days - left:
-            delete_folder(spark, f"{path}/{DAY}={NO_DAY if day is None else day}")
+        days = facts.select(DAY)
+        if path_exists(spark, path):
+            days = days.union(spark.read.schema(f"order_key long, {DAY} int").parquet(path).select(DAY))
+    days.distinct().write.mode("overwrite").parquet(f"{state}/days")
+    changed = spark.read.parquet(f"{state}/days").withColumnRenamed(DAY, _CHANGED)
+    same = F.col(DAY).eqNullSafe(F.col(_CHANGED))
+    write_fact(facts.join(changed, same, "left_semi"), path)
+    emptied = changed.join(facts.select(DAY).distinct(), same, "left_anti")
+    for row in emptied.toLocalIterator():
+        day = row[_CHANGED]
+        delete_folder(spark, f"{path}/{DAY}={NO_DAY if day is None else day}")
     done = spark.range(0, 1, 1, 1).select(F.lit(now).cast("long").alias("refresh"))
     done.write.mode("append").parquet(log)
 
 
-def write_fact(facts: DataFrame, path: str, replaced: str = "static") -> None:
-    """Write the declared columns, one directory per order day.
+def write_fact(facts: DataFrame, path: str) -> None:
+    """Write the declared columns, one directory per order day; days without rows here stay as they are.
 
     Ranges of (day, order) give every task neighbouring days and split a day that holds many orders.
-    ``replaced`` is Spark's overwrite mode: "dynamic" leaves days without rows here as they are.
     """
     typed = [F.col(name).cast(kind).alias(name) for name, kind in gold.FACT_SCHEMA.items()]
-    tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         facts.select(*typed)
-        .repartitionByRange(tasks, DAY, "order_key")
+        .repartitionByRange(DAY, "order_key")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", replaced)
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)
         .parquet(path)
     )

@@ -29,10 +29,6 @@ from tidemark.operators.skew import HOT_ROWS
 from tidemark.sources.storage import path_exists
 from tidemark.streaming.ledger import pending_batches, read_batches
 
-# Above this many touched keys all last events go through the merge: one shuffle of them, where
-# separating the touched ones would take two.
-MOST_TOUCHED = 1_000_000
-
 _REFRESH = "_refresh"
 _LATE = "_late"
 _OPEN = "_open"
@@ -109,7 +105,7 @@ def refresh_scd1(
     if new is None:
         return False
     touched = _write_touched(table, new, keys, sequence_by)
-    moved, kept = _split_latest(table, touched, keys, touched.count())
+    moved, kept = _split_latest(table, touched, keys)
     events = _together(new, moved).drop(IS_DELETE)
     merged = scd1_events(events, keys, sequence_by, deletes, tie_break)
     _together(merged, kept).write.mode("overwrite").parquet(table.slot(table.refresh + 1))
@@ -139,11 +135,10 @@ def refresh_scd2(
     is_moment = isinstance(touched.schema[_FROM].dataType, TimestampType)
     oldest_late = F.min(F.when(is_late, F.col(_FROM)))
     found = touched.agg(
-        F.count(F.lit(1)).alias("keys"),
         (F.unix_micros(oldest_late) if is_moment else oldest_late).alias("oldest"),
         F.max(_ROWS).alias("most"),
     ).first()
-    moved, kept = _split_latest(table, touched, keys, found["keys"])
+    moved, kept = _split_latest(table, touched, keys)
     oldest = found["oldest"]
     # Hot keys are looked for only where a key has that many events.
     split_above = hot_rows if found["most"] >= hot_rows else None
@@ -268,12 +263,12 @@ def _write_touched(
 
 
 def _split_latest(
-    table: _Table, touched: DataFrame, keys: Sequence[str], count: int
+    table: _Table, touched: DataFrame, keys: Sequence[str]
 ) -> tuple[DataFrame | None, DataFrame | None]:
-    """Last events to merge, those of touched keys at least, and last events to copy."""
+    """Last events of touched keys, to be merged, and the others, to be copied."""
     latest = table.latest()
-    if latest is None or count > MOST_TOUCHED:
-        return latest, None
+    if latest is None:
+        return None, None
     moved, kept = (_joined(latest, touched, keys, how) for how in ("left_semi", "left_anti"))
     return moved, kept
 
