@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark import names as N
+from tidemark.operators.normalize import add_run_metadata, normalize_changes
 from tidemark.plans import pipeline
+from tidemark.plans.gold import dim_supplier
+from tidemark.plans.silver import ENTITIES
 from tidemark.sources import changelog
 from tidemark.streaming import history
 from workloads import inputs as I
@@ -70,3 +73,18 @@ def test_two_runs_of_all_layers(spark, folder):
     assert gold("fact_order").count() == orders - gone.count()
     counts = pipeline.layer_counts(spark, layout, feeds).collect()
     assert len(counts) == 30
+
+
+def test_source_without_rows_leaves_the_unknown_member(spark, folder):
+    layout = pipeline.Layout(folder)
+    for name in ("supplier", "nation", "region"):
+        entity = ENTITIES[name]
+        rows = normalize_changes(
+            I.source_rows(spark, SF, name).selectExpr(
+                "*", "'insert' as _change_type", "0L as _commit_version", "timestamp'2024-01-01' as _commit_timestamp"
+            )
+        )
+        bronze = add_run_metadata(rows, "MRI", I.moment(I.RUN_TIME)).where("false")
+        bronze.write.parquet(layout.table("bronze", entity.source))
+    empty = [pipeline.current(spark, layout, name) for name in ("supplier", "nation", "region")]
+    assert [row["supplier_key"] for row in dim_supplier(*empty).collect()] == [-1]

@@ -104,7 +104,7 @@ def refresh_silver(
         finish(append_changes(rows, events, layout.checkpoint("silver", entity.name)))
         refresh = history.refresh_scd1 if entity.scd_type == 1 else history.refresh_scd2
         refresh(spark, events, target, entity.keys)
-        if entity.presented:
+        if entity.presented and history.refresh_count(spark, target):
             view = scd2_view(history.read_scd2(spark, target, entity.keys), entity.keys)
             view.write.mode("overwrite").parquet(layout.table("silver", f"{entity.name}_scd2"))
 
@@ -112,8 +112,13 @@ def refresh_silver(
 
 
 def current(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
-    """Current rows of a silver entity."""
-    return history.read_current(spark, layout.table("silver", name))
+    """Current rows of a silver entity; none, but all columns, where its source never had a row."""
+    table = layout.table("silver", name)
+    if history.refresh_count(spark, table):
+        return history.read_current(spark, table)
+    entity = ENTITIES[name]
+    bronze = spark.read.option("mergeSchema", "true").parquet(layout.table("bronze", entity.source))
+    return clean(bronze, entity).limit(0)
 
 
 def refresh_gold(spark: SparkSession, layout: Layout, limit: int = CONCURRENT_FEEDS) -> None:
