@@ -58,8 +58,9 @@ FEATURES = (
     "link_share", "density", "punctuation", "children", "nodes", "position", "siblings", "sibling_chars", "alike",
     "paragraph_share",
 )
-# Marked boilerplate is boilerplate on any page; so much it counts against the trees' evidence, in logits.
-ASIDE_LOGITS = 3.0
+# What a page marks itself is evidence beside the trees', which cannot have seen all kinds of nodes in an
+# article; so much it counts, in logits.
+MARK_LOGITS = 6.0
 MARKS = {IN_MAIN, HAS_MAIN}
 ALL_MARKS = {IN_MAIN, HAS_MAIN, IN_ASIDE, "aside_here"}
 
@@ -237,7 +238,9 @@ class NodeModel:
                 goes = rows[every, self.feature[tree, at]] <= self.threshold[tree, at]
                 at = np.where(goes, self.left[tree, at], self.right[tree, at])
             margin += weight * self.value[tree, at]
-        return 1 / (1 + np.exp(ASIDE_LOGITS * rows[:, FEATURES.index(IN_ASIDE)] - 2 * margin))
+        in_main, in_aside = rows[:, FEATURES.index(IN_MAIN)], rows[:, FEATURES.index(IN_ASIDE)]
+        marked = np.where(in_aside > 0, -1, in_main)
+        return 1 / (1 + np.exp(-2 * margin - MARK_LOGITS * marked))
 
 
 def train(pages: DataFrame, sample: int = 600, trees: int = 12, depth: int = 4) -> NodeModel | None:
