@@ -126,4 +126,4 @@ def test_licenses_equal_brute_force(spark):
             if held >= 0.8:
                 expected.add((doc, name, -start, held))
     got = license_matches(documents(spark, texts), templates(spark))
-    assert rows(got, "doc_id", "license_id", "start_word", "containment") == sorted(expected)
+    assert rows(got, "doc_id", "license_id", "start_word", "containment") == sorted(expected, key=repr)
