@@ -43,12 +43,16 @@ def plain_leaks(pairs, items):
                 continue
             theirs, shingles = hashes(own, k), hashes(tokens, k)
             span, best = len(theirs), None
+            if not set(theirs) & set(shingles):
+                continue
             for start in range(max(0, len(tokens) - len(own)) + 1):
                 window = shingles[start : start + span]
                 common = sum((Counter(window) & Counter(theirs)).values())
                 likeness = common / (len(window) + span - common)
+                if likeness < 0.8:
+                    continue
                 distance = (mark(window) ^ mark(theirs)).bit_count()
-                if likeness >= 0.8 and distance <= 20:
+                if distance <= 20:
                     best = max(best or (0, 0, 0), (likeness, -distance, -start))
             if best:
                 found.add((doc, item, -best[2], -best[1], round(best[0], 9)))
