@@ -10,14 +10,8 @@ from tidemark.functions.metadata import lineage_columns
 from tidemark.sources.streams import stream_path
 from tidemark.streaming.triggered import start
 
-# Properties every bronze table carries.
-BRONZE_PROPERTIES = {
-    "quality": "bronze",
-    "pipelines.reset.allowed": "true",
-    "delta.autoOptimize.optimizeWrite": "true",
-    "delta.autoOptimize.autoCompact": "true",
-    "delta.columnMapping.mode": "name",
-}
+# A table's place in the layers; all other properties are the caller's.
+BRONZE_PROPERTIES = {"quality": "bronze"}
 
 
 def bronze_rows(

@@ -367,8 +367,8 @@ def union_all(parts: list[str]) -> str:
 FEED_CONFIGS = union_all(
     [
         f"SELECT '{table}' AS table_name, '{SYSTEM_OF[table]}' AS source_system, "
-        f"'/landing/delta/{table}' AS source_table_path, "
-        f"'/landing/raw_delta_hist/{SYSTEM_OF[table].lower()}/{table}' AS target_table_path, "
+        f"'/lake/sources/{table}' AS source_table_path, "
+        f"'/lake/raw/{SYSTEM_OF[table].lower()}/{table}' AS target_table_path, "
         f"n AS source_rows FROM ({count})"
         for table, count in SOURCE_COUNTS.items()
     ]

@@ -224,7 +224,7 @@ def ingest_all_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feed_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every configured feed with the rows its source holds."""
-    found = configured_feeds("/landing/delta", "/landing/raw_delta_hist")
+    found = configured_feeds("/lake/sources", "/lake/raw")
     records = [
         I.source_rows(spark, sf_dir, entity_of(feed.table))
         .agg(F.count(F.lit(1)).alias("source_rows"))
