@@ -77,6 +77,15 @@ def test_one_document_of_each_group_stays_with_its_columns(spark):
     assert [row[0] for row in rows(kept, "doc_id")] == [1, 3, 4, 7, 8, None]
 
 
+def test_groups_without_ids_or_with_the_same_smallest_id_stay_apart(spark):
+    unlike = [" ".join(f"{name}{n}" for n in range(30)) for name in ("apple", "birch", "cedar", "daisy")]
+    texts = [(None, unlike[0]), (None, unlike[1]), (None, unlike[1]), (5, unlike[2]), (5, unlike[3]), (6, unlike[3])]
+    kept = one_of_each_group(documents(spark, texts))
+    assert rows(kept, "doc_id", "text") == sorted(
+        [(None, unlike[0]), (None, unlike[1]), (5, unlike[2]), (5, unlike[3])], key=repr
+    )
+
+
 def test_no_documents_no_groups(spark):
     assert near_copy_groups(documents(spark, [])).count() == 0
     assert one_of_each_group(documents(spark, [])).count() == 0

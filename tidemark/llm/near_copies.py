@@ -77,6 +77,16 @@ def near_copy_groups(documents: DataFrame, shingle: int = 4, radius: int = 4, se
     row too, but never name a component unless it holds nothing else; then it is NULL. No input rows, no
     output rows.
     """
+    marks, named = _rooted(documents, shingle, radius, seed)
+    smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    known = named.select("fingerprint", "root").join(smallest, "root").select("fingerprint", "component_id")
+    return marks.join(known, "fingerprint").select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id", "text_key"
+    )
+
+
+def _rooted(documents: DataFrame, shingle: int = 4, radius: int = 4, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of all rows; and each fingerprint with the root of its component and its smallest doc_id."""
     documents = renamed(documents, {"doc_id": "doc_id", "text": "text"})
     marks = settled(fingerprints(documents, shingle, seed), "fingerprints")
     distinct = settled(marks.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "distinct")
@@ -84,26 +94,25 @@ def near_copy_groups(documents: DataFrame, shingle: int = 4, radius: int = 4, se
     named = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
         "fingerprint", F.coalesce("root", "fingerprint").alias("root"), "least"
     )
-    smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = named.select("fingerprint", "root").join(smallest, "root").select("fingerprint", "component_id")
-    return marks.join(known, "fingerprint").select(
-        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id", "text_key"
-    )
+    return marks, named
 
 
 def one_of_each_group(documents: DataFrame, **bounds: int) -> DataFrame:
     """The rows of ``documents`` with the smallest id of their group, with all their columns.
 
     Of rows that share this id the one with the least text hash stays, and one row of those that repeat it.
+    Groups are told apart by their root: ids may repeat or be NULL in any number of them.
     """
-    groups = settled(near_copy_groups(documents, **bounds), "groups")
-    copies = groups.groupBy("component_id", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("times"))
+    marks, named = _rooted(documents, **bounds)
+    groups = marks.join(named.select("fingerprint", "root"), "fingerprint").select("root", "doc_id", "text_key")
+    groups = settled(groups, "groups")
+    copies = groups.groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("times"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("first")
-    least = copies.groupBy("component_id").agg(first).select(
-        F.col("component_id").alias("_component"), F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")
+    least = copies.groupBy("root").agg(first).select(
+        F.col("root").alias("_root"), F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")
     )
     own = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
-    judged = copies.join(least, F.col("component_id").eqNullSafe(F.col("_component"))).select(
+    judged = copies.join(least, F.col("root") == F.col("_root")).select(
         F.col("doc_id").alias("_doc"), F.col("text_key").alias("_text"), own.alias("stays"), "times"
     )
     judged = settled(judged.where("not stays or times > 1"), "judged")
