@@ -88,6 +88,18 @@ def test_leaks_equal_brute_force(spark):
     assert len(got) > 40
 
 
+def test_items_that_repeat_share_an_id_or_have_none(spark):
+    texts = {name: " ".join(f"{name}{n}" for n in range(size)) for name, size in zip("abcdef", (12, 12, 20, 12, 20, 12))}
+    # a twice; b and c (another length) without an id; d, e and f under one id.
+    items = [(1, "a"), (1, "a"), (None, "b"), (None, "c"), (2, "d"), (2, "e"), (2, "f")]
+    benchmark = spark.createDataFrame([(i, texts[t]) for i, t in items], "item_id bigint, text string")
+    frame = documents(spark, [(n, f"before it {text} after it") for n, text in enumerate(texts.values())] + [(9, "none of them")])
+    got = leaks(frame, benchmark)
+    expected = [(n, item, 2, len(texts[t].split()), 1.0) for n, (t, item) in enumerate(zip("abcdef", (1, None, None, 2, 2, 2)))]
+    assert rows(got, "doc_id", "item_id", "start_word", "window_words", "similarity") == sorted(expected, key=repr)
+    assert [row[0] for row in rows(without_leaks(frame, benchmark), "doc_id")] == [9]
+
+
 def test_documents_with_leaks_go(spark):
     frame = documents(spark)
     item = "quick brown fox jumps over the lazy dog and runs"

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.shingles import DOC, item_windows, joined, sized_items, sized_shingles, small, with_words
 from tidemark.llm.tables import renamed, settled
 
+# What tells items apart, as DOC does documents: ids may repeat with other texts or be NULL.
+ITEM = ("item_id", "item_key")
 BITS = 64
 BLOCK_BITS = 8
 
@@ -32,20 +34,22 @@ def leaks(
     weighted Jaccard similarity of the shingles, repeats counted, of at least ``similarity``. A window has
     as many words as the item; a shorter document is one window. Items of fewer words than a shingle are
     one shingle; items and documents without words match nothing. NULL texts have no words, NULL ids are
-    kept, rows that repeat an id and a text count once.
+    kept, rows that repeat an id and a text count once, also those of the benchmark. Texts that share an
+    item_id, or have none, are compared one by one; the row of the item holds the best window of any.
     """
     if not 0.5 <= similarity <= 1:
         raise ValueError("windows are chosen for similarities of 0.5 to 1")
     texts = with_words(documents)
-    items = settled(sized_items(renamed(benchmark, {"item_id": "item_id", "text": "text"}), shingle), "items")
+    items = renamed(benchmark, {"item_id": "item_id", "text": "text"}).distinct()
+    items = settled(sized_items(items.withColumn("item_key", F.xxhash64("text")), shingle, "item_key"), "items")
     sizes = sorted(row["k"] for row in items.select("k").distinct().collect())
     if not sizes:
         return _best(_no_matches(texts, items))
-    item_shingles = settled(reduce(DataFrame.union, [sized_shingles(items, k, "item_id", "n", "k") for k in sizes]), "item-shingles")
+    item_shingles = settled(reduce(DataFrame.union, [sized_shingles(items, k, *ITEM, "n", "k") for k in sizes]), "item-shingles")
     windows = settled(
         reduce(DataFrame.union, [item_windows(texts, item_shingles, k) for k in sizes]), "windows"
     )
-    item_marks = _marks(item_shingles, "item_id", "n").toDF("item_id", "n", "item_mark")
+    item_marks = _marks(item_shingles, *ITEM, "n").toDF(*ITEM, "n", "item_mark")
     shingles = reduce(DataFrame.union, [sized_shingles(windows, k, *DOC, "n", "k", "start") for k in sizes])
     marks = settled(_marks(shingles, *DOC, "n", "start"), "marks")
     near = settled(_within(marks, item_marks, radius), "near")
@@ -81,16 +85,16 @@ def _within(marks: DataFrame, item_marks: DataFrame, radius: int) -> DataFrame:
     flips = radius // (BITS // BLOCK_BITS)
     variants = [sum(1 << bit for bit in bits) for n in range(flips + 1) for bits in combinations(range(BLOCK_BITS), n)]
     index = (
-        item_marks.select("item_id", "n", "item_mark", F.inline(_blocks("item_mark")))
+        item_marks.select(*ITEM, "n", "item_mark", F.inline(_blocks("item_mark")))
         .withColumn("flip", F.explode(F.array(*map(F.lit, variants))))
-        .select("item_id", "n", "item_mark", "block", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
+        .select(*ITEM, "n", "item_mark", "block", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
     )
     probes = marks.select(*DOC, "n", "start", "mark", F.inline(_blocks("mark")))
     return (
         probes.join(small(settled(index, "index")), ["n", "block", "value"])
         .withColumn("distance", F.bit_count(F.col("mark").bitwiseXOR(F.col("item_mark"))))
         .where(F.col("distance") <= radius)
-        .select(*DOC, "n", "start", "item_id", "distance")
+        .select(*DOC, "n", "start", *ITEM, "distance")
         .distinct()
     )
 
@@ -100,13 +104,13 @@ def _verified(
 ) -> DataFrame:
     """Pairs with their weighted Jaccard similarity, where it is high enough."""
     pairs = joined(near, windows, *DOC, "n", "start")
-    keys = (*DOC, "n", "start", "item_id", "distance")
+    keys = (*DOC, "n", "start", *ITEM, "distance")
     own = reduce(DataFrame.union, [sized_shingles(pairs, k, *keys) for k in sizes])
     own = own.groupBy(*keys, "shingle").agg(F.count(F.lit(1)).alias("times"))
-    theirs = item_shingles.groupBy("item_id", "shingle").agg(F.count(F.lit(1)).alias("item_times"))
-    totals = item_shingles.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_total"))
+    theirs = item_shingles.groupBy(*ITEM, "shingle").agg(F.count(F.lit(1)).alias("item_times"))
+    totals = item_shingles.groupBy(*ITEM).agg(F.count(F.lit(1)).alias("item_total"))
     common = (
-        joined(own, small(theirs), "item_id", "shingle", how="left")
+        joined(own, small(theirs), *ITEM, "shingle", how="left")
         .groupBy(*keys)
         .agg(
             F.sum("times").alias("total"),
@@ -114,7 +118,7 @@ def _verified(
         )
     )
     return (
-        joined(common, small(totals), "item_id")
+        joined(common, small(totals), *ITEM)
         .withColumn("similarity", F.col("common") / (F.col("total") + F.col("item_total") - F.col("common")))
         .where(F.col("similarity") >= similarity)
         .select("doc_id", "text_key", "item_id", "start", "n", "distance", "similarity")
@@ -130,7 +134,7 @@ def _no_matches(texts: DataFrame, items: DataFrame) -> DataFrame:
 
 def _best(matches: DataFrame) -> DataFrame:
     best = F.max_by(
-        F.struct("start", "n", "distance", "similarity"), F.struct("similarity", -F.col("distance"), -F.col("start"))
+        F.struct("start", "n", "distance", "similarity"), F.struct("similarity", -F.col("distance"), -F.col("start"), -F.col("n"))
     ).alias("best")
     return matches.groupBy("doc_id", "text_key", "item_id").agg(best).select(
         "doc_id",

@@ -25,14 +25,14 @@ def with_words(documents: DataFrame) -> DataFrame:
     )
 
 
-def sized_items(items: DataFrame, shingle: int) -> DataFrame:
-    """Items (item_id, text) that have words: item_id, words, their number n, and k, the size of their shingles.
+def sized_items(items: DataFrame, shingle: int, *keep: str) -> DataFrame:
+    """Items (item_id, text) that have words: item_id, ``keep``, words, their number n, and k, the size of their shingles.
 
     An item of fewer words than a shingle is one shingle.
     """
-    worded = items.select("item_id", words(F.col("text")).alias("words")).where(F.size("words") > 0)
+    worded = items.select("item_id", *keep, words(F.col("text")).alias("words")).where(F.size("words") > 0)
     size = F.size("words")
-    return worded.select("item_id", "words", size.alias("n"), F.least(size, F.lit(shingle)).alias("k"))
+    return worded.select("item_id", *keep, "words", size.alias("n"), F.least(size, F.lit(shingle)).alias("k"))
 
 
 def sized_shingles(frame: DataFrame, k: int, *keep: str) -> DataFrame:
