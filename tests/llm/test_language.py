@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.cases import documents
 from tidemark.llm import language
@@ -89,3 +90,11 @@ def test_nothing_to_learn_and_no_documents(spark):
     unlabelled = documents(spark).drop("lang").selectExpr("*", "cast(null as string) as lang")
     assert {row.lang_pred for row in predicted_languages(unlabelled).collect()} == {UNDETERMINED}
     assert predicted_languages(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("lang, bounds", [(None, {}), ("en", {"folds": 1, "held_fold": 0}), (UNDETERMINED, {})])
+def test_texts_with_letters_stay_whatever_there_is_to_learn(spark, lang, bounds):
+    frame = documents(spark).withColumn("lang", F.lit(lang).cast("string"))
+    kept = with_language(frame, **bounds)
+    assert kept.columns == frame.columns
+    assert sorted((row.doc_id or 0) for row in kept.collect()) == [0, 1, 2, 2, 3, 7]

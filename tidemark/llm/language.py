@@ -185,11 +185,12 @@ def has_letter(text: Column) -> Column:
 
 
 def with_language(documents: DataFrame, folds: int = 4, held_fold: int = 2, **bounds: int) -> DataFrame:
-    """The rows of ``documents`` whose text is in some language; trained as ``predicted_languages`` is."""
+    """The rows of ``documents`` whose text has a letter and so is in some language; trained as ``predicted_languages`` is."""
     model = train(_in_folds(documents, folds, held_fold).where("not held_out"), **bounds)
     rest = [F.col(f"`{name}`") for name in documents.columns]
     marked = identify(documents.select(F.struct(*rest).alias("row"), "text"), model)
-    return marked.where(F.col("lang_pred") != UNDETERMINED).select("row.*")
+    # Without a model every text is undetermined, and a label may say so; neither costs a text with letters.
+    return marked.where((F.col("lang_pred") != UNDETERMINED) | has_letter(F.col("text"))).select("row.*")
 
 
 def _in_folds(documents: DataFrame, folds: int, held_fold: int) -> DataFrame:
