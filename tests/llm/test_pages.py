@@ -39,6 +39,12 @@ CASES = [
      "Head\na <b> é A& b"),
     ("<article><ul><li>one<li>two</ul><p>open <b>bold<p>next</b> block</article>", "one\ntwo\nopen bold\nnext block"),
     ("<article><p>text <span class='ad'>BUY</span>end</p><div id='cookie-notice'>we use cookies</div></article>", "text end"),
+    ("<head><title>t</title><meta charset=utf-8><style>p{}</style><body><article><p>no end of the head</article>", "no end of the head"),
+    ("<head><title>t</title><noscript><img src=x></noscript><article><p>no body</article>", "no body"),
+    ("<head><template><p>no</p><div>no</div></template><noscript><p>no</noscript></head><article><p>ended</article>", "ended"),
+    ("<head><title>t</title>text alone", "text alone"),
+    ("<article><p>before</p><svg viewBox='0 0 1 1'/><p>after <math/>it</p><iframe src='x'/><p>end</p></article>", "before\nafter\nit\nend"),
+    ("<article><p>a</p><svg><svg/><text>no</text></svg><iframe src='x'/>no</iframe><p>b</p></article>", "a\nb"),
     ("", ""),
     ("<!-- nothing -->", ""),
     ("<p>a<p>b", "a\nb"),

@@ -29,6 +29,9 @@ SILENT = frozenset(
     "head title script style noscript template svg math iframe object canvas audio video select option button"
     " textarea datalist".split()
 )
+# Elements that can stand in a head; any other ends it. Of the silent ones these close at a slash.
+HEAD_TAGS = frozenset("html base basefont bgsound link meta title noscript noframes style script template".split())
+FOREIGN = frozenset(("svg", "math"))
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rp rt s samp small"
     " span strike strong sub sup time tt u var".split()
@@ -84,7 +87,13 @@ class Page(HTMLParser):
             self._pop()
         self.last[0] = len(self.parent) - 1
 
+    def parse_starttag(self, i: int) -> int:
+        self._at = i
+        return super().parse_starttag(i)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if self._silent and tag not in HEAD_TAGS:
+            self._end("head", SILENT if tag != "body" else frozenset(("template",)))
         if tag in VOID:
             self.parts.append((self._open[-1][1], " " if tag in ("br", "wbr", "img") else ""))
             return
@@ -126,6 +135,13 @@ class Page(HTMLParser):
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
+        if tag in FOREIGN or tag in SILENT and not self._ended_later(tag):
+            self._end(tag, frozenset())
+
+    def _ended_later(self, tag: str) -> bool:
+        """Whether the tag that is read now has an end tag before the next element of its name starts."""
+        following = re.compile(rf"<(/?){tag}(?=[\s/>])", re.IGNORECASE).search(self.rawdata, self._at + 1)
+        return following is not None and following[1] == "/"
 
     def handle_endtag(self, tag: str) -> None:
         if tag not in VOID:
@@ -150,6 +166,8 @@ class Page(HTMLParser):
             self.parts.append((self._open[-1][1], ""))
 
     def handle_data(self, data: str) -> None:
+        if self._silent and data.strip():
+            self._end("head", SILENT)
         if self._silent:
             return
         node = self._open[-1][1]
