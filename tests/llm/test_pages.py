@@ -45,6 +45,13 @@ CASES = [
     ("<head><title>t</title>text alone", "text alone"),
     ("<article><p>before</p><svg viewBox='0 0 1 1'/><p>after <math/>it</p><iframe src='x'/><p>end</p></article>", "before\nafter\nit\nend"),
     ("<article><p>a</p><svg><svg/><text>no</text></svg><iframe src='x'/>no</iframe><p>b</p></article>", "a\nb"),
+    ("<body class='has-sidebar'><article><p>beside a bar</article><div class=sidebar><p>bar</div>", "beside a bar"),
+    ("<body class='sidebar'><div class='content-with-sidebar'><main><p>in a layout</main></div>", "in a layout"),
+    ("<article class='post comments-open'><p>open</p><div class='comments'><article class='comment'><p>nice</article></div>", "open"),
+    ("<article><header class='entry-header'><h1>Title</h1></header><div class='single-post-header'><p>by</div><p>x</article>",
+     "Title\nby\nx"),
+    ("<article><p>a long enough text of the page</article><div class='related'><article><p>teaser</article></div>",
+     "a long enough text of the page"),
     ("", ""),
     ("<!-- nothing -->", ""),
     ("<p>a<p>b", "a\nb"),

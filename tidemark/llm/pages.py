@@ -53,6 +53,9 @@ LIST_TAGS = frozenset(("ul", "ol", "dl", "li", "dt", "dd"))
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 BOUNDS = frozenset(("ul", "ol", "dl", "table", "article", "section", "div", "body", "main", "aside", "nav"))
 _WORD = re.compile(r"[a-z]+(?:-[a-z]+)*")
+# Words that say what a page has or in which state it is, and headers that belong to the article.
+_STATE = re.compile(r"(?:has|have|with|without|no)-.*|.*-(?:has|with|without|no)-.*|.*-(?:open|opened|closed|enabled|disabled)")
+_OWN_HEADER = re.compile(r"(?:.*-)?(?:entry|post|article|story)-header")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、]")
 
 IN_MAIN, IN_ASIDE, HAS_MAIN = "in_main", "in_aside", "has_main"
@@ -74,7 +77,8 @@ class Page(HTMLParser):
     def __init__(self, html: str) -> None:
         super().__init__(convert_charrefs=True)
         self.parent, self.last, self.depth, self.position = [-1], [0], [0], [0]
-        self.kind, self.marks = [0], [(False, False, False)]
+        # What a node says itself: it is main, it is aside by its tag, it is aside by a word.
+        self.kind, self.said = [0], [(False, False, False)]
         self.own, self.linked, self.points = [0], [0], [0]
         self.children = [0]
         # Text parts are (node, text); a node without text is the edge of a block.
@@ -86,6 +90,7 @@ class Page(HTMLParser):
         while len(self._open) > 1:
             self._pop()
         self.last[0] = len(self.parent) - 1
+        self.marks = self._marks()
 
     def parse_starttag(self, i: int) -> int:
         self._at = i
@@ -115,18 +120,19 @@ class Page(HTMLParser):
     def _words(attrs: list) -> set[str]:
         values = " ".join(v for name, v in attrs if v and name in ("class", "id", "role", "itemprop")).lower()
         found = set(_WORD.findall(values.replace("_", "-")))
-        return found | {part for word in found for part in word.split("-")}
+        parts = {part for word in found if not _STATE.fullmatch(word) and not _OWN_HEADER.fullmatch(word) for part in word.split("-")}
+        return found | parts | {part for word in found if _OWN_HEADER.fullmatch(word) for part in word.split("-")[:-1]}
 
     def _node(self, tag: str, words, parent: int) -> int:
         node = len(self.parent)
-        in_main, in_aside, _ = self.marks[parent]
-        here = tag in ASIDE_TAGS or not ASIDE_WORDS.isdisjoint(words)
+        own_header = tag == "header" and any(map(_OWN_HEADER.fullmatch, words))
         self.parent.append(parent)
         self.depth.append(self.depth[parent] + 1)
         self.position.append(self.children[parent])
         self.children[parent] += 1
         self.children.append(0)
-        self.marks.append((in_main or tag in MAIN_TAGS or not MAIN_WORDS.isdisjoint(words), in_aside or here, here))
+        main = tag in MAIN_TAGS or not MAIN_WORDS.isdisjoint(words)
+        self.said.append((main, tag in ASIDE_TAGS and not own_header, not ASIDE_WORDS.isdisjoint(words)))
         self.kind.append(1 if tag in TEXT_TAGS else 2 if tag in HEADING_TAGS else 3 if tag in LIST_TAGS else 0)
         self.last.append(node)
         for counts in (self.own, self.linked, self.points):
@@ -178,6 +184,31 @@ class Page(HTMLParser):
             self.linked[node] += size if self._links else 0
             self.points[node] += len(_PUNCTUATION.findall(data))
 
+    def _marks(self) -> list[tuple[bool, bool, bool]]:
+        """For each node whether it is in the marked main region, in something aside, and aside itself.
+
+        A word does not make aside what holds, or is, the first main region and has over half of the page's text.
+        """
+        chars = list(self.own)
+        for node in range(len(chars) - 1, 0, -1):
+            chars[self.parent[node]] += chars[node]
+        marks = [(False, False, False)]
+        by_tag = [False]
+        for node in range(1, len(chars)):
+            by_tag.append(by_tag[self.parent[node]] or self.said[node][1])
+        first = next((node for node, said in enumerate(self.said) if said[0] and not by_tag[node]), 0)
+        holders = set()
+        while first:
+            if chars[first] * 2 > chars[0]:
+                holders.add(first)
+            first = self.parent[first]
+        for node in range(1, len(chars)):
+            in_main, in_aside, _ = marks[self.parent[node]]
+            main, tag, word = self.said[node]
+            here = tag or (word and node not in holders)
+            marks.append((in_main or main, in_aside or here, here))
+        return marks
+
     def labels(self) -> np.ndarray:
         """1 for nodes of the marked article outside marked boilerplate, and for what they stand in."""
         wanted = np.array([in_main and not in_aside for in_main, in_aside, _ in self.marks])
