@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.feeds import at
 from tidemark import names as N
+from tidemark import session
 from tidemark.operators import ingest
 from tidemark.plans import pipeline
 from tidemark.session import work_folder
@@ -207,16 +208,21 @@ def test_failure_of_one_feed_is_raised(spark, folder):
 class NamedSession:
     """As much of a session as choosing a folder needs."""
 
+    applicationId = "app-1"
+
     def __init__(self, master, shared):
         self.sparkContext = self
         self.conf = {"spark.checkpoint.dir": shared} if shared else {}
         self.master = master
 
 
-def test_work_folder_is_under_the_shared_one():
+def test_work_folder_is_under_the_shared_one(monkeypatch):
+    made = []
+    monkeypatch.setattr(session, "_removed_at_end", lambda _, root: made.append(root))
     cluster = NamedSession("yarn", "hdfs:///shared/")
     first, second = work_folder(cluster, "x"), work_folder(cluster, "x")
-    assert first.startswith("hdfs:///shared/tidemark/x-") and first != second
+    assert first.startswith("hdfs:///shared/tidemark/app-1/x-") and first != second
+    assert made == ["hdfs:///shared/tidemark/app-1"] * 2
     assert work_folder(NamedSession("local[2]", None), "x").startswith("/")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_folder(NamedSession("yarn", None), "x")

@@ -1,6 +1,7 @@
 """Incremental copy of a change feed into an append-only raw history.
 
-The only state between runs is the raw history itself: its highest commit version says where to go on.
+The only state between runs is the log of finished loads beside the raw history: the highest commit version they brought
+says where to go on. A load that broke off is not in the log and is made again.
 """
 
 from __future__ import annotations
@@ -8,13 +9,13 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import names as N
+from tidemark.operators.loads import append_load, last_finished, read_history
 from tidemark.operators.normalize import add_run_metadata, normalize_changes, tag_snapshot
 from tidemark.sources.changelog import ChangeLog
-from tidemark.sources.storage import table_exists
 
 logger = logging.getLogger(__name__)
 
@@ -64,17 +65,12 @@ def high_water_mark(history: DataFrame) -> DataFrame:
 
 
 def last_processed_version(spark: SparkSession, target: str) -> int | None:
-    """Highest version in the target; None where the table, the column or its rows are missing."""
-    if not table_exists(spark, target):
-        return None
-    # Naming the one column wanted spares the merge of all file schemas.
-    versions = spark.read.schema(f"{N.RAW_COMMIT_VERSION} long").parquet(target)
-    return high_water_mark(versions).first()["version"]
-
+    """Highest version that finished loads brought; None before the first of them, or where none had rows.
 
-def read_history(spark: SparkSession, target: str) -> DataFrame:
-    """A raw history with the columns of all its loads."""
-    return spark.read.option("mergeSchema", "true").parquet(target)
+    The log of loads knows it, so no row of the history is read.
+    """
+    state = last_finished(spark, target)
+    return None if state is None else state.high_version
 
 
 def write_history(
@@ -83,21 +79,16 @@ def write_history(
     source_system: str,
     run_time: Column | None = None,
     mode: str = "append",
+    kind: str = "changes",
+    window: tuple[int | None, int | None] = (None, None),
+    feed: str = "",
 ) -> int:
-    """Normalise changes, add run columns and write them; returns the rows written.
+    """Normalise changes, add run columns and write them as one load; returns the rows written.
 
-    No shuffle: every task writes what it read. The rows are counted on the way.
+    With ``mode`` "overwrite" the load replaces all earlier ones.
     """
     rows = add_run_metadata(normalize_changes(changes), source_system, run_time)
-    counted = Observation()
-    (
-        rows.observe(counted, F.count(F.lit(1)).alias("rows"))
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(N.PROCESSING_DATE)
-        .parquet(target)
-    )
-    return counted.get["rows"]
+    return append_load(rows, target, feed, source_system, kind, window, run_time, mode == "overwrite")
 
 
 def load_initial(
@@ -112,10 +103,9 @@ def load_initial(
     snapshot = tag_snapshot(
         log.snapshot(version), version, log.commit_timestamp(version), source_system, run_time
     )
-    rows = write_history(snapshot, target, source_system, run_time, "overwrite")
-    if rows == 0:
-        _write_schema(snapshot, target, run_time)
-    return Load("initial", version, version, rows)
+    window = version, version
+    rows = write_history(snapshot, target, source_system, run_time, "overwrite", "initial", window, log.path)
+    return Load("initial", *window, rows)
 
 
 def load_incremental(
@@ -138,32 +128,23 @@ def load_incremental(
     window = plan_window(log.spark, processed, enabled_version, latest)
     if window is None:
         return None
-    # A window without changes adds no file.
-    rows = write_history(log.changes(*window), target, source_system, run_time)
+    # A window without changes adds a row to the log, but no file.
+    changes = log.changes(*window)
+    rows = write_history(changes, target, source_system, run_time, "append", "incremental", window, log.path)
     return Load("incremental", *window, rows)
 
 
 def ingest(
     log: ChangeLog, target: str, source_system: str, run_time: Column | None = None
 ) -> Load | None:
-    """One run of a feed: a first load where the target does not exist, else what is new."""
+    """One run of a feed: a first load where none has finished, else what is new."""
     state = log.state()
     if not state["enabled"]:
         raise ValueError(f"the change feed of {log.path} is off")
     first = state["first_enabled"]
-    if table_exists(log.spark, target):
+    if last_finished(log.spark, target) is not None:
         load = load_incremental(log, target, first, source_system, run_time, state["latest"])
     else:
         load = load_initial(log, target, first, source_system, run_time)
     logger.info("%s into %s: %s", log.path, target, load or "nothing new")
     return load
-
-
-def _write_schema(snapshot: DataFrame, target: str, run_time: Column | None) -> None:
-    """Leave a readable table behind an empty first load, so that the next run goes on from it."""
-    empty = normalize_changes(snapshot)
-    today = F.current_date() if run_time is None else run_time.cast("date")
-    day = empty.sparkSession.range(0, 1, 1, 1).select(today.alias("day")).first()["day"]
-    empty.drop(N.PROCESSING_DATE).limit(0).write.mode("append").parquet(
-        f"{target.rstrip('/')}/{N.PROCESSING_DATE}={day}"
-    )

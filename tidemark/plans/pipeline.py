@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark import names as N
 from tidemark.operators.ingest import Load, ingest
+from tidemark.operators.loads import read_history
 from tidemark.operators.scd import scd2_view
 from tidemark.plans import gold
 from tidemark.plans.silver import ENTITIES, Entity, clean
@@ -226,7 +227,7 @@ def run_pipeline(
 
 def layer_counts(spark: SparkSession, layout: Layout, feeds: Sequence[Feed]) -> DataFrame:
     """Rows of every table of every layer."""
-    tables = [("raw", feed.table, spark.read.parquet(feed.target_path)) for feed in feeds]
+    tables = [("raw", feed.table, read_history(spark, feed.target_path)) for feed in feeds]
     tables += [
         ("bronze", feed.table, spark.read.parquet(layout.table("bronze", feed.table))) for feed in feeds
     ]

@@ -21,6 +21,28 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def move_folder(spark: SparkSession, path: str, place: str) -> None:
+    """Move a folder where it exists; a move that broke off, as one by copies can, is carried on file by file."""
+    source, files = _folder(spark, path)
+    if not files.exists(source):
+        return
+    target, _ = _folder(spark, place)
+    if not files.exists(target):
+        files.mkdirs(target.getParent())
+        if files.rename(source, target):
+            return
+    found = files.listFiles(source, True)
+    root = files.makeQualified(source).toUri().getPath()
+    while found.hasNext():
+        file = found.next().getPath()
+        part, _ = _folder(spark, place + file.toUri().getPath().removeprefix(root))
+        files.mkdirs(part.getParent())
+        files.delete(part, False)
+        if not files.rename(file, part):
+            raise OSError(f"{file} cannot be moved to {part}")
+    files.delete(source, True)
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
     """Whole-number values of ``column`` that the folders directly under ``path`` are named after."""
     folder, files = _folder(spark, path)

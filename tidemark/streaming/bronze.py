@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.functions.metadata import lineage_columns
+from tidemark.operators.loads import last_finished, stream_history
 from tidemark.sources.streams import stream_path
 from tidemark.streaming.triggered import start
 
@@ -21,8 +22,15 @@ def bronze_rows(
     max_files: int | None = None,
     name_pattern: str | None = None,
 ) -> DataFrame:
-    """Stream of raw rows, untouched, behind the path and time of their file."""
-    rows = stream_path(spark, source, schema, max_files, name_pattern)
+    """Stream of raw rows, untouched, behind the path and time of their file.
+
+    Of a raw history only finished loads are streamed, under the columns its log keeps; any other folder is
+    read under ``schema`` or the one merged over its files.
+    """
+    if schema is None and name_pattern is None and last_finished(spark, source) is not None:
+        rows = stream_history(spark, source, max_files)
+    else:
+        rows = stream_path(spark, source, schema, max_files, name_pattern)
     return rows.select(*lineage_columns(), "*")
 
 

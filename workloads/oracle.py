@@ -60,9 +60,25 @@ FROM ({snapshot(I.FEED_ENABLED_AT - 1)})"""
 
 RAW_INCREMENT = f"SELECT * FROM ({RAW_ALL}) WHERE _raw_commit_version >= {I.FEED_ENABLED_AT}"
 
+LOAD_LOG = f"""
+SELECT CAST(0 AS BIGINT) AS load, true AS of_this_feed, 'MRI' AS source_system, 'initial' AS kind,
+       CAST({I.FEED_ENABLED_AT - 1} AS BIGINT) AS start_version, CAST({I.FEED_ENABLED_AT - 1} AS BIGINT) AS end_version,
+       (SELECT count(*) FROM ({RAW_INITIAL})) AS row_count
+UNION ALL
+SELECT 1, true, 'MRI', 'incremental', {I.FEED_ENABLED_AT}, (SELECT max(version) FROM ({HISTORY})),
+       (SELECT count(*) FROM ({RAW_INCREMENT}))"""
+
 CHANGES = f"SELECT user_id || '|MRI' AS business_key, * FROM ({normalized(FEED)})"
 TIED = f"SELECT * REPLACE (date_trunc('day', _commit_timestamp) AS _commit_timestamp) FROM ({FEED})"
-TIED_CHANGES = f"SELECT user_id || '|MRI' AS business_key, * FROM ({normalized(TIED)})"
+TIED_LOAD_LOG = f"""
+SELECT CAST(0 AS BIGINT) AS load, true AS of_this_feed, 'MRI' AS source_system, 'initial' AS kind,
+       CAST({I.FEED_ENABLED_AT - 1} AS BIGINT) AS start_version, CAST({I.FEED_ENABLED_AT - 1} AS BIGINT) AS end_version,
+       (SELECT count(*) FROM ({RAW_INITIAL})) AS row_count
+UNION ALL
+SELECT 1, true, 'MRI', 'incremental', {I.FEED_ENABLED_AT}, (SELECT max(version) FROM ({HISTORY})),
+       (SELECT count(*) FROM ({RAW_INCREMENT}))"""
+
+CHANGES = f"SELECT user_id || '|MRI' AS business_key, * FROM ({normalized(TIED)})"
 
 
 TWO_SOURCES = f"""
@@ -439,6 +455,8 @@ ORACLE: dict[str, str] = {
     "initial_load": RAW_INITIAL,
     "incremental_load": RAW_INCREMENT,
     "ingest_two_runs": f"SELECT * FROM ({RAW_INITIAL}) UNION ALL BY NAME SELECT * FROM ({RAW_INCREMENT})",
+    "ingest_after_broken_load": f"SELECT * FROM ({RAW_INITIAL}) UNION ALL BY NAME SELECT * FROM ({RAW_INCREMENT})",
+    "load_log": LOAD_LOG,
     "ingest_all_feeds": INGEST_ALL_FEEDS,
     "feed_configs": FEED_CONFIGS,
     "bronze_stream": RAW_ALL,

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from tidemark import names as N
 from tidemark.functions.calendar import date_key
 from tidemark.functions.keys import business_key
-from tidemark.operators import ingest, normalize, scd
+from tidemark.operators import ingest, loads, normalize, scd
 from tidemark.plans import gold, pipeline
 from tidemark.plans.silver import ENTITIES, clean
 from tidemark.session import work_folder
 from tidemark.sources import changelog, feeds
+from tidemark.sources.storage import move_folder
 from tidemark.sources.streams import stream_path, stream_table
 from tidemark.streaming import bronze, history
 from tidemark.streaming.ledger import append_changes
@@ -158,7 +159,7 @@ def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = work_folder(spark, "raw-history")
     feed = I.user_feed_with_preimages(spark, sf_dir)
     ingest.write_history(feed, target, "MRI", I.moment(I.RUN_TIME))
-    return ingest.read_history(spark, target)
+    return loads.read_history(spark, target)
 
 
 def raw_history_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,13 +170,13 @@ def raw_history_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest.write_history(feed.where(early), target, "MRI", run)
     grade = F.when(F.col("value") >= 100, "high").otherwise("low")
     ingest.write_history(feed.where(~early).withColumn("grade", grade), target, "MRI", run)
-    return ingest.read_history(spark, target)
+    return loads.read_history(spark, target)
 
 
 def initial_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     log, target = user_log(spark, sf_dir), work_folder(spark, "initial-load")
     ingest.load_initial(log, target, I.FEED_ENABLED_AT, "MRI", I.moment(I.RUN_TIME))
-    return ingest.read_history(spark, target)
+    return loads.read_history(spark, target)
 
 
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,7 +184,7 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     log, target = user_log(spark, sf_dir), work_folder(spark, "incremental-load")
     ingest.load_initial(log, target, I.FEED_ENABLED_AT, "MRI", I.moment(I.RUN_TIME))
     ingest.load_incremental(log, target, I.FEED_ENABLED_AT, "MRI", I.moment(I.RUN_TIME))
-    history = ingest.read_history(spark, target)
+    history = loads.read_history(spark, target)
     return history.where(F.col(N.RAW_COMMIT_VERSION) >= I.FEED_ENABLED_AT)
 
 
@@ -192,7 +193,43 @@ def ingest_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     log, target = user_log(spark, sf_dir), work_folder(spark, "two-runs")
     for _ in range(3):
         ingest.ingest(log, target, "MRI", I.moment(I.RUN_TIME))
-    return ingest.read_history(spark, target)
+    return loads.read_history(spark, target)
+
+
+def ingest_after_broken_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs; before each a load broke off with some of its rows written, and behind the last a move was cut short."""
+    log, target = user_log(spark, sf_dir), work_folder(spark, "broken-load")
+    run = I.moment(I.RUN_TIME)
+
+    def break_off(changes: DataFrame, load: int) -> None:
+        some = changes.where(F.col("event_id") % 3 == 0)
+        rows = normalize.add_run_metadata(normalize.normalize_changes(some), "MRI", F.lit("2024-01-31").cast("timestamp"))
+        loads.stage_load(rows, target, load)
+
+    break_off(log.changes(0, I.FEED_ENABLED_AT), 0)
+    ingest.ingest(log, target, "MRI", run)
+    break_off(log.changes(I.FEED_ENABLED_AT, SNAPSHOT_VERSION), 1)
+    ingest.ingest(log, target, "MRI", run)
+    # The last load stands in the log, but its files are where they were written.
+    move_folder(spark, f"{target}/_load=1", f"{target}/_staging/1")
+    ingest.ingest(log, target, "MRI", run)
+    return loads.read_history(spark, target)
+
+
+def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the log says about a first load and a change window."""
+    log, target = user_log(spark, sf_dir), work_folder(spark, "load-log")
+    for _ in range(2):
+        ingest.ingest(log, target, "MRI", I.moment(I.RUN_TIME))
+    return loads.load_log(spark, target).select(
+        "load",
+        (F.col("feed") == log.path).alias("of_this_feed"),
+        "source_system",
+        "kind",
+        "start_version",
+        "end_version",
+        "row_count",
+    )
 
 
 def write_business_logs(spark: SparkSession, sf_dir: str, found: list[feeds.Feed]) -> None:
@@ -213,7 +250,7 @@ def ingest_all_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         pipeline.ingest_all(spark, found, I.moment(I.RUN_TIME))
     counts = [
-        ingest.read_history(spark, feed.target_path)
+        loads.read_history(spark, feed.target_path)
         .groupBy(N.SOURCE_SYSTEM, N.RAW_CHANGE_TYPE, N.RAW_COMMIT_VERSION)
         .agg(F.count(F.lit(1)).alias("row_count"))
         .withColumn("table_name", F.lit(feed.table))
@@ -492,6 +529,8 @@ QUERIES: dict[str, Query] = {
     "initial_load": initial_load,
     "incremental_load": incremental_load,
     "ingest_two_runs": ingest_two_runs,
+    "ingest_after_broken_load": ingest_after_broken_load,
+    "load_log": load_log,
     "ingest_all_feeds": ingest_all_feeds,
     "feed_configs": feed_configs,
     "bronze_stream": bronze_stream,
