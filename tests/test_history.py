@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests import feeds
+from tidemark.operators.scd import IS_DELETE
+from tidemark.sources.storage import partition_values
 from tidemark.sources.streams import stream_path
 from tidemark.streaming import history
 from tidemark.streaming.ledger import append_changes
@@ -138,3 +141,101 @@ def test_column_added_later(spark, folder):
     versions = history.read_scd2(spark, f"{folder}/two", ["k"])
     assert "extra" in versions.columns
     assert versions.where("extra = 'new'").count() > 0
+
+
+def files_of(root):
+    return {str(f.relative_to(root)): f.stat().st_size for f in Path(root).rglob("*.parquet")}
+
+
+def refresh(spark, folder, kind, keys=("k",), **more):
+    table, ledger = f"{folder}/{kind}", f"{folder}/ledger"
+    return getattr(history, f"refresh_{kind}")(spark, ledger, table, list(keys), tie_break=TIES, **more)
+
+
+def test_buckets_without_new_events_keep_their_files(spark, folder):
+    events = [(key, key, "insert", 1, 0, key) for key in range(200)]
+    land(spark, folder, events, 0)
+    for kind in ("scd1", "scd2"):
+        assert refresh(spark, folder, kind, buckets=16)
+    before = {kind: files_of(f"{folder}/{kind}/latest") for kind in ("scd1", "scd2")}
+    assert all(len({name.split("/")[1] for name in files}) == 16 for files in before.values())
+    land(spark, folder, [(7, 70, "update", 5, 1, 900)], 1)
+    for kind, files in before.items():
+        assert refresh(spark, folder, kind)
+        after = files_of(f"{folder}/{kind}/latest")
+        assert files.items() <= after.items()
+        assert {name.split("/")[0] for name in after.keys() - files.keys()} == {"_refresh=2"}
+        assert len(partition_values(spark, f"{folder}/{kind}/latest/_refresh=2", "_bucket")) == 1
+    seen = [*events, (7, 70, "update", 5, 1, 900)]
+    assert feeds.as_scd1(history.read_scd1(spark, f"{folder}/scd1")) == feeds.expected_scd1(seen)
+    assert feeds.as_scd2(history.read_scd2(spark, f"{folder}/scd2", ["k"])) == feeds.expected_scd2(seen)
+
+
+def test_storage_stays_flat_over_refreshes_of_the_same_keys(spark, folder):
+    """Ten refreshes: at most two states of each bucket, no open version outside of the last events."""
+    seen, sizes = [], {"scd1": [], "scd2": []}
+    for number in range(10):
+        part = [(key, number, "update", number + 1, number, 100 * number + key) for key in range(6)]
+        land(spark, folder, part, number)
+        seen += part
+        for kind in sizes:
+            refresh(spark, folder, kind, buckets=2)
+            rows = spark.read.parquet(f"{folder}/{kind}/latest").count()
+            sizes[kind].append(rows)
+            assert max(len(v) for v in history._Table.open(spark, f"{folder}/{kind}").versions().values()) <= 2
+    assert sizes["scd1"] == sizes["scd2"] == [6] + [12] * 9
+    assert not [name for name in files_of(f"{folder}/scd2/events") if "_open=1" in name]
+    assert spark.read.parquet(f"{folder}/scd2/events").count() == 6 * 9
+    assert feeds.as_scd2(history.read_scd2(spark, f"{folder}/scd2", ["k"])) == feeds.expected_scd2(seen)
+
+
+def test_created_tables_can_be_read_before_their_first_event(spark, folder):
+    columns = spark.createDataFrame([], feeds.SCHEMA).schema
+    history.create_scd1(spark, f"{folder}/scd1", columns, ["k"])
+    history.create_scd2(spark, f"{folder}/scd2", columns, ["k"])
+    one, two = history.read_scd1(spark, f"{folder}/scd1"), history.read_scd2(spark, f"{folder}/scd2", ["k"])
+    assert one.columns == columns.names and one.count() == 0
+    assert two.columns == [*columns.names, "__START_AT", "__END_AT"] and two.count() == 0
+    assert history.read_current(spark, f"{folder}/scd2").columns == columns.names
+    events = feeds.random_events(18, count=60)
+    land(spark, folder, events, 0)
+    for kind in ("scd1", "scd2"):
+        assert refresh(spark, folder, kind)
+        # Creating a table that is there changes nothing.
+        getattr(history, f"create_{kind}")(spark, f"{folder}/{kind}", columns, ["k"])
+    assert feeds.as_scd1(history.read_scd1(spark, f"{folder}/scd1")) == feeds.expected_scd1(events)
+    assert feeds.as_scd2(history.read_scd2(spark, f"{folder}/scd2", ["k"])) == feeds.expected_scd2(events)
+    with pytest.raises(ValueError, match="neither created nor refreshed"):
+        history.read_scd1(spark, f"{folder}/nothing")
+
+
+def test_changed_rows_of_the_last_refresh(spark, folder):
+    land(spark, folder, [(key, key, "insert", 1, 0, key) for key in range(40)], 0)
+    refresh(spark, folder, "scd1", buckets=4)
+    assert history.changed_rows(spark, f"{folder}/scd1", ["k"]).count() == 40
+    land(spark, folder, [(3, 30, "update", 5, 1, 50), (4, 0, "delete", 5, 1, 51), (90, 9, "insert", 5, 1, 52)], 1)
+    refresh(spark, folder, "scd1")
+    rows = history.changed_rows(spark, f"{folder}/scd1", ["k"]).collect()
+    assert sorted((r["k"], r["v"], r[IS_DELETE]) for r in rows) == [
+        (3, 3, False), (3, 30, False), (4, 0, True), (4, 4, False), (90, 9, False),
+    ]
+
+
+def test_a_key_whose_type_widens_stays_in_its_bucket(spark, folder):
+    for number, kind in enumerate(("int", "bigint")):
+        rows = feeds.frame(spark, [(key, number, "insert", number + 1, number, key) for key in range(30)])
+        rows = rows.withColumn("k", F.col("k").cast(kind)).coalesce(1)
+        rows.write.parquet(f"{folder}/ledger/_batch_id={number}")
+        refresh(spark, folder, "scd1", buckets=4)
+    rows = history.read_scd1(spark, f"{folder}/scd1")
+    assert dict(rows.dtypes)["k"] == "bigint" and rows.count() == 30 and rows.where("v = 1").count() == 30
+
+
+def test_compacting_deals_keys_anew(spark, folder):
+    events = feeds.random_events(19, count=120)
+    land(spark, folder, events, 0)
+    refresh(spark, folder, "scd2", buckets=2)
+    history.compact_scd2(spark, f"{folder}/scd2", f"{folder}/wide", ["k"], buckets=32)
+    buckets = partition_values(spark, f"{folder}/wide/latest/_refresh=1", "_bucket")
+    assert len(buckets) > 2 and max(buckets) < 32
+    assert feeds.as_scd2(history.read_scd2(spark, f"{folder}/wide", ["k"])) == feeds.expected_scd2(events)

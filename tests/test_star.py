@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from tidemark.plans import gold, pipeline
 from tidemark.plans.silver import ENTITIES, clean
 from tidemark.sources.streams import stream_path
+from tidemark.streaming import history
+from tidemark.streaming.ledger import append_changes
+from tidemark.streaming.triggered import finish
 from workloads import inputs as I
 
 SF = "/root/testdata/sf0.001"
@@ -161,3 +164,29 @@ def test_fact_directories_are_days(spark, folder, silver):
     one_day = stored.where("order_date_key = 19950110")
     assert stored.count() == fact.count()
     assert "PartitionFilters: [isnotnull(order_date_key" in one_day._jdf.queryExecution().toString()
+
+
+def test_fact_and_order_table_keep_the_same_row_of_a_tie(spark, folder, silver):
+    """Both see the same events in one moment, the fact with a customer key that silver does not know."""
+    layout = pipeline.Layout(folder)
+    bronze = I.bronze_rows(spark, SF, "order").where("o_orderkey < 40").coalesce(1)
+    kinds = F.explode(F.array(F.lit("insert"), F.lit("update"), F.lit("delete"))).alias("kind")
+    tied = bronze.select("*", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("n")).select("*", kinds)
+    tied = tied.where("kind <> 'delete' or o_orderkey % 3 = 0").withColumns(
+        {
+            "o_comment": F.concat("o_comment", F.lit("-"), F.xxhash64("o_orderkey", "n").cast("string")),
+            "o_custkey": F.col("o_custkey") + F.col("n"),
+            "_raw_change_type": F.col("kind"),
+        }
+    )
+    tied.drop("n", "kind").write.parquet(layout.table("bronze", "h_order"))
+    rows = clean(stream_path(spark, layout.table("bronze", "h_order")), ENTITIES["order"])
+    events, table = f"{folder}/order-events", f"{folder}/order"
+    finish(append_changes(rows, events, f"{folder}/order-checkpoint"))
+    history.refresh_scd1(spark, events, table, ["o_orderkey"])
+    dim = gold.dim_customer(silver["customer"], silver["nation"], silver["region"])
+    pipeline.refresh_fact_order(spark, rows, dim, layout)
+    kept = {(r["o_orderkey"], r["o_comment"]) for r in history.read_scd1(spark, table).collect()}
+    fact = spark.read.parquet(layout.table("gold", "fact_order"))
+    assert {(r["order_key"], r["order_comment"]) for r in fact.collect()} == kept
+    assert len(kept) == 40

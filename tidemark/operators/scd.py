@@ -185,6 +185,15 @@ def _ordered(
     return changes.withColumns(added), [sequence_by, *version, *tie_break, _IMAGE, *last]
 
 
+def tie_of(changes: DataFrame, deletes: str = DELETES) -> Column:
+    """What decides between events of one point in time where no tie-break is given.
+
+    A table derived from ``changes`` takes it along as its tie-break, so that it keeps the events that they keep.
+    """
+    image = ~F.coalesce(F.expr(deletes), F.lit(False))
+    return F.struct(image.alias("image"), _business_hash(changes).alias("hash"))
+
+
 def _business_hash(changes: DataFrame) -> Column:
     """A hash of the columns that no run or commit stamps, so that it is the same in every run."""
     values = [

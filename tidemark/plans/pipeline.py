@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark import names as N
 from tidemark.operators.ingest import Load, ingest
 from tidemark.operators.loads import read_history
-from tidemark.operators.scd import scd2_view
+from tidemark.operators.scd import scd2_view, tie_of
 from tidemark.plans import gold
 from tidemark.plans.silver import ENTITIES, Entity, clean
 from tidemark.sources.changelog import ChangeLog
@@ -28,6 +28,7 @@ from tidemark.streaming.triggered import finish
 CONCURRENT_FEEDS = 3
 DAY = "order_date_key"
 _CHANGED = "_changed_day"
+_TIE = "_order_tie"
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 RAW_COLUMNS = (N.RAW_CHANGE_TYPE, N.RAW_COMMIT_TIMESTAMP, N.RAW_COMMIT_VERSION)
 
@@ -154,12 +155,13 @@ def refresh_fact_order(
     """Join a stream of cleaned orders to the customer dimension and upsert the result by order.
 
     An order keeps the customer key it got when it last changed; a customer that comes later does not
-    restate it.
+    restate it. Of events at one point in time the one counts that silver keeps too.
     """
-    facts = gold.fact_order(orders, customers, *RAW_COLUMNS)
+    tied = orders.withColumn(_TIE, tie_of(orders))
+    facts = gold.fact_order(tied, customers, *RAW_COLUMNS, _TIE)
     events, state = layout.table("ledger", "fact_order"), layout.table("state", "fact_order")
     finish(append_changes(facts, events, layout.checkpoint("gold", "fact_order")))
-    history.refresh_scd1(spark, events, state, ["order_key"])
+    history.refresh_scd1(spark, events, state, ["order_key"], tie_break=[_TIE])
     publish_fact(spark, state, layout.table("gold", "fact_order"))
 
 

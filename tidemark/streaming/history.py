@@ -2,60 +2,77 @@
 
 A table is a folder:
 
-* ``latest/0`` and ``latest/1``: the last event of every key, deletes included. Each refresh writes the
-  slot the previous one did not, so readers keep theirs; the rows of untouched keys are copied.
+* ``latest/_refresh=<n>/_bucket=<b>``: the last event of every key, deletes included, dealt over buckets by a hash of the
+  key. A refresh writes the buckets that have new events; all others stay where an earlier refresh put them. Readers
+  take each bucket as the last finished refresh left it. The state before stays until the refresh after it is done, so
+  readers keep theirs, and then goes.
 * ``events/_refresh=<n>`` (type 2 only): the events that refresh ``n`` gave an end. Earlier ones are not
   read again unless an event arrives that is older than the last one of its key. Then the versions it
   changes are written once more, under ``_late=1``, where they overrule those of the same start.
-* ``touched``: keys of the refresh under way. ``refreshes``: one row per finished refresh. It is written
-  last; what an interrupted refresh leaves behind is overwritten by the next one.
+* ``touched``: keys of the refresh under way. ``refreshes``: one row per finished refresh, with the columns of the
+  last events. It is written last; what an interrupted refresh leaves behind is overwritten by the next one.
 
-So a refresh costs the new events plus one copy of the last events, not the whole history. Refresh
-when the stream into the ledger has stopped without an error.
+So a refresh costs the new events and the buckets they fall into, not the whole table. Refresh when the stream into the
+ledger has stopped without an error.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import StructType, TimestampType
 
 from tidemark import names as N
 from tidemark.operators.scd import DELETES, IS_DELETE, event_intervals, last_events, scd1_events
 from tidemark.operators.skew import HOT_ROWS
-from tidemark.sources.storage import path_exists
+from tidemark.sources.storage import delete_folder, partition_values, path_exists
 from tidemark.streaming.ledger import pending_batches, read_batches
 
+# Keys that a bucket is laid out for when a table is filled for the first time, and the bounds of their number.
+BUCKET_KEYS = 500_000
+LEAST_BUCKETS, MOST_BUCKETS = 8, 4096
+
 _REFRESH = "_refresh"
 _LATE = "_late"
 _OPEN = "_open"
+_BUCKET = "_bucket"
 _FROM = "_from"
 _LAST_START = "_last_start"
 _ROWS = "_rows"
-_LOG_SCHEMA = "refresh long, last_batch long, has_late boolean"
+_LOG_SCHEMA = "refresh long, last_batch long, has_late boolean, buckets int, columns string"
 
 
 @dataclass(frozen=True)
 class _Table:
-    """Paths and progress of one table; ``refresh`` counts finished refreshes."""
+    """Paths and progress of one table; ``refresh`` counts finished refreshes, ``columns`` are those of last events."""
 
     spark: SparkSession
     root: str
-    refresh: int
-    last_batch: int
-    has_late: bool
+    refresh: int = 0
+    last_batch: int = -1
+    has_late: bool = False
+    buckets: int | None = None
+    columns: StructType | None = None
 
     @classmethod
     def open(cls, spark: SparkSession, root: str) -> _Table:
         log = f"{root}/refreshes"
         if not path_exists(spark, log):
-            return cls(spark, root, 0, -1, False)
+            return cls(spark, root)
         done = spark.read.schema(_LOG_SCHEMA).parquet(log)
-        row = done.agg(F.max("refresh"), F.max("last_batch"), F.max("has_late")).first()
-        return cls(spark, root, *row)
+        row = done.agg(
+            F.max("refresh"),
+            F.max("last_batch"),
+            F.max("has_late"),
+            F.max_by("buckets", "refresh"),
+            F.max_by("columns", "refresh"),
+        ).first()
+        if row[0] is None:
+            return cls(spark, root)
+        return cls(spark, root, *row[:4], StructType.fromDDL(row[4]))
 
     @property
     def events_path(self) -> str:
@@ -65,30 +82,117 @@ class _Table:
     def touched_path(self) -> str:
         return f"{self.root}/touched"
 
-    def slot(self, refresh: int) -> str:
-        return f"{self.root}/latest/{refresh % 2}"
-
-    def latest(self) -> DataFrame | None:
-        """Last event of every key, or None before the first refresh."""
-        return self.spark.read.parquet(self.slot(self.refresh)) if self.refresh else None
-
-    def ended(self) -> DataFrame | None:
-        """All events that have an end, each as last written; None before the first refresh."""
-        if not self.refresh:
-            return None
-        # The last events have every column so far; naming them spares a look into all files.
-        schema = f"{_REFRESH} long, {_LATE} int, {_OPEN} int"
-        for field in self.latest().schema:
-            schema += f", `{field.name}` {field.dataType.simpleString()}"
+    @property
+    def latest_path(self) -> str:
+        return f"{self.root}/latest"
+
+    def bucket(self, keys: Sequence[str]) -> Column:
+        """Bucket of a row; the keys' text, so that a key whose type widens stays where it is."""
+        text = [F.col(f"`{key}`").cast("string") for key in keys]
+        return F.pmod(F.xxhash64(*text), F.lit(self.buckets)).cast("int")
+
+    def versions(self) -> dict[int, list[int]]:
+        """For each bucket the finished refreshes that wrote it, in order, as far as they are kept."""
+        found: dict[int, list[int]] = {}
+        for refresh in partition_values(self.spark, self.latest_path, _REFRESH):
+            if refresh <= self.refresh:
+                for bucket in partition_values(self.spark, f"{self.latest_path}/{_REFRESH}={refresh}", _BUCKET):
+                    found.setdefault(bucket, []).append(refresh)
+        return found
+
+    def _rows(self, chosen: dict[int, int]) -> DataFrame:
+        """The buckets as the refreshes ``chosen`` wrote them."""
+        if not chosen:
+            return self.spark.createDataFrame([], self.columns)
+        folders = [f"{self.latest_path}/{_REFRESH}={refresh}/{_BUCKET}={b}" for b, refresh in sorted(chosen.items())]
+        return self.spark.read.schema(self.columns).parquet(*folders)
+
+    def latest(self, buckets: set[int] | None = None) -> DataFrame:
+        """Last event of every key, or of those in some buckets."""
+        return self._rows({b: done[-1] for b, done in self.versions().items() if buckets is None or b in buckets})
+
+    def before_last_refresh(self) -> DataFrame:
+        """Last events that the buckets of the last refresh held before it."""
+        return self._rows({b: done[-2] for b, done in self.versions().items() if done[-1] == self.refresh and done[1:]})
+
+    def ended(self) -> DataFrame:
+        """All events that have an end, each as last written."""
+        schema = f"{_REFRESH} long, {_LATE} int, {_OPEN} int, {self.columns.toDDL()}"
+        if not path_exists(self.spark, self.events_path):
+            return self.spark.createDataFrame([], schema)
         events = self.spark.read.schema(schema).parquet(self.events_path)
         return events.where((F.col(_REFRESH) <= self.refresh) & (F.col(_OPEN) == 0))
 
-    def finish(self, last_batch: int, late: bool) -> None:
-        self.spark.range(0, 1, 1, 1).select(
-            F.lit(self.refresh + 1).cast("long").alias("refresh"),
-            F.lit(last_batch).cast("long").alias("last_batch"),
-            F.lit(late).alias("has_late"),
-        ).write.mode("append").parquet(f"{self.root}/refreshes")
+    def write_latest(self, rows: DataFrame, keys: Sequence[str]) -> None:
+        """Write whole buckets for the refresh under way; each goes to few tasks, large ones to several."""
+        (
+            rows.withColumn(_BUCKET, self.bucket(keys))
+            .hint("rebalance", _BUCKET)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(_BUCKET)
+            .parquet(f"{self.latest_path}/{_REFRESH}={self.refresh + 1}")
+        )
+
+    def note(self, refresh: int, last_batch: int, late: bool, columns: StructType) -> None:
+        """Write the row that makes a refresh count."""
+        values = (refresh, last_batch, late, self.buckets, columns.toDDL())
+        row = self.spark.createDataFrame([values], _LOG_SCHEMA)
+        row.coalesce(1).write.mode("append").parquet(f"{self.root}/refreshes")
+
+    def finish(self, last_batch: int, late: bool, columns: StructType) -> None:
+        self.note(self.refresh + 1, last_batch, late, columns)
+        _Table.open(self.spark, self.root).clean()
+
+    def clean(self) -> None:
+        """Remove what no reader of this refresh or the one before it needs."""
+        left = {refresh: 0 for refresh in partition_values(self.spark, self.latest_path, _REFRESH)}
+        gone = []
+        for bucket, done in self.versions().items():
+            needed = done[-2:] if done[-1] == self.refresh else done[-1:]
+            for refresh in done:
+                left[refresh] += refresh in needed
+                if refresh not in needed:
+                    gone.append(f"{self.latest_path}/{_REFRESH}={refresh}/{_BUCKET}={bucket}")
+        gone += [f"{self.latest_path}/{_REFRESH}={n}" for n, kept in left.items() if not kept and n < self.refresh]
+        # Open versions stand among the last events.
+        ended = f"{self.events_path}/{_REFRESH}={self.refresh}"
+        gone += [f"{ended}/{_LATE}={late}/{_OPEN}=1" for late in partition_values(self.spark, ended, _LATE)]
+        for folder in gone:
+            delete_folder(self.spark, folder)
+
+
+def create_scd1(
+    spark: SparkSession,
+    root: str,
+    columns: StructType,
+    keys: Sequence[str],
+    sequence_by: str = N.RAW_COMMIT_TIMESTAMP,
+    deletes: str = DELETES,
+    buckets: int = LEAST_BUCKETS,
+) -> None:
+    """An empty type 1 table for events with these columns, which readers find before the first event."""
+    empty = spark.createDataFrame([], columns)
+    _create(spark, root, scd1_events(empty, keys, sequence_by, deletes).schema, buckets)
+
+
+def create_scd2(
+    spark: SparkSession,
+    root: str,
+    columns: StructType,
+    keys: Sequence[str],
+    sequence_by: str = N.RAW_COMMIT_TIMESTAMP,
+    deletes: str = DELETES,
+    buckets: int = LEAST_BUCKETS,
+) -> None:
+    """An empty type 2 table for events with these columns, which readers find before the first event."""
+    empty = spark.createDataFrame([], columns)
+    _create(spark, root, event_intervals(empty, keys, sequence_by, deletes, (), None).schema, buckets)
+
+
+def _create(spark: SparkSession, root: str, columns: StructType, buckets: int) -> None:
+    if not path_exists(spark, f"{root}/refreshes"):
+        _Table(spark, root, buckets=buckets).note(0, -1, False, columns)
 
 
 def refresh_scd1(
@@ -99,17 +203,22 @@ def refresh_scd1(
     sequence_by: str = N.RAW_COMMIT_TIMESTAMP,
     deletes: str = DELETES,
     tie_break: Sequence[str] = (),
+    buckets: int | None = None,
 ) -> bool:
-    """Apply what is new in the ledger to a type 1 table; False when nothing was."""
+    """Apply what is new in the ledger to a type 1 table; False when nothing was.
+
+    ``buckets`` is the number that the first refresh deals the keys over, by default one for every half a
+    million keys.
+    """
     table, new, newest = _pending(spark, ledger, root)
     if new is None:
         return False
-    touched = _write_touched(table, new, keys, sequence_by)
-    moved, kept = _split_latest(table, touched, keys)
+    table, touched, held = _write_touched(table, new, keys, sequence_by, buckets)
+    moved, kept = _split(held, touched, keys)
     events = _together(new, moved).drop(IS_DELETE)
-    merged = scd1_events(events, keys, sequence_by, deletes, tie_break)
-    _together(merged, kept).write.mode("overwrite").parquet(table.slot(table.refresh + 1))
-    table.finish(newest, False)
+    merged = _together(scd1_events(events, keys, sequence_by, deletes, tie_break), kept)
+    table.write_latest(merged, keys)
+    table.finish(newest, False, merged.schema)
     return True
 
 
@@ -122,13 +231,14 @@ def refresh_scd2(
     deletes: str = DELETES,
     tie_break: Sequence[str] = (),
     hot_rows: int = HOT_ROWS,
+    buckets: int | None = None,
 ) -> bool:
-    """Apply what is new in the ledger to a type 2 table; False when nothing was."""
+    """Apply what is new in the ledger to a type 2 table; False when nothing was. ``buckets`` as for type 1."""
     table, new, newest = _pending(spark, ledger, root)
     if new is None:
         return False
     keys = list(keys)
-    touched = _write_touched(table, new, keys, sequence_by)
+    table, touched, held = _write_touched(table, new, keys, sequence_by, buckets)
     is_late = F.col(_FROM) < F.col(_LAST_START)
     late = touched.where(is_late)
     # Moments cross the driver as numbers: Python would lose which of two equal clock times is meant.
@@ -138,7 +248,7 @@ def refresh_scd2(
         (F.unix_micros(oldest_late) if is_moment else oldest_late).alias("oldest"),
         F.max(_ROWS).alias("most"),
     ).first()
-    moved, kept = _split_latest(table, touched, keys)
+    moved, kept = _split(held, touched, keys)
     oldest = found["oldest"]
     # Hot keys are looked for only where a key has that many events.
     split_above = hot_rows if found["most"] >= hot_rows else None
@@ -174,21 +284,21 @@ def refresh_scd2(
         .parquet(place)
     )
     opened = spark.read.parquet(place).where(F.col(_OPEN) == 1).drop(_LATE, _OPEN)
-    _together(opened, kept).write.mode("overwrite").parquet(table.slot(table.refresh + 1))
-    table.finish(newest, oldest is not None)
+    merged = _together(opened, kept)
+    table.write_latest(merged, keys)
+    table.finish(newest, oldest is not None, merged.schema)
     return True
 
 
 def read_scd1(spark: SparkSession, root: str) -> DataFrame:
     """The rows of a type 1 table."""
-    return _existing(spark, root).where(~F.col(IS_DELETE)).drop(IS_DELETE)
+    return _existing(spark, root).latest().where(~F.col(IS_DELETE)).drop(IS_DELETE)
 
 
 def read_scd2(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
     """The versions of a type 2 table, open ones and ended ones."""
-    latest = _existing(spark, root)
-    ended = _current_ended(_Table.open(spark, root), list(keys))
-    return _together(ended, latest).where(~F.col(IS_DELETE)).drop(IS_DELETE)
+    table = _existing(spark, root)
+    return _together(_current_ended(table, list(keys)), table.latest()).where(~F.col(IS_DELETE)).drop(IS_DELETE)
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
@@ -196,16 +306,20 @@ def read_current(spark: SparkSession, root: str) -> DataFrame:
     return read_scd1(spark, root).drop(N.START_AT, N.END_AT)
 
 
-def compact_scd2(spark: SparkSession, root: str, target: str, keys: Sequence[str]) -> None:
+def compact_scd2(
+    spark: SparkSession, root: str, target: str, keys: Sequence[str], buckets: int | None = None
+) -> None:
     """Write a type 2 table anew at ``target``, without the rows that corrections overruled.
 
-    The new table goes on where the old one stopped, with the same ledger.
+    The new table goes on where the old one stopped, with the same ledger; its keys may be dealt over another
+    number of ``buckets``.
     """
-    table, fresh = _Table.open(spark, root), _Table(spark, target, 0, -1, False)
+    table = _existing(spark, root)
+    fresh = _Table(spark, target, buckets=buckets or table.buckets)
     ended = f"{fresh.events_path}/{_REFRESH}=1/{_LATE}=0/{_OPEN}=0"
     _current_ended(table, list(keys)).write.mode("overwrite").parquet(ended)
-    _existing(spark, root).write.mode("overwrite").parquet(fresh.slot(1))
-    fresh.finish(table.last_batch, False)
+    fresh.write_latest(table.latest(), keys)
+    fresh.finish(table.last_batch, False, table.columns)
 
 
 def refresh_count(spark: SparkSession, root: str) -> int:
@@ -217,18 +331,15 @@ def changed_rows(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFra
     """Last events of the keys the last refresh touched, as they were before it and as they are now."""
     table = _Table.open(spark, root)
     touched = spark.read.parquet(table.touched_path)
-    now = _joined(_existing(spark, root), touched, keys, "left_semi")
-    if table.refresh == 1:
-        return now
-    before = spark.read.parquet(table.slot(table.refresh - 1))
-    return _together(now, _joined(before, touched, keys, "left_semi"))
+    both = table.latest().unionByName(table.before_last_refresh())
+    return _joined(both, touched, keys, "left_semi")
 
 
-def _existing(spark: SparkSession, root: str) -> DataFrame:
-    latest = _Table.open(spark, root).latest()
-    if latest is None:
-        raise ValueError(f"{root} was never refreshed")
-    return latest
+def _existing(spark: SparkSession, root: str) -> _Table:
+    table = _Table.open(spark, root)
+    if table.columns is None:
+        raise ValueError(f"{root} was neither created nor refreshed")
+    return table
 
 
 def _pending(
@@ -243,33 +354,41 @@ def _pending(
 
 
 def _write_touched(
-    table: _Table, new: DataFrame, keys: Sequence[str], sequence_by: str
-) -> DataFrame:
-    """Keys with new events, from when on, and where their last known event starts.
+    table: _Table, new: DataFrame, keys: Sequence[str], sequence_by: str, buckets: int | None
+) -> tuple[_Table, DataFrame, DataFrame | None]:
+    """Keys with new events, from when on, and where their last known event starts; and the last events of their buckets.
 
-    Written out, because several joins use it and its size then tells Spark whether to broadcast it.
+    Written out, because several joins use it and its size then tells Spark whether to broadcast it. A table that has
+    no buckets yet gets their number.
     """
     touched = new.groupBy(*keys).agg(
         F.min(sequence_by).alias(_FROM), F.count(F.lit(1)).alias(_ROWS)
     )
-    latest = table.latest()
-    if latest is None:
+    held = None
+    if table.columns is not None:
+        numbers = new.select(table.bucket(keys).alias(_BUCKET)).distinct().collect()
+        held = table.latest({row[_BUCKET] for row in numbers})
+    if held is None:
         touched = touched.withColumn(_LAST_START, F.lit(None).cast(touched.schema[_FROM].dataType))
     else:
         last_start = F.col(f"r.{sequence_by}").alias(_LAST_START)
-        touched = _joined(touched, latest, keys, "left").select("l.*", last_start)
+        touched = _joined(touched, held, keys, "left").select("l.*", last_start)
     touched.write.mode("overwrite").parquet(table.touched_path)
-    return table.spark.read.parquet(table.touched_path)
+    touched = table.spark.read.schema(touched.schema).parquet(table.touched_path)
+    if table.buckets is None:
+        if buckets is None:
+            buckets = min(max(touched.count() // BUCKET_KEYS + 1, LEAST_BUCKETS), MOST_BUCKETS)
+        table = replace(table, buckets=buckets)
+    return table, touched, held
 
 
-def _split_latest(
-    table: _Table, touched: DataFrame, keys: Sequence[str]
+def _split(
+    held: DataFrame | None, touched: DataFrame, keys: Sequence[str]
 ) -> tuple[DataFrame | None, DataFrame | None]:
-    """Last events of touched keys, to be merged, and the others, to be copied."""
-    latest = table.latest()
-    if latest is None:
+    """Last events of touched keys, to be merged, and the others of their buckets, to be copied."""
+    if held is None:
         return None, None
-    moved, kept = (_joined(latest, touched, keys, how) for how in ("left_semi", "left_anti"))
+    moved, kept = (_joined(held, touched, keys, how) for how in ("left_semi", "left_anti"))
     return moved, kept
 
 
