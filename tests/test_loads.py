@@ -11,6 +11,7 @@ from tidemark import names as N
 from tidemark.operators import ingest, loads
 from tidemark.operators.normalize import add_run_metadata, normalize_changes
 from tidemark.sources.changelog import ChangeLog
+from tidemark.sources.columns import merged_columns
 from tidemark.sources.storage import move_folder, partition_values, path_exists
 from tidemark.sources.streams import stream_path
 from tidemark.streaming.bronze import bronze_rows, write_bronze
@@ -152,13 +153,13 @@ def test_columns_of_several_loads():
     def columns(text):
         return StructType.fromDDL(text)
 
-    assert loads.merged_columns(None, columns("a int")) == columns("a int")
-    assert loads.merged_columns(columns("a int, b string"), columns("c date, a bigint")) == columns("a bigint, b string, c date")
-    assert loads.merged_columns(columns("a bigint"), columns("a int")) == columns("a bigint")
-    nested = loads.merged_columns(columns("s struct<`x y`: int>"), columns("s struct<z: float>"))
+    assert merged_columns(None, columns("a int")) == columns("a int")
+    assert merged_columns(columns("a int, b string"), columns("c date, a bigint")) == columns("a bigint, b string, c date")
+    assert merged_columns(columns("a bigint"), columns("a int")) == columns("a bigint")
+    nested = merged_columns(columns("s struct<`x y`: int>"), columns("s struct<z: float>"))
     assert nested == columns("s struct<`x y`: int, z: float>") == StructType.fromDDL(nested.toDDL())
     with pytest.raises(ValueError, match="column a was int before and is string now"):
-        loads.merged_columns(columns("a int"), columns("a string"))
+        merged_columns(columns("a int"), columns("a string"))
 
 
 def test_first_load_without_rows_keeps_its_columns(spark, log, folder):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tests import feeds
 from tidemark.operators import scd
+from tidemark.operators import skew
 from tidemark.operators.skew import hot_keys, join_hot, with_group_facts
 
 TIES = ("n",)
@@ -220,3 +221,48 @@ def test_group_facts_of_hot_and_ordinary_groups(spark):
     rows = with_group_facts(frame, ["k"], 40, top=F.max("v")).collect()
     assert len(rows) == frame.count()
     assert all(row["top"] == known[row["k"]] for row in rows)
+
+
+def test_sketch_names_every_hot_key(spark, monkeypatch):
+    """Also with so few counters that the first sketch cannot tell, and with none that can."""
+    keys = F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 5 == 0, F.lit("b")).otherwise(F.col("id").cast("string"))
+    frame = spark.range(30_000).select(keys.alias("k"), (F.col("id") % 2).alias("`odd` name"))
+    for counters in (skew.SKETCH_COUNTERS, (64, 1 << 10), (8, 16)):
+        monkeypatch.setattr(skew, "SKETCH_COUNTERS", counters)
+        found = hot_keys(frame, ["k"], 1000).collect()
+        assert {(r["k"], r[skew.ROWS_OF_KEY]) for r in found} == {(None, 10_000), ("b", 4_000)}
+        assert hot_keys(frame, ["k"], 10_000) is None
+    both = hot_keys(frame.withColumnRenamed("`odd` name", "odd"), ["k", "odd"], 1000).collect()
+    assert {(r["k"], r["odd"]) for r in both} == {(None, 0), (None, 1), ("b", 0), ("b", 1)}
+    assert hot_keys(frame.where("false"), ["k"], 0) is None
+
+
+def test_dense_points_of_a_hot_key_give_many_slices(spark):
+    """100,000 points in a minute, and a few a year apart."""
+    dense = spark.range(100_000).select(
+        F.lit(1).alias("k"), F.col("id").alias("v"), F.lit("update").alias("_raw_change_type"),
+        F.timestamp_micros(F.col("id") * 600 + 1_700_000_000_000_000).alias("_raw_commit_timestamp"),
+        F.lit(0).cast("long").alias("_raw_commit_version"), F.col("id").cast("int").alias("n"),
+    )
+    sparse = dense.where("v < 50").withColumn(
+        "_raw_commit_timestamp", F.col("_raw_commit_timestamp") - F.make_dt_interval(F.col("v").cast("int") * 365 + 1)
+    )
+    frame = dense.unionByName(sparse)
+    hot = hot_keys(frame, ["k"], 1000)
+    slices = scd.slice_count(hot, 1000)
+    sizes = [r["count"] for r in scd.in_slices(frame, ["k"], "_raw_commit_timestamp", slices).groupBy("_slice").count().collect()]
+    assert slices == 128 and len(sizes) == 128 and max(sizes) < 2 * 100_050 / 128
+    versions = scd.scd2_history(frame, ["k"], tie_break=TIES, hot_rows=1000)
+    plain = scd.scd2_history(frame, ["k"], tie_break=TIES, hot_rows=None)
+    assert versions.exceptAll(plain).count() == plain.exceptAll(versions).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "decimal(12,2)", "double", "date", "timestamp_ntz", "string"])
+def test_slices_keep_the_order_of_any_sequence(spark, kind):
+    value = F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")) if kind in ("date", "timestamp_ntz") else F.col("id")
+    frame = spark.range(500).select((F.col("id") % 2).alias("k"), value.cast(kind).alias("s"))
+    rows = scd.in_slices(frame, ["k"], "s", 16).groupBy("k", "_slice").agg(F.min("s").alias("low"), F.max("s").alias("high"))
+    slices = sorted(rows.collect(), key=lambda r: (r["k"], r["_slice"]))
+    for one, following in zip(slices, slices[1:]):
+        assert one["k"] < following["k"] or one["high"] < following["low"]
+    assert kind == "string" or len(slices) == 32

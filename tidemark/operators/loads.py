@@ -15,9 +15,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DoubleType, FloatType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark import names as N
+from tidemark.sources.columns import merged_columns
 from tidemark.sources.storage import delete_folder, move_folder, partition_values
 from tidemark.sources.streams import stream_path
 
@@ -28,8 +29,6 @@ _LOG_SCHEMA = (
     "feed string, source_system string, kind string, start_version long, end_version long, row_count long, "
     "high_version long, first_load long, columns string, finished_at timestamp"
 )
-# Files of the first type can be read as the second.
-_WIDER: tuple[tuple[type[DataType], type[DataType]], ...] = ((IntegerType, LongType), (FloatType, DoubleType))
 
 
 @dataclass(frozen=True)
@@ -60,27 +59,6 @@ def last_finished(spark: SparkSession, target: str) -> Finished | None:
     return None
 
 
-def merged_columns(known: StructType | None, new: StructType) -> StructType:
-    """``known`` and behind them the columns that ``new`` adds; of two number types the wider one."""
-    fields = {field.name: field for field in known or []}
-    for field in new:
-        before = fields.get(field.name)
-        kind = field.dataType if before is None else _common_type(field.name, before.dataType, field.dataType)
-        fields[field.name] = StructField(field.name, kind, True)
-    return StructType(list(fields.values()))
-
-
-def _common_type(name: str, left: DataType, right: DataType) -> DataType:
-    if left == right:
-        return left
-    for narrow, wide in _WIDER:
-        if {type(left), type(right)} == {narrow, wide}:
-            return wide()
-    if isinstance(left, StructType) and isinstance(right, StructType):
-        return merged_columns(left, right)
-    raise ValueError(f"column {name} was {left.simpleString()} before and is {right.simpleString()} now")
-
-
 def stage_load(rows: DataFrame, target: str, load: int) -> tuple[int, int | None]:
     """Write the rows of a load where nobody reads them; what an earlier attempt left there goes.
 

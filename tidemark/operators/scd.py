@@ -16,7 +16,10 @@ from pyspark.sql import types as T
 
 from tidemark import names as N
 from tidemark.functions.keys import surrogate_key
-from tidemark.operators.skew import HOT_ROWS, hot_keys, join_hot, with_group_facts
+from tidemark.operators.skew import HOT_ROWS, ROWS_OF_KEY, hot_keys, join_hot, with_group_facts
+
+# Slices of one key; a key with a third of 10^12 rows has some 80 million in each.
+MOST_SLICES = 4096
 
 DELETES = f"{N.RAW_CHANGE_TYPE} = '{N.DELETE}'"
 
@@ -24,6 +27,7 @@ IS_DELETE = "_is_delete"
 _IMAGE = "_is_image"
 _RANK = "_rank_hash"
 _SLICE = "_slice"
+_CUTS = "_cuts"
 _MARKER = "_marker"
 _NEXT = "_next"
 
@@ -75,24 +79,24 @@ def event_intervals(
 ) -> DataFrame:
     """All effective events with ``__START_AT`` and ``__END_AT``, deletes included and flagged.
 
-    One shuffle and one sort by key serve ordinary keys. The events of a hot key are spread over
-    slices of the sequence; each slice learns from a marker row where the next one begins. ``hot_rows`` None says
-    that no key is hot.
+    One shuffle and one sort by key serve ordinary keys. The events of a hot key are spread over slices, cut at
+    quantiles of the key's own sequence; each slice learns from a marker row where the next one begins.
+    ``hot_rows`` None says that no key is hot.
     """
     keys = list(keys)
     events, order = _ordered(changes, sequence_by, deletes, tie_break)
     bounds = [F.col(sequence_by).alias(N.START_AT), F.col(_NEXT).alias(N.END_AT)]
-    if hot_rows is None:
+    hot = None if hot_rows is None else hot_keys(events, keys, hot_rows)
+    if hot is None:
         stamped = _with_next(events, keys, order, sequence_by)
         return stamped.select(*changes.columns, IS_DELETE, *bounds)
-    hot = hot_keys(events, keys, hot_rows)
     columns = [*changes.columns, IS_DELETE, _NEXT]
 
     ordinary = _with_next(join_hot(events, hot, keys, "left_anti"), keys, order, sequence_by)
     # Events at the same point collapse first, on the map side, so that a slice stays small even
     # where one event was copied many times.
     points = last_events(join_hot(events, hot, keys, "left_semi"), [*keys, sequence_by], order)
-    sliced = points.withColumn(_SLICE, _slice(points, sequence_by)).withColumn(_MARKER, F.lit(False))
+    sliced = in_slices(points, keys, sequence_by, slice_count(hot, hot_rows)).withColumn(_MARKER, F.lit(False))
     in_time = Window.partitionBy(*keys).orderBy(_SLICE)
     markers = (
         sliced.groupBy(*keys, _SLICE)
@@ -220,22 +224,34 @@ def _with_next(
     return stamped.where(F.col(_NEXT).isNull() | (F.col(_NEXT) > F.col(sequence_by)))
 
 
-def _slice(events: DataFrame, sequence_by: str) -> Column:
-    """Coarser value that grows with the sequence: ten minutes of a time, a million of whole numbers.
+def slice_count(hot: DataFrame, slice_rows: int) -> int:
+    """A power of two that gives slices of the largest of these keys about ``slice_rows`` events or fewer."""
+    largest = hot.agg(F.max(ROWS_OF_KEY)).first()[0] or 0
+    slices = 2
+    while slices * slice_rows < largest and slices < MOST_SLICES:
+        slices *= 2
+    return slices
+
 
-    A decade has about half a million slices of ten minutes, so the markers of one key stay few. The
-    events of a key differ in their sequence here, which bounds a slice too. Times without a zone are
-    cut by their fields: in a zone with summer time, turning them into moments would break the order.
+def in_slices(events: DataFrame, keys: Sequence[str], sequence_by: str, slices: int) -> DataFrame:
+    """Number the slices of each key, in ``_slice``, cut at quantiles of the sequence.
+
+    However dense the events of a key are somewhere, its slices hold about equally many. Sequences without quantiles, like
+    texts, are cut at every value. Events of one key differ in their sequence here.
     """
-    kind, value = events.schema[sequence_by].dataType, F.col(sequence_by)
-    if isinstance(kind, T.TimestampType):
-        return F.floor(F.unix_seconds(value) / 600)
-    if isinstance(kind, T.TimestampNTZType):
-        hours = F.unix_date(value.cast("date")) * 24 + F.hour(value)
-        return hours * 6 + F.floor(F.minute(value) / 10)
-    if isinstance(kind, T.IntegralType):
-        return F.floor(value / 1_000_000)
-    return value
+    kind = events.schema[sequence_by].dataType
+    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return events.withColumn(_SLICE, F.col(sequence_by))
+    shares = [number / slices for number in range(1, slices)]
+    cuts = events.groupBy(*keys).agg(F.percentile_approx(sequence_by, shares, max(10_000, 4 * slices)).alias(_CUTS))
+    # Binary search for the number of cuts up to the event.
+    steps = [slices >> n for n in range(1, slices.bit_length())]
+    before = F.reduce(
+        F.array(*[F.lit(step) for step in steps]),
+        F.lit(0),
+        lambda low, step: F.when(F.get(_CUTS, low + step - 1) <= F.col(sequence_by), low + step).otherwise(low),
+    )
+    return join_hot(events, cuts, keys, "inner").withColumn(_SLICE, before).drop(_CUTS)
 
 
 def _moment(text: str) -> Column:

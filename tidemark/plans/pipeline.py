@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -17,11 +18,11 @@ from tidemark.operators.scd import scd2_view, tie_of
 from tidemark.plans import gold
 from tidemark.plans.silver import ENTITIES, Entity, clean
 from tidemark.sources.changelog import ChangeLog
-from tidemark.sources.feeds import Feed
-from tidemark.sources.storage import delete_folder, path_exists
-from tidemark.sources.streams import stream_path
+from tidemark.sources.feeds import BRONZE_PREFIX, SOURCE_PREFIX, Feed
+from tidemark.sources.storage import delete_folder, make_folder, path_exists
+from tidemark.sources.streams import stream_table
 from tidemark.streaming import history
-from tidemark.streaming.bronze import bronze_rows, write_bronze
+from tidemark.streaming.bronze import create_bronze_table
 from tidemark.streaming.ledger import append_changes
 from tidemark.streaming.triggered import finish
 
@@ -35,9 +36,13 @@ RAW_COLUMNS = (N.RAW_CHANGE_TYPE, N.RAW_COMMIT_TIMESTAMP, N.RAW_COMMIT_VERSION)
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the layers keep their tables, all under one shared root."""
+    """Where the layers keep their tables, all under one shared root.
+
+    Bronze tables go by name, in a database of the catalog that belongs to this root unless another one is given.
+    """
 
     root: str
+    database: str | None = None
 
     def raw(self, system: str) -> str:
         return f"{self.root}/raw/{system.lower()}"
@@ -45,6 +50,13 @@ class Layout:
     def table(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
+    def schema(self) -> str:
+        """The database of the bronze tables."""
+        return self.database or f"lake_{hashlib.sha256(self.root.encode()).hexdigest()[:16]}"
+
+    def bronze(self, name: str) -> str:
+        return f"{self.schema()}.{BRONZE_PREFIX}{name.removeprefix(SOURCE_PREFIX)}"
+
     def checkpoint(self, layer: str, name: str) -> str:
         return f"{self.root}/checkpoints/{layer}/{name}"
 
@@ -80,12 +92,16 @@ def ingest_all(
 def refresh_bronze(
     spark: SparkSession, feeds: Sequence[Feed], layout: Layout, limit: int = CONCURRENT_FEEDS
 ) -> None:
-    """Copy new raw history of every feed to bronze."""
+    """Copy new raw history of every feed to its bronze table, which takes up columns that are new.
+
+    The tables are entered into the catalog of this session under their names.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layout.schema()} LOCATION '{layout.table('catalog', 'bronze')}'")
 
     def run(feed: Feed) -> int:
-        rows = bronze_rows(spark, feed.target_path)
         target = layout.table("bronze", feed.table)
-        return finish(write_bronze(rows, target, layout.checkpoint("bronze", feed.table)))
+        checkpoint = layout.checkpoint("bronze", feed.table)
+        return finish(create_bronze_table(spark, layout.bronze(feed.table), feed.target_path, target, checkpoint))
 
     in_parallel(spark, [lambda feed=feed: run(feed) for feed in feeds], limit)
 
@@ -97,16 +113,21 @@ def refresh_silver(
     silver_time: Column | None = None,
     limit: int = CONCURRENT_FEEDS,
 ) -> None:
-    """Clean new bronze rows of every entity and apply them to its type 1 or type 2 table."""
+    """Clean new bronze rows of every entity and apply them to its type 1 or type 2 table.
+
+    The table is created first, so that its readers find it whether or not there ever was a row.
+    """
 
     def run(entity: Entity) -> None:
         events = layout.table("ledger", entity.name)
         target = layout.table("silver", entity.name)
-        rows = clean(stream_path(spark, layout.table("bronze", entity.source)), entity, silver_time)
+        rows = clean(stream_table(spark, layout.bronze(entity.source)), entity, silver_time)
+        create = history.create_scd1 if entity.scd_type == 1 else history.create_scd2
+        create(spark, target, rows.schema, entity.keys)
         finish(append_changes(rows, events, layout.checkpoint("silver", entity.name)))
         refresh = history.refresh_scd1 if entity.scd_type == 1 else history.refresh_scd2
         refresh(spark, events, target, entity.keys)
-        if entity.presented and history.refresh_count(spark, target):
+        if entity.presented:
             view = scd2_view(history.read_scd2(spark, target, entity.keys), entity.keys)
             view.write.mode("overwrite").parquet(layout.table("silver", f"{entity.name}_scd2"))
 
@@ -116,8 +137,9 @@ def refresh_silver(
 def current(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     """Current rows of a silver entity; none, but all columns, where its source never had a row."""
     table = layout.table("silver", name)
-    if history.refresh_count(spark, table):
+    if history.is_created(spark, table):
         return history.read_current(spark, table)
+    # Bronze that was filled elsewhere and never refreshed into silver.
     entity = ENTITIES[name]
     bronze = spark.read.option("mergeSchema", "true").parquet(layout.table("bronze", entity.source))
     return clean(bronze, entity).limit(0)
@@ -144,7 +166,7 @@ def refresh_gold(spark: SparkSession, layout: Layout, limit: int = CONCURRENT_FE
 
     in_parallel(spark, [lambda name=name: write(name) for name in dimensions], limit)
 
-    orders = stream_path(spark, layout.table("bronze", ENTITIES["order"].source))
+    orders = stream_table(spark, layout.bronze(ENTITIES["order"].source))
     customers = spark.read.parquet(layout.table("gold", "dim_customer"))
     refresh_fact_order(spark, clean(orders, ENTITIES["order"]), customers, layout)
 
@@ -160,6 +182,8 @@ def refresh_fact_order(
     tied = orders.withColumn(_TIE, tie_of(orders))
     facts = gold.fact_order(tied, customers, *RAW_COLUMNS, _TIE)
     events, state = layout.table("ledger", "fact_order"), layout.table("state", "fact_order")
+    history.create_scd1(spark, state, facts.schema, ["order_key"])
+    make_folder(spark, layout.table("gold", "fact_order"))
     finish(append_changes(facts, events, layout.checkpoint("gold", "fact_order")))
     history.refresh_scd1(spark, events, state, ["order_key"], tie_break=[_TIE])
     publish_fact(spark, state, layout.table("gold", "fact_order"))
@@ -196,6 +220,12 @@ def publish_fact(spark: SparkSession, state: str, path: str) -> None:
     done.write.mode("append").parquet(log)
 
 
+def read_fact(spark: SparkSession, path: str) -> DataFrame:
+    """The published fact under its declared columns; a folder without orders has no rows."""
+    columns = ", ".join(f"{name} {kind}" for name, kind in gold.FACT_SCHEMA.items())
+    return spark.read.schema(columns).parquet(path).select(*gold.FACT_SCHEMA)
+
+
 def write_fact(facts: DataFrame, path: str) -> None:
     """Write the declared columns, one directory per order day; days without rows here stay as they are.
 
@@ -230,9 +260,7 @@ def run_pipeline(
 def layer_counts(spark: SparkSession, layout: Layout, feeds: Sequence[Feed]) -> DataFrame:
     """Rows of every table of every layer."""
     tables = [("raw", feed.table, read_history(spark, feed.target_path)) for feed in feeds]
-    tables += [
-        ("bronze", feed.table, spark.read.parquet(layout.table("bronze", feed.table))) for feed in feeds
-    ]
+    tables += [("bronze", feed.table, spark.table(layout.bronze(feed.table))) for feed in feeds]
     for name, entity in ENTITIES.items():
         place = layout.table("silver", name)
         kept = history.read_scd1(spark, place)
@@ -240,8 +268,9 @@ def layer_counts(spark: SparkSession, layout: Layout, feeds: Sequence[Feed]) ->
             kept = history.read_scd2(spark, place, entity.keys)
         tables.append(("silver", name, kept))
     names = ["dim_customer", "dim_nation", "dim_region", "dim_supplier", "dim_part"]
-    names += ["dim_part_supplier", "dim_date", "fact_order"]
+    names += ["dim_part_supplier", "dim_date"]
     tables += [("gold", name, spark.read.parquet(layout.table("gold", name))) for name in names]
+    tables.append(("gold", "fact_order", read_fact(spark, layout.table("gold", "fact_order"))))
     counts = [
         rows.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count"

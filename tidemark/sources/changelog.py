@@ -2,7 +2,8 @@
 
 ``<path>/changes`` holds the change feed, partitioned by commit version, so a version window reads only
 its own directories. ``<path>/history`` holds one row per commit: version, timestamp, operation and
-properties (a JSON object of table properties the commit set).
+properties (a JSON object of table properties the commit set). ``<path>/columns`` holds the columns of the feed, a
+row for each time they changed, so that no footer is read to learn them.
 """
 
 from __future__ import annotations
@@ -18,12 +19,14 @@ from pyspark.sql.types import StructType
 
 from tidemark import names as N
 from tidemark.operators.scd import scd1_latest
-from tidemark.sources.storage import partition_values, table_exists
+from tidemark.sources.columns import merged_columns
+from tidemark.sources.storage import partition_values, path_exists, table_exists
 
 logger = logging.getLogger(__name__)
 
 FEED_COLUMNS = (N.CHANGE_TYPE, N.COMMIT_VERSION, N.COMMIT_TIMESTAMP)
 _POSITION = "_position"
+_COLUMNS_SCHEMA = "number int, columns string"
 SNAPSHOT_DELETES = f"{N.CHANGE_TYPE} = '{N.DELETE}'"
 
 
@@ -87,8 +90,8 @@ def commit_timestamps(history: DataFrame, version: int) -> DataFrame:
 class ChangeLog:
     """A versioned table: its feed, its commits, and questions about them.
 
-    With a ``schema`` the feed is read under it; without one the schemas of all files are merged,
-    which reads every footer.
+    With a ``schema`` the feed is read under it; without one under the columns kept beside the feed. Where
+    there are none either, the schemas of all files are merged, which reads every footer.
     """
 
     spark: SparkSession
@@ -119,12 +122,20 @@ class ChangeLog:
         """Changes of the versions ``start`` to ``end``; the folders of others are not even listed."""
         versions = partition_values(self.spark, self.changes_path, N.COMMIT_VERSION)
         folders = [f"{self.changes_path}/{N.COMMIT_VERSION}={v}" for v in versions if start <= v <= end]
-        return changes_between(self._read(folders or [self.changes_path]), start, end)
+        return changes_between(self._read(folders), start, end)
+
+    def columns(self) -> StructType | None:
+        """Columns of the feed, as given or as kept; None where nobody wrote them down."""
+        return self.schema or kept_columns(self.spark, self.path)
 
     def _read(self, folders: list[str]) -> DataFrame:
+        columns = self.columns()
+        if columns is not None and not folders:
+            return self.spark.createDataFrame([], columns)
         reader = self.spark.read.option("mergeSchema", "true")
-        if self.schema is not None:
-            reader = self.spark.read.schema(self.schema)
+        if columns is not None:
+            reader = self.spark.read.schema(columns)
+        folders = folders or [self.changes_path]
         log = reader.option("basePath", self.changes_path).parquet(*folders)
         return log.withColumn(N.COMMIT_VERSION, F.col(N.COMMIT_VERSION).cast("long"))
 
@@ -162,9 +173,30 @@ class ChangeLog:
         return self.state()["first_enabled"]
 
 
+def kept_columns(spark: SparkSession, path: str) -> StructType | None:
+    """Columns of a change log, merged over all its writes; None where they were not kept."""
+    place = f"{path.rstrip('/')}/columns"
+    if not path_exists(spark, place):
+        return None
+    columns = None
+    for row in spark.read.schema(_COLUMNS_SCHEMA).parquet(place).orderBy("number").collect():
+        columns = merged_columns(columns, StructType.fromDDL(row["columns"]))
+    return columns
+
+
+def _keep_columns(spark: SparkSession, path: str, new: StructType) -> None:
+    known = kept_columns(spark, path)
+    columns = merged_columns(known, new)
+    if columns != known:
+        rows = [(0 if known is None else len(known), columns.toDDL())]
+        row = spark.createDataFrame(rows, _COLUMNS_SCHEMA).coalesce(1)
+        row.write.mode("append").parquet(f"{path.rstrip('/')}/columns")
+
+
 def write_commits(changes: DataFrame, history: DataFrame, path: str, mode: str = "append") -> None:
     """Add commits to a change log: the changes first, then the history that makes them known."""
     root = path.rstrip("/")
+    _keep_columns(changes.sparkSession, root, changes.schema)
     changes.hint("rebalance", N.COMMIT_VERSION).write.mode(mode).partitionBy(N.COMMIT_VERSION).parquet(
         f"{root}/changes"
     )

@@ -16,6 +16,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    folder, files = _folder(spark, path)
+    files.mkdirs(folder)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     folder, files = _folder(spark, path)
     files.delete(folder, True)

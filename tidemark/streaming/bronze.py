@@ -8,6 +8,8 @@ from pyspark.sql.types import StructType
 
 from tidemark.functions.metadata import lineage_columns
 from tidemark.operators.loads import last_finished, stream_history
+from tidemark.sources.columns import merged_columns
+from tidemark.sources.storage import make_folder
 from tidemark.sources.streams import stream_path
 from tidemark.streaming.triggered import start
 
@@ -53,12 +55,12 @@ def create_bronze_table(
     max_files: int | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Start the stream of a bronze table and enter the table into the catalog.
+    """Enter a bronze table into the catalog, with the columns its source has now, and start its stream.
 
-    ``properties`` override the defaults of the same name.
+    ``properties`` override the defaults of the same name. The table is there before its first row, and a later start
+    adds the columns that have come since.
     """
     rows = bronze_rows(spark, source, max_files=max_files)
-    query = write_bronze(rows, target, checkpoint, interval)
     register_table(
         spark,
         table,
@@ -67,7 +69,7 @@ def create_bronze_table(
         comment or f"Bronze: changes of {table} as they came in",
         {**BRONZE_PROPERTIES, **(properties or {})},
     )
-    return query
+    return write_bronze(rows, target, checkpoint, interval)
 
 
 def register_table(
@@ -78,14 +80,44 @@ def register_table(
     comment: str,
     properties: dict[str, str],
 ) -> None:
-    """Name a Parquet folder in the catalog; its files stay where they are."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    """Name a Parquet folder in the catalog; its files stay where they are.
+
+    A table that is there already takes up the columns it lacks, and the properties. A column whose type has become
+    wider, which the catalog cannot alter, has the table entered anew; a name that stands for another folder is refused.
+    """
     pairs = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in properties.items())
+    columns = merged_columns(None, schema)
+    make_folder(spark, path)
+    if spark.catalog.tableExists(table):
+        place = _location(spark, table)
+        if place != _qualified(spark, path):
+            raise ValueError(f"{table} stands for {place}")
+        known = spark.table(table).schema
+        columns = merged_columns(known, schema)
+        added = StructType([field for field in columns if field.name not in known.names])
+        if all(columns[field.name].dataType == field.dataType for field in known):
+            if len(added):
+                spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added.toDDL()})")
+            if properties:
+                spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
+            return
+        spark.sql(f"DROP TABLE {table}")
+    set_properties = f"TBLPROPERTIES ({pairs})" if properties else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet LOCATION {_quoted(path)} "
-        f"COMMENT {_quoted(comment)} TBLPROPERTIES ({pairs})"
+        f"CREATE TABLE {table} ({columns.toDDL()}) USING parquet LOCATION {_quoted(path)} "
+        f"COMMENT {_quoted(comment)} {set_properties}"
     )
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").select("data_type")
+    return _qualified(spark, rows.first()[0])
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

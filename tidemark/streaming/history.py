@@ -322,6 +322,10 @@ def compact_scd2(
     fresh.finish(table.last_batch, False, table.columns)
 
 
+def is_created(spark: SparkSession, root: str) -> bool:
+    return _Table.open(spark, root).columns is not None
+
+
 def refresh_count(spark: SparkSession, root: str) -> int:
     """Finished refreshes of a table."""
     return _Table.open(spark, root).refresh

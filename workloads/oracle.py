@@ -415,6 +415,23 @@ PIPELINE = union_all(
     ]
 )
 
+_NEVER = ("h_supplier", "h_order")
+PIPELINE_EMPTY = union_all(
+    [_layer(layer, table, "0" if table in _NEVER else "n", table) for layer in ("raw", "bronze") for table in SOURCE_COUNTS]
+    + [_layer("silver", t[2:], "0" if t in _NEVER else "n", t) for t in SOURCE_COUNTS]
+    + [
+        _layer("silver", "customer_narrow", "n", "h_customer"),
+        _layer("gold", "dim_customer", "n + 1", "h_customer"),
+        _layer("gold", "dim_nation", "n + 1", "h_nation"),
+        _layer("gold", "dim_region", "n + 1", "h_region"),
+        _layer("gold", "dim_part", "n + 1", "h_part"),
+        _layer("gold", "dim_supplier", "1", "h_supplier"),
+        _layer("gold", "dim_part_supplier", "n + 1", "h_partsupp"),
+        _layer("gold", "fact_order", "0", "h_order"),
+        "SELECT 'gold', 'dim_date', date_diff('day', DATE '2000-01-01', DATE '2030-12-31') + 2",
+    ]
+)
+
 BUSINESS_KEYS = """
 SELECT l_orderkey, l_linenumber, concat_ws('|', l_partkey, l_suppkey, 'OAH') AS business_key,
        concat_ws('-', l_orderkey, l_linenumber) AS line_key,
@@ -452,6 +469,7 @@ ORACLE: dict[str, str] = {
     "ingest_all_feeds": INGEST_ALL_FEEDS,
     "feed_configs": FEED_CONFIGS,
     "bronze_stream": RAW_ALL,
+    "bronze_evolved": RAW_EVOLVED,
     "bronze_lineage": f"SELECT event_id, true AS has_path, true AS has_time FROM ({normalized(FEED)})",
     **{f"silver_{name}": sql for name, sql in SILVER.items()},
     "silver_stream": SILVER["order"],
@@ -481,4 +499,5 @@ ORACLE: dict[str, str] = {
     "fact_order_lines": FACT_ORDER_LINES,
     "fact_order_stream": FACT_ORDER,
     "pipeline_end_to_end": PIPELINE,
+    "pipeline_empty_source": PIPELINE_EMPTY,
 }

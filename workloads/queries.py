@@ -232,11 +232,15 @@ def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_business_logs(spark: SparkSession, sf_dir: str, found: list[feeds.Feed]) -> None:
+def write_business_logs(
+    spark: SparkSession, sf_dir: str, found: list[feeds.Feed], empty: tuple[str, ...] = ()
+) -> None:
     history = I.business_history(spark)
 
     def write(feed: feeds.Feed) -> None:
         changes = I.business_feed(spark, sf_dir, entity_of(feed.table))
+        if feed.table in empty:
+            changes = changes.where("false")
         changelog.write_commits(changes, history, feed.source_path)
 
     jobs = [lambda feed=feed: write(feed) for feed in found]
@@ -294,6 +298,20 @@ def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bronze(spark, sf_dir).drop(N.RAW_FILE_PATH, N.RAW_FILE_MODIFICATION_TIME)
 
 
+def bronze_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bronze table read by its name after a second load that brought a column."""
+    root, run = work_folder(spark, "bronze-evolved"), I.moment(I.RUN_TIME)
+    table = f"brz_users_{root[-12:]}"
+    feed, early = I.user_feed_with_preimages(spark, sf_dir), F.col(N.COMMIT_VERSION) <= SNAPSHOT_VERSION
+    grade = F.when(F.col("value") >= 100, "high").otherwise("low")
+    for changes in (feed.where(early), feed.where(~early).withColumn("grade", grade)):
+        ingest.write_history(changes, f"{root}/raw", "MRI", run)
+        finish(bronze.create_bronze_table(spark, table, f"{root}/raw", f"{root}/bronze", f"{root}/checkpoint"))
+    rows = spark.table(table).drop(N.RAW_FILE_PATH, N.RAW_FILE_MODIFICATION_TIME)
+    spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
 def bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bronze(spark, sf_dir).select(
         "event_id",
@@ -512,6 +530,16 @@ def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.layer_counts(spark, layout, found)
 
 
+def pipeline_empty_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All layers where two sources, suppliers and orders, never had a row."""
+    root = work_folder(spark, "pipeline-empty")
+    found = configured_feeds(f"{root}/sources", f"{root}/raw")
+    write_business_logs(spark, sf_dir, found, empty=("h_supplier", "h_order"))
+    layout = pipeline.Layout(root)
+    pipeline.run_pipeline(spark, found, layout, I.moment(I.RUN_TIME))
+    return pipeline.layer_counts(spark, layout, found)
+
+
 QUERIES: dict[str, Query] = {
     "cdf_range": cdf_range,
     "cdf_normalized": cdf_normalized,
@@ -534,6 +562,7 @@ QUERIES: dict[str, Query] = {
     "ingest_all_feeds": ingest_all_feeds,
     "feed_configs": feed_configs,
     "bronze_stream": bronze_stream,
+    "bronze_evolved": bronze_evolved,
     "bronze_lineage": bronze_lineage,
     **{f"silver_{name}": _silver(name) for name in ENTITIES},
     "silver_stream": silver_stream,
@@ -563,4 +592,5 @@ QUERIES: dict[str, Query] = {
     "fact_order_lines": fact_order_lines,
     "fact_order_stream": fact_order_stream,
     "pipeline_end_to_end": pipeline_end_to_end,
+    "pipeline_empty_source": pipeline_empty_source,
 }
