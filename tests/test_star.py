@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions.keys import number_key
 from tidemark.plans import gold, pipeline
 from tidemark.plans.silver import ENTITIES, clean
 from tidemark.sources.streams import stream_path
@@ -190,3 +192,88 @@ def test_fact_and_order_table_keep_the_same_row_of_a_tie(spark, folder, silver):
     fact = spark.read.parquet(layout.table("gold", "fact_order"))
     assert {(r["order_key"], r["order_comment"]) for r in fact.collect()} == kept
     assert len(kept) == 40
+
+
+def test_order_keys_beyond_int_and_row_times(spark, folder, silver):
+    """The first creation of an order stays, its update moves; keys are as wide as the source's."""
+    layout = pipeline.Layout(folder)
+    source = layout.table("bronze", "h_order")
+    wide = {"o_orderkey": F.lit(3_000_000_000), "o_custkey": F.lit(3_000_000_001)}
+    bronze = I.bronze_rows(spark, SF, "order").where("o_orderkey < 1").withColumns(wide).coalesce(1)
+    customer = silver["customer"].where("c_custkey = 1").withColumn("c_custkey", F.lit(3_000_000_001))
+    dim = gold.dim_customer(customer, silver["nation"], silver["region"])
+    for day in (1, 3, 2):
+        at = F.lit(f"2024-05-0{day} 00:00:00").cast("timestamp")
+        bronze.withColumns({"_raw_commit_timestamp": at, "o_comment": F.lit(f"day {day}")}).write.mode("append").parquet(source)
+        orders = clean(stream_path(spark, source), ENTITIES["order"])
+        pipeline.refresh_fact_order(spark, orders, dim, layout)
+    (row,) = pipeline.read_fact(spark, layout.table("gold", "fact_order")).collect()
+    assert (row["order_key"], row["order_comment"]) == (3_000_000_000, "day 3")
+    assert row["customer_surrogate_key"] != -1
+    assert (row["created_at"], row["updated_at"]) == (dt.datetime(2024, 5, 1), dt.datetime(2024, 5, 3))
+
+
+def test_keys_hash_alike_in_every_width(spark):
+    rows = spark.createDataFrame([(5,), (-7,), (None,), (3_000_000_000,)], "k bigint")
+    hashed = rows.select(number_key("k").alias("h"), F.xxhash64("k").alias("wide"), F.expr("xxhash64(try_cast(k as int))").alias("narrow"))
+    found = [tuple(r) for r in hashed.collect()]
+    assert [h == narrow for h, _, narrow in found] == [True, True, True, False]
+    assert found[3][0] == found[3][1]
+
+
+def test_publication_reads_only_changed_days(spark, folder, silver, monkeypatch):
+    layout = pipeline.Layout(folder)
+    source, path = layout.table("bronze", "h_order"), layout.table("gold", "fact_order")
+    day = F.expr("cast(date_add(date'1995-01-01', cast(o_orderkey % 10 as int)) as timestamp_ntz)")
+    bronze = I.bronze_rows(spark, SF, "order").where("o_orderkey < 60").withColumn("o_orderdate", day).coalesce(1)
+    dim = gold.dim_customer(silver["customer"], silver["nation"], silver["region"])
+    read = []
+    real = pipeline.changed_days
+
+    def seen(*args):
+        facts = real(*args)
+        read.append((facts._jdf.queryExecution().executedPlan().toString(), facts.inputFiles()))
+        return facts
+
+    monkeypatch.setattr(pipeline, "changed_days", seen)
+    bronze.write.parquet(source)
+    pipeline.refresh_fact_order(spark, clean(stream_path(spark, source), ENTITIES["order"]), dim, layout)
+    assert read == []
+    later = bronze.where("o_orderkey in (3, 13)").withColumn(
+        "_raw_commit_timestamp", F.col("_raw_commit_timestamp") + F.expr("interval 1 day")
+    )
+    later.withColumn("o_orderstatus", F.lit("Z")).write.mode("append").parquet(source)
+    pipeline.refresh_fact_order(spark, clean(stream_path(spark, source), ENTITIES["order"]), dim, layout)
+    ((plan, files),) = read
+    assert re.search(r"PartitionFilters: \[[^\]]*order_date_key#\d+ = 19950104[^\]]*\]", plan)
+    assert {f.split("_refresh=")[1].split("/")[0] for f in files if "_refresh=" in f} == {"2"}
+    fact = pipeline.read_fact(spark, path)
+    assert fact.count() == 60 and fact.where("order_status = 'Z'").count() == 2
+
+
+def test_a_day_lost_in_a_broken_publication_comes_from_the_state(spark, folder, silver, monkeypatch):
+    layout = pipeline.Layout(folder)
+    source, path = layout.table("bronze", "h_order"), layout.table("gold", "fact_order")
+    day = F.expr("cast(date_add(date'1995-01-01', cast(o_orderkey % 3 as int)) as timestamp_ntz)")
+    bronze = I.bronze_rows(spark, SF, "order").where("o_orderkey < 30").withColumn("o_orderdate", day).coalesce(1)
+    dim = gold.dim_customer(silver["customer"], silver["nation"], silver["region"])
+
+    def refresh():
+        pipeline.refresh_fact_order(spark, clean(stream_path(spark, source), ENTITIES["order"]), dim, layout)
+
+    bronze.write.parquet(source)
+    refresh()
+    bronze.where("o_orderkey = 3").withColumn(
+        "_raw_commit_timestamp", F.col("_raw_commit_timestamp") + F.expr("interval 1 day")
+    ).write.mode("append").parquet(source)
+    with monkeypatch.context() as broken:
+        def lose(facts, place):
+            pipeline.delete_folder(spark, f"{place}/order_date_key=19950101")
+            raise RuntimeError("lost")
+
+        broken.setattr(pipeline, "write_fact", lose)
+        with pytest.raises(RuntimeError):
+            refresh()
+    assert pipeline.read_fact(spark, path).count() == 20
+    refresh()
+    assert pipeline.read_fact(spark, path).count() == 30

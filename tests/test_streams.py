@@ -53,3 +53,44 @@ def test_stream_reads_columns_of_all_files(spark, folder):
     assert finish(start(writer.option("path", f"{folder}/out"), f"{folder}/checkpoint")) == 5
     rows = spark.read.parquet(f"{folder}/out")
     assert rows.where("extra is null").count() == 3
+
+
+def test_bronze_table_takes_up_new_columns(spark, folder):
+    """Read by its name after a second load; the table keeps its place and its properties."""
+    def refresh(rows, **more):
+        rows.write.mode("append").parquet(f"{folder}/raw")
+        finish(bronze.create_bronze_table(spark, "brz_grown", f"{folder}/raw", f"{folder}/bronze", f"{folder}/checkpoint", **more))
+        return spark.table("brz_grown").drop(N.RAW_FILE_PATH, N.RAW_FILE_MODIFICATION_TIME)
+
+    first = refresh(spark.range(3), properties={"team": "a"})
+    assert first.columns == ["id"] and first.count() == 3
+    odd = F.struct(F.lit(1).alias("x y")).alias("s")
+    second = refresh(spark.range(3, 5).select("id", F.lit("new").alias("extra"), odd), properties={"owner team": "b"})
+    assert second.columns == ["id", "extra", "s"]
+    assert sorted((r["id"], r["extra"], r["s"] and r["s"]["x y"]) for r in second.collect()) == [
+        (0, None, None), (1, None, None), (2, None, None), (3, "new", 1), (4, "new", 1)
+    ]
+    shown = {r["key"]: r["value"] for r in spark.sql("SHOW TBLPROPERTIES brz_grown").collect()}
+    assert (shown["team"], shown["owner team"], shown["quality"]) == ("a", "b", "bronze")
+    with pytest.raises(ValueError, match="stands for"):
+        bronze.register_table(spark, "brz_grown", f"{folder}/elsewhere", second.schema, "", {})
+    spark.sql("DROP TABLE brz_grown")
+
+
+def test_table_whose_column_became_wider_is_entered_anew(spark, folder):
+    for kind in ("int", "bigint"):
+        rows = spark.range(2).select(F.col("id").cast(kind).alias("k"))
+        rows.write.mode("append").parquet(f"{folder}/t")
+        bronze.register_table(spark, "brz_wider", f"{folder}/t", rows.schema, "a table", {})
+    assert spark.table("brz_wider").dtypes == [("k", "bigint")] and spark.table("brz_wider").count() == 4
+    with pytest.raises(ValueError, match="column k"):
+        bronze.register_table(spark, "brz_wider", f"{folder}/t", spark.range(1).selectExpr("'x' AS k").schema, "", {})
+    spark.sql("DROP TABLE brz_wider")
+
+
+def test_named_table_can_be_read_before_its_first_row(spark, folder):
+    bronze.register_table(spark, "brz_early", f"{folder}/t", spark.range(1).schema, "a table", {})
+    assert spark.table("brz_early").count() == 0
+    writer = stream_table(spark, "brz_early").writeStream.format("parquet")
+    assert finish(start(writer.option("path", f"{folder}/out"), f"{folder}/checkpoint")) == 0
+    spark.sql("DROP TABLE brz_early")

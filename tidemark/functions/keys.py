@@ -30,6 +30,13 @@ def business_key(
     return F.concat_ws(delimiter, *[part.cast("string") for part in parts]).alias(alias)
 
 
+def number_key(column: str) -> Column:
+    """64-bit hash key of a whole number: the same for every width that can hold it."""
+    value = F.col(column)
+    fits = value.between(-(1 << 31), (1 << 31) - 1)
+    return F.when(fits, F.xxhash64(value.cast("int"))).otherwise(F.xxhash64(value))
+
+
 def surrogate_key(*columns: str) -> Column:
     """64-bit hash key: of the value itself for one column, of the '-'-joined values for several."""
     if len(columns) == 1:

@@ -115,16 +115,19 @@ def load_incremental(
     source_system: str,
     run_time: Column | None = None,
     latest: int | None = None,
+    processed: int | None = None,
 ) -> Load | None:
     """Append the changes the target does not have yet; None when there are no new versions.
 
-    ``latest`` is the last version to read, by default the last one there is.
+    ``latest`` is the last version to read, by default the last one there is; ``processed`` the last one that
+    was read, by default the highest one that finished loads brought.
     """
     if latest is None:
         latest = log.latest_version()
     if latest is None:
         raise ValueError(f"{log.path} has no readable commits")
-    processed = last_processed_version(log.spark, target)
+    if processed is None:
+        processed = last_processed_version(log.spark, target)
     window = plan_window(log.spark, processed, enabled_version, latest)
     if window is None:
         return None
@@ -134,17 +137,87 @@ def load_incremental(
     return Load("incremental", *window, rows)
 
 
+def load_restart(
+    log: ChangeLog,
+    target: str,
+    before: int,
+    version: int,
+    source_system: str,
+    run_time: Column | None = None,
+) -> Load:
+    """Bring the target from the state after ``before`` to that after ``version``, where the feed was off between.
+
+    Rows that differ are added as updates, new ones as inserts and missing ones as deletes, all by the
+    commit ``version``; what happened in between is not known.
+    """
+    old, new = log.snapshot(before), log.snapshot(version)
+    keys = list(log.keys)
+    known = old.select(*keys, F.struct(*old.columns).alias("_old"))
+    now = new.select(*keys, F.struct(*new.columns).alias("_new"))
+    same = F.lit(True)
+    for key in keys:
+        same = same & known[key].eqNullSafe(now[key])
+    both = known.join(now, same, "full").select("_old", "_new")
+    shared = [name for name in new.columns if name in old.columns]
+    equal = F.lit(True)
+    for name in shared:
+        equal = equal & F.col(f"_old.`{name}`").eqNullSafe(F.col(f"_new.`{name}`"))
+    both = both.where(F.col("_old").isNull() | F.col("_new").isNull() | ~equal)
+    kind = (
+        F.when(F.col("_new").isNull(), N.DELETE)
+        .when(F.col("_old").isNull(), N.INSERT)
+        .otherwise(N.UPDATE_POSTIMAGE)
+    )
+    values = [
+        F.when(F.col("_new").isNull(), F.col(f"_old.`{name}`")).otherwise(F.col(f"_new.`{name}`")).alias(name)
+        if name in shared
+        else F.col(f"_new.`{name}`").alias(name)
+        for name in new.columns
+    ]
+    changes = both.select(
+        *values,
+        kind.alias(N.CHANGE_TYPE),
+        F.lit(version).cast("long").alias(N.COMMIT_VERSION),
+        F.lit(log.commit_timestamp(version)).cast("timestamp").alias(N.COMMIT_TIMESTAMP),
+    )
+    window = before + 1, version
+    rows = write_history(changes, target, source_system, run_time, "append", "restart", window, log.path)
+    return Load("restart", *window, rows)
+
+
 def ingest(
-    log: ChangeLog, target: str, source_system: str, run_time: Column | None = None
+    log: ChangeLog,
+    target: str,
+    source_system: str,
+    run_time: Column | None = None,
+    on_gap: str = "refuse",
 ) -> Load | None:
-    """One run of a feed: a first load where none has finished, else what is new."""
+    """One run of a feed: a first load where none has finished, else what is new.
+
+    Where the feed was off for some versions, a run goes up to the last one before. The next one raises an error, or
+    with ``on_gap`` "restart" compares the snapshots on both sides; the one after that goes on with the feed.
+    """
+    if on_gap not in ("refuse", "restart"):
+        raise ValueError("on_gap is refuse or restart")
     state = log.state()
     if not state["enabled"]:
         raise ValueError(f"the change feed of {log.path} is off")
-    first = state["first_enabled"]
-    if last_finished(log.spark, target) is not None:
-        load = load_incremental(log, target, first, source_system, run_time, state["latest"])
-    else:
+    first, latest = state["first_enabled"], state["latest"]
+    finished = last_finished(log.spark, target)
+    intervals = log.intervals() if finished is not None else []
+    if finished is None:
         load = load_initial(log, target, first, source_system, run_time)
+    elif len(intervals) < 2:
+        load = load_incremental(log, target, first, source_system, run_time, latest)
+    else:
+        done = max(finished.high_version or 0, finished.end_version or 0, first - 1)
+        start, end = next((start, end) for start, end in intervals if end is None or end > done)
+        if done + 1 >= start:
+            last = latest if end is None else min(end, latest)
+            load = load_incremental(log, target, first, source_system, run_time, last, done)
+        elif on_gap == "restart":
+            load = load_restart(log, target, done, start - 1, source_system, run_time)
+        else:
+            raise ValueError(f"the change feed of {log.path} was off for the versions {done + 1} to {start - 1}")
     logger.info("%s into %s: %s", log.path, target, load or "nothing new")
     return load

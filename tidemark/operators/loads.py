@@ -35,12 +35,14 @@ _LOG_SCHEMA = (
 class Finished:
     """The last finished load of a history, and what it says about all of them.
 
-    ``high_version`` is the highest commit version any row has; loads before ``first`` were replaced.
+    ``high_version`` is the highest commit version any row has, ``end_version`` the last one that was read; loads
+    before ``first`` were replaced.
     """
 
     load: int
     first: int
     high_version: int | None
+    end_version: int | None
     columns: StructType
 
 
@@ -55,7 +57,8 @@ def last_finished(spark: SparkSession, target: str) -> Finished | None:
         # A folder without a row belongs to a load that broke off while its row was written.
         if row is not None:
             _publish(spark, target, load)
-            return Finished(load, row["first_load"], row["high_version"], StructType.fromDDL(row["columns"]))
+            columns = StructType.fromDDL(row["columns"])
+            return Finished(load, row["first_load"], row["high_version"], row["end_version"], columns)
     return None
 
 

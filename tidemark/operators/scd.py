@@ -63,10 +63,14 @@ def scd1_events(
     sequence_by: str = N.RAW_COMMIT_TIMESTAMP,
     deletes: str = DELETES,
     tie_break: Sequence[str] = (),
+    least: Sequence[str] = (),
 ) -> DataFrame:
-    """The last event of each key, deletes included and flagged in ``_is_delete``."""
+    """The last event of each key, deletes included and flagged in ``_is_delete``.
+
+    The columns ``least`` keep the least value any event of the key had, such as the time of its creation.
+    """
     events, order = _ordered(changes, sequence_by, deletes, tie_break)
-    return last_events(events, keys, order).select(*changes.columns, IS_DELETE)
+    return last_events(events, keys, order, least).select(*changes.columns, IS_DELETE)
 
 
 def event_intervals(
@@ -208,11 +212,13 @@ def _business_hash(changes: DataFrame) -> Column:
     return F.xxhash64(*values) if values else F.lit(0)
 
 
-def last_events(events: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def last_events(
+    events: DataFrame, keys: Sequence[str], order: Sequence[str], least: Sequence[str] = ()
+) -> DataFrame:
     """The last event per key. Map tasks keep one row per key each before anything is shuffled."""
-    rest = [c for c in events.columns if c not in keys]
+    rest = [c for c in events.columns if c not in (*keys, *least)]
     last = F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")
-    return events.groupBy(*keys).agg(last).select(*keys, "_last.*")
+    return events.groupBy(*keys).agg(last, *[F.min(c).alias(c) for c in least]).select(*keys, "_last.*", *least)
 
 
 def _with_next(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark import names as N
 from tidemark.functions.calendar import calendar_columns, date_key
-from tidemark.functions.keys import surrogate_key
+from tidemark.functions.keys import number_key, surrogate_key
 from tidemark.operators.members import with_unknown_member
 
 MONEY = "decimal(15,2)"
@@ -21,7 +21,7 @@ MONEY = "decimal(15,2)"
 FIRST_DAY = "2000-01-01"
 LAST_DAY = "2030-12-31"
 FACT_SCHEMA = {
-    "order_key": "int",
+    "order_key": "bigint",
     "customer_surrogate_key": "bigint",
     "order_date_key": "int",
     "order_status": "string",
@@ -31,6 +31,8 @@ FACT_SCHEMA = {
     "total_price": MONEY,
     "order_comment": "string",
     "order_date": "date",
+    "created_at": "timestamp",
+    "updated_at": "timestamp",
 }
 LINE_TOTALS = {
     "total_quantity": "l_quantity",
@@ -89,7 +91,7 @@ def dim_supplier(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> D
         region, F.col("n_regionkey") == F.col("r_regionkey"), "left"
     )
     members = located.select(
-        surrogate_key("s_suppkey").alias("supplier_surrogate_key"),
+        number_key("s_suppkey").alias("supplier_surrogate_key"),
         F.col("s_suppkey").alias("supplier_key"),
         F.col("s_name").alias("supplier_name"),
         F.col("s_address").alias("supplier_address"),
@@ -106,7 +108,7 @@ def dim_supplier(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> D
 
 def dim_part(part: DataFrame) -> DataFrame:
     members = part.select(
-        surrogate_key("p_partkey").alias("part_surrogate_key"),
+        number_key("p_partkey").alias("part_surrogate_key"),
         F.col("p_partkey").alias("part_key"),
         F.col("p_name").alias("part_name"),
         F.col("p_mfgr").alias("part_manufacturer"),
@@ -148,7 +150,8 @@ def fact_order(orders: DataFrame, customers: DataFrame, *carried: str) -> DataFr
     """Orders with the surrogate key of their customer, -1 where there is none.
 
     ``customers`` is the customer dimension, one row per customer key. Works on batch and streaming
-    orders; an order without a date has no date key.
+    orders; an order without a date has no date key. An event creates and updates its order when it was committed; where
+    events are merged, the first creation stays.
     """
     lookup = customers.select(
         F.col("customer_key").alias("_customer_key"), "customer_surrogate_key"
@@ -165,6 +168,8 @@ def fact_order(orders: DataFrame, customers: DataFrame, *carried: str) -> DataFr
         "total_price": F.col("o_totalprice"),
         "order_comment": F.col("o_comment"),
         "order_date": F.col("o_orderdate"),
+        "created_at": F.col(N.RAW_COMMIT_TIMESTAMP),
+        "updated_at": F.col(N.RAW_COMMIT_TIMESTAMP),
     }
     typed = [columns[name].cast(kind).alias(name) for name, kind in FACT_SCHEMA.items()]
     return matched.select(*typed, *carried)

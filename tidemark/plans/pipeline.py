@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import logging
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -24,10 +25,13 @@ from tidemark.sources.streams import stream_table
 from tidemark.streaming import history
 from tidemark.streaming.bronze import create_bronze_table
 from tidemark.streaming.ledger import append_changes
-from tidemark.streaming.triggered import finish
+from tidemark.streaming.triggered import batch_log, finish
+
+logger = logging.getLogger(__name__)
 
 CONCURRENT_FEEDS = 3
 DAY = "order_date_key"
+ORDER = ["order_key"]
 _CHANGED = "_changed_day"
 _TIE = "_order_tie"
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
@@ -57,6 +61,9 @@ class Layout:
     def bronze(self, name: str) -> str:
         return f"{self.schema()}.{BRONZE_PREFIX}{name.removeprefix(SOURCE_PREFIX)}"
 
+    def stream_log(self, layer: str) -> str:
+        return f"{self.root}/logs/{layer}"
+
     def checkpoint(self, layer: str, name: str) -> str:
         return f"{self.root}/checkpoints/{layer}/{name}"
 
@@ -79,14 +86,52 @@ def ingest_all(
     run_time: Column | None = None,
     limit: int = CONCURRENT_FEEDS,
 ) -> dict[str, Load | None]:
-    """Run every feed once, ``limit`` at a time."""
+    """Run every feed once, ``limit`` at a time; where some fail, ``FeedsFailed`` after all others have run."""
+    loads, errors = ingest_each(spark, feeds, run_time, limit)
+    if errors:
+        raise FeedsFailed(loads, errors)
+    return loads
+
+
+def ingest_each(
+    spark: SparkSession,
+    feeds: Sequence[Feed],
+    run_time: Column | None = None,
+    limit: int = CONCURRENT_FEEDS,
+) -> tuple[dict[str, Load | None], dict[str, Exception]]:
+    """Run every feed once and return the loads, and the errors of the feeds that failed, by table.
 
-    def run(feed: Feed) -> Load | None:
-        log = ChangeLog(spark, feed.source_path, keys_of(feed.table))
-        return ingest(log, feed.target_path, feed.source_system, run_time)
+    The jobs of a feed go to a scheduler pool of its own, so that with ``spark.scheduler.mode`` FAIR a large feed
+    does not hold up the small ones. A failed load leaves no trace in its history, and none in the others'.
+    """
 
-    loads = in_parallel(spark, [lambda feed=feed: run(feed) for feed in feeds], limit)
-    return {feed.table: load for feed, load in zip(feeds, loads)}
+    def run(feed: Feed) -> Load | Exception | None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", feed.table)
+        try:
+            log = ChangeLog(spark, feed.source_path, keys_of(feed.table))
+            return ingest(log, feed.target_path, feed.source_system, run_time)
+        except Exception as error:  # reported by table, whatever it is
+            logger.exception("feed %s failed", feed.table)
+            return error
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    done = in_parallel(spark, [lambda feed=feed: run(feed) for feed in feeds], limit)
+    outcomes = {feed.table: outcome for feed, outcome in zip(feeds, done)}
+    errors = {table: outcome for table, outcome in outcomes.items() if isinstance(outcome, Exception)}
+    return {table: outcome for table, outcome in outcomes.items() if table not in errors}, errors
+
+
+class FeedsFailed(ExceptionGroup):
+    """Some feeds failed; ``loads`` holds what the others brought, ``errors`` what went wrong, both by table."""
+
+    def __new__(cls, loads: dict[str, Load | None], errors: dict[str, Exception]):
+        self = super().__new__(cls, f"feeds failed: {', '.join(sorted(errors))}", list(errors.values()))
+        self.loads, self.errors = loads, errors
+        return self
+
+    def __init__(self, loads: dict[str, Load | None], errors: dict[str, Exception]):
+        super().__init__(self.message, self.exceptions)
 
 
 def refresh_bronze(
@@ -94,14 +139,19 @@ def refresh_bronze(
 ) -> None:
     """Copy new raw history of every feed to its bronze table, which takes up columns that are new.
 
-    The tables are entered into the catalog of this session under their names.
+    What every micro-batch brought is kept in the layer's log. The tables are entered into the catalog of this session under their names.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layout.schema()} LOCATION '{layout.table('catalog', 'bronze')}'")
 
     def run(feed: Feed) -> int:
         target = layout.table("bronze", feed.table)
         checkpoint = layout.checkpoint("bronze", feed.table)
-        return finish(create_bronze_table(spark, layout.bronze(feed.table), feed.target_path, target, checkpoint))
+        query = create_bronze_table(spark, layout.bronze(feed.table), feed.target_path, target, checkpoint)
+        rows = finish(query)
+        # One folder per stream: streams that end at the same time do not write to the same one.
+        log = batch_log(spark, query, feed.table).drop("stream").coalesce(1)
+        log.write.mode("append").parquet(f"{layout.stream_log('bronze')}/stream={feed.table}")
+        return rows
 
     in_parallel(spark, [lambda feed=feed: run(feed) for feed in feeds], limit)
 
@@ -182,42 +232,61 @@ def refresh_fact_order(
     tied = orders.withColumn(_TIE, tie_of(orders))
     facts = gold.fact_order(tied, customers, *RAW_COLUMNS, _TIE)
     events, state = layout.table("ledger", "fact_order"), layout.table("state", "fact_order")
-    history.create_scd1(spark, state, facts.schema, ["order_key"])
+    history.create_scd1(spark, state, facts.schema, ORDER)
     make_folder(spark, layout.table("gold", "fact_order"))
     finish(append_changes(facts, events, layout.checkpoint("gold", "fact_order")))
-    history.refresh_scd1(spark, events, state, ["order_key"], tie_break=[_TIE])
+    history.refresh_scd1(spark, events, state, ORDER, tie_break=[_TIE], least=["created_at"])
     publish_fact(spark, state, layout.table("gold", "fact_order"))
 
 
 def publish_fact(spark: SparkSession, state: str, path: str) -> None:
-    """Bring the published fact in line with its state, rewriting only the days that changed.
+    """Bring the published fact in line with its state, reading and rewriting only the days that changed.
 
-    These are all days the first time and after a refresh that was never published. Days that have no orders
-    any more lose their folder. ``<state>/published`` notes the last refresh that is out.
+    A changed day is what is published of it, without the orders the last refresh touched, and these orders as they are
+    now. After a publication that broke off, which may have lost a day, the days come from the state instead. All days are
+    written anew the first time and after a refresh that was never published. Days that have no orders any more lose
+    their folder. ``<state>/publishing`` notes what has begun, ``<state>/published`` the last refresh that is out.
     """
-    log = f"{state}/published"
+    log, begun = f"{state}/published", f"{state}/publishing"
     now, published = history.refresh_count(spark, state), 0
     if path_exists(spark, log):
         published = spark.read.schema("refresh long").parquet(log).agg(F.max("refresh")).first()[0]
     if now == published:
         return
-    facts = history.read_scd1(spark, state)
     if published and published == now - 1:
-        days = history.changed_rows(spark, state, ["order_key"]).select(DAY)
+        days = history.changed_rows(spark, state, ORDER).select(DAY)
     else:
-        days = facts.select(DAY)
+        days = history.read_scd1(spark, state).select(DAY)
         if path_exists(spark, path):
-            days = days.union(spark.read.schema(f"order_key long, {DAY} int").parquet(path).select(DAY))
+            days = days.union(read_fact(spark, path).select(DAY))
     days.distinct().write.mode("overwrite").parquet(f"{state}/days")
-    changed = spark.read.parquet(f"{state}/days").withColumnRenamed(DAY, _CHANGED)
-    same = F.col(DAY).eqNullSafe(F.col(_CHANGED))
-    write_fact(facts.join(changed, same, "left_semi"), path)
-    emptied = changed.join(facts.select(DAY).distinct(), same, "left_anti")
-    for row in emptied.toLocalIterator():
-        day = row[_CHANGED]
+    changed = spark.read.schema(f"{DAY} int").parquet(f"{state}/days")
+    if published and published == now - 1 and not path_exists(spark, f"{begun}/{now}"):
+        facts = changed_days(spark, state, path, [row[DAY] for row in changed.collect()])
+    else:
+        same = F.col(DAY).eqNullSafe(F.col(_CHANGED))
+        facts = history.read_scd1(spark, state).join(changed.withColumnRenamed(DAY, _CHANGED), same, "left_semi")
+    left = facts.select(F.col(DAY).alias(_CHANGED)).distinct()
+    emptied = changed.join(left, F.col(DAY).eqNullSafe(F.col(_CHANGED)), "left_anti").collect()
+    make_folder(spark, f"{begun}/{now}")
+    write_fact(facts, path)
+    for row in emptied:
+        day = row[DAY]
         delete_folder(spark, f"{path}/{DAY}={NO_DAY if day is None else day}")
     done = spark.range(0, 1, 1, 1).select(F.lit(now).cast("long").alias("refresh"))
     done.write.mode("append").parquet(log)
+    delete_folder(spark, begun)
+
+
+def changed_days(spark: SparkSession, state: str, path: str, days: list[int | None]) -> DataFrame:
+    """These days as they have to be; of the published fact only their folders are read."""
+    chosen = F.col(DAY).isin([day for day in days if day is not None])
+    if None in days:
+        chosen = chosen | F.col(DAY).isNull()
+    touched = history.touched_keys(spark, state, ORDER)
+    kept = read_fact(spark, path).where(chosen).join(touched, ORDER, "left_anti")
+    typed = [F.col(name).cast(kind).alias(name) for name, kind in gold.FACT_SCHEMA.items()]
+    return kept.unionByName(history.touched_rows(spark, state, ORDER).select(*typed))
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
@@ -229,12 +298,12 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
 def write_fact(facts: DataFrame, path: str) -> None:
     """Write the declared columns, one directory per order day; days without rows here stay as they are.
 
-    Ranges of (day, order) give every task neighbouring days and split a day that holds many orders.
+    Adaptive execution gives every task whole days of bounded size and splits a day that holds many orders.
     """
     typed = [F.col(name).cast(kind).alias(name) for name, kind in gold.FACT_SCHEMA.items()]
     (
         facts.select(*typed)
-        .repartitionByRange(DAY, "order_key")
+        .hint("rebalance", DAY)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)

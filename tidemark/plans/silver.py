@@ -33,7 +33,7 @@ ENTITIES = {
         Entity(
             "customer", "MRI", "h_customer", ("c_custkey",),
             {
-                "c_custkey": "int", "c_name": None, "c_address": None, "c_nationkey": "int",
+                "c_custkey": "bigint", "c_name": None, "c_address": None, "c_nationkey": "int",
                 "c_phone": "string", "c_acctbal": "double", "c_mktsegment": "string", "c_comment": None,
             },
         ),
@@ -49,7 +49,7 @@ ENTITIES = {
         Entity(
             "part", "MRI", "h_part", ("p_partkey",),
             {
-                "p_partkey": "int", "p_name": None, "p_mfgr": "string", "p_brand": "string",
+                "p_partkey": "bigint", "p_name": None, "p_mfgr": "string", "p_brand": "string",
                 "p_type": None, "p_size": "int", "p_container": "string",
                 "p_retailprice": "decimal(15,2)", "p_comment": None,
             },
@@ -57,7 +57,7 @@ ENTITIES = {
         Entity(
             "order", "OAH", "h_order", ("o_orderkey",),
             {
-                "o_orderkey": "int", "o_custkey": "int", "o_orderstatus": "string",
+                "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
                 "o_totalprice": "double", "o_orderdate": "date", "o_orderpriority": "string",
                 "o_clerk": "string", "o_shippriority": "int", "o_comment": None,
             },
@@ -67,20 +67,20 @@ ENTITIES = {
         Entity(
             "supplier", "OAH", "h_supplier", ("s_suppkey",),
             {
-                "s_suppkey": "int", "s_name": "string", "s_address": None, "s_nationkey": "int",
+                "s_suppkey": "bigint", "s_name": "string", "s_address": None, "s_nationkey": "int",
                 "s_phone": "string", "s_acctbal": "double", "s_comment": None,
             },
         ),
         Entity(
             "partsupp", "OAH", "h_partsupp", ("ps_partkey", "ps_suppkey"),
             {
-                "ps_partkey": "int", "ps_suppkey": "int", "ps_availqty": "int",
+                "ps_partkey": "bigint", "ps_suppkey": "bigint", "ps_availqty": "int",
                 "ps_supplycost": "double", "ps_comment": None,
             },
         ),
         Entity(
             "customer_narrow", "MRI", "h_customer", ("c_custkey",),
-            {"c_custkey": "int", "c_name": None},
+            {"c_custkey": "bigint", "c_name": None},
         ),
     )
 }

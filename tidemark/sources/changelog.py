@@ -13,18 +13,19 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark import names as N
 from tidemark.operators.scd import scd1_latest
 from tidemark.sources.columns import merged_columns
-from tidemark.sources.storage import partition_values, path_exists, table_exists
+from tidemark.sources.storage import delete_folder, move_folder, partition_values, path_exists, table_exists
 
 logger = logging.getLogger(__name__)
 
 FEED_COLUMNS = (N.CHANGE_TYPE, N.COMMIT_VERSION, N.COMMIT_TIMESTAMP)
+CHECKPOINT = "_version"
 _POSITION = "_position"
 _COLUMNS_SCHEMA = "number int, columns string"
 SNAPSHOT_DELETES = f"{N.CHANGE_TYPE} = '{N.DELETE}'"
@@ -39,12 +40,19 @@ def snapshot_at(
     log: DataFrame, keys: Sequence[str], version: int, tie_break: Sequence[str] = ()
 ) -> DataFrame:
     """Table rows as they stood after ``version``, without the feed columns."""
+    return snapshot_rows(log, keys, version, tie_break).drop(*FEED_COLUMNS)
+
+
+def snapshot_rows(
+    log: DataFrame, keys: Sequence[str], version: int, tie_break: Sequence[str] = ()
+) -> DataFrame:
+    """Table rows as they stood after ``version``, each with the feed columns of the change that left it so."""
     position = F.struct(N.COMMIT_VERSION, N.COMMIT_TIMESTAMP)
     seen = log.where(
         (F.col(N.COMMIT_VERSION) <= version) & (F.col(N.CHANGE_TYPE) != N.UPDATE_PREIMAGE)
     ).withColumn(_POSITION, position)
     last = scd1_latest(seen, keys, _POSITION, SNAPSHOT_DELETES, tie_break)
-    return last.drop(*FEED_COLUMNS, _POSITION)
+    return last.drop(_POSITION)
 
 
 def feed_settings(history: DataFrame) -> DataFrame:
@@ -67,6 +75,19 @@ def feed_start(history: DataFrame) -> DataFrame:
     return feed_settings(history).where("enabled").orderBy("version").select("version", "timestamp").limit(1)
 
 
+def feed_intervals(history: DataFrame) -> DataFrame:
+    """Versions between which the feed was on, both included; ``end_version`` is NULL while it still is.
+
+    Switches that change nothing are passed over. A history has few switches, whatever the number of its commits.
+    """
+    in_order = Window.orderBy("version")
+    switches = feed_settings(history).groupBy("version").agg(F.max("enabled").alias("enabled"))
+    before = F.coalesce(F.lag("enabled").over(in_order), F.lit(False))
+    turns = switches.withColumn("_before", before).where(F.col("enabled") != F.col("_before"))
+    bounds = turns.withColumn("end_version", F.lead("version").over(in_order) - 1)
+    return bounds.where("enabled").select(F.col("version").alias("start_version"), "end_version")
+
+
 def last_version(history: DataFrame) -> DataFrame:
     return history.agg(F.max("version").alias("version"))
 
@@ -119,7 +140,10 @@ class ChangeLog:
         return self._read([self.changes_path])
 
     def changes(self, start: int, end: int) -> DataFrame:
-        """Changes of the versions ``start`` to ``end``; the folders of others are not even listed."""
+        """Changes of the versions ``start`` to ``end``; the folders of others are not even listed.
+
+        Changes are kept whether or not the feed was on; ``operators.ingest`` asks for none of the time it was off.
+        """
         versions = partition_values(self.spark, self.changes_path, N.COMMIT_VERSION)
         folders = [f"{self.changes_path}/{N.COMMIT_VERSION}={v}" for v in versions if start <= v <= end]
         return changes_between(self._read(folders), start, end)
@@ -140,7 +164,58 @@ class ChangeLog:
         return log.withColumn(N.COMMIT_VERSION, F.col(N.COMMIT_VERSION).cast("long"))
 
     def snapshot(self, version: int) -> DataFrame:
-        return snapshot_at(self.feed(), self.keys, version, self.tie_break)
+        """The table after ``version``: the nearest checkpoint before it and the changes since."""
+        return snapshot_at(self._since_checkpoint(version), self.keys, version, self.tie_break)
+
+    def _since_checkpoint(self, version: int) -> DataFrame:
+        """Rows that decide what the table held after ``version``; folders of other versions are not even listed."""
+        known = [number for number in self.checkpoints() if number <= version]
+        if not known:
+            return self.changes(0, version)
+        place = self._checkpoint(known[-1])
+        rows = self.spark.read.schema(self._checkpoint_columns(known[-1])).parquet(place)
+        return rows.unionByName(self.changes(known[-1] + 1, version), allowMissingColumns=True)
+
+    def checkpoints(self) -> list[int]:
+        """Versions whose state is kept."""
+        return partition_values(self.spark, self._checkpoint_log, CHECKPOINT)
+
+    def write_checkpoint(self, version: int) -> None:
+        """Keep the state after ``version``, so that later snapshots need not read what led to it.
+
+        The row that says so is written last; a checkpoint that broke off is not used, and written again.
+        """
+        rows = snapshot_rows(self._since_checkpoint(version), self.keys, version, self.tie_break)
+        rows.write.mode("overwrite").parquet(self._checkpoint(version))
+        note = self.spark.createDataFrame([(rows.schema.toDDL(),)], "columns string").coalesce(1)
+        staged = f"{self.path.rstrip('/')}/checkpoint_staging/{version}"
+        note.write.mode("overwrite").parquet(staged)
+        delete_folder(self.spark, f"{self._checkpoint_log}/{CHECKPOINT}={version}")
+        move_folder(self.spark, staged, f"{self._checkpoint_log}/{CHECKPOINT}={version}")
+
+    def keep_up(self, every: int) -> int | None:
+        """Write a checkpoint of the last version if the one before is ``every`` versions old; returns its version."""
+        latest, known = self.latest_version(), self.checkpoints()
+        if latest is None or latest - (known[-1] if known else -1) < every:
+            return None
+        self.write_checkpoint(latest)
+        return latest
+
+    @property
+    def _checkpoint_log(self) -> str:
+        return f"{self.path.rstrip('/')}/checkpoint_log"
+
+    def _checkpoint(self, version: int) -> str:
+        return f"{self.path.rstrip('/')}/checkpoints/{CHECKPOINT}={version}"
+
+    def _checkpoint_columns(self, version: int) -> StructType:
+        note = self.spark.read.schema("columns string").parquet(f"{self._checkpoint_log}/{CHECKPOINT}={version}")
+        return StructType.fromDDL(note.first()["columns"])
+
+    def intervals(self) -> list[tuple[int, int | None]]:
+        """First and last versions of the times the feed was on, in order."""
+        rows = feed_intervals(self.history()).orderBy("start_version").collect()
+        return [(row["start_version"], row["end_version"]) for row in rows]
 
     def state(self) -> Row:
         """``latest``, ``enabled`` and ``first_enabled`` in one look at the history."""

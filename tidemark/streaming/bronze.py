@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tidemark import names as N
 from tidemark.functions.metadata import lineage_columns
 from tidemark.operators.loads import last_finished, stream_history
 from tidemark.sources.columns import merged_columns
 from tidemark.sources.storage import make_folder
 from tidemark.sources.streams import stream_path
-from tidemark.streaming.triggered import start
+from tidemark.streaming.triggered import measured, start
 
 # A table's place in the layers; all other properties are the caller's.
 BRONZE_PROPERTIES = {"quality": "bronze"}
@@ -69,6 +71,8 @@ def create_bronze_table(
         comment or f"Bronze: changes of {table} as they came in",
         {**BRONZE_PROPERTIES, **(properties or {})},
     )
+    if N.RAW_COMMIT_VERSION in rows.columns:
+        rows = measured(rows, F.col(N.RAW_COMMIT_VERSION))
     return write_bronze(rows, target, checkpoint, interval)
 
 

@@ -204,10 +204,11 @@ def refresh_scd1(
     deletes: str = DELETES,
     tie_break: Sequence[str] = (),
     buckets: int | None = None,
+    least: Sequence[str] = (),
 ) -> bool:
     """Apply what is new in the ledger to a type 1 table; False when nothing was.
 
-    ``buckets`` is the number that the first refresh deals the keys over, by default one for every half a
+    The columns ``least`` keep the least value any event of a key had. ``buckets`` is the number that the first refresh deals the keys over, by default one for every half a
     million keys.
     """
     table, new, newest = _pending(spark, ledger, root)
@@ -216,7 +217,7 @@ def refresh_scd1(
     table, touched, held = _write_touched(table, new, keys, sequence_by, buckets)
     moved, kept = _split(held, touched, keys)
     events = _together(new, moved).drop(IS_DELETE)
-    merged = _together(scd1_events(events, keys, sequence_by, deletes, tie_break), kept)
+    merged = _together(scd1_events(events, keys, sequence_by, deletes, tie_break, least), kept)
     table.write_latest(merged, keys)
     table.finish(newest, False, merged.schema)
     return True
@@ -331,11 +332,25 @@ def refresh_count(spark: SparkSession, root: str) -> int:
     return _Table.open(spark, root).refresh
 
 
+def touched_keys(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
+    """The keys that the last refresh touched."""
+    return spark.read.parquet(_Table.open(spark, root).touched_path).select(*keys)
+
+
+def touched_rows(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
+    """Rows of the keys that the last refresh touched, as they are now; reads no bucket it did not write."""
+    table = _Table.open(spark, root)
+    written = {bucket for bucket, done in table.versions().items() if done[-1] == table.refresh}
+    now = _joined(table.latest(written), touched_keys(spark, root, keys), keys, "left_semi")
+    return now.where(~F.col(IS_DELETE)).drop(IS_DELETE)
+
+
 def changed_rows(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
     """Last events of the keys the last refresh touched, as they were before it and as they are now."""
     table = _Table.open(spark, root)
     touched = spark.read.parquet(table.touched_path)
-    both = table.latest().unionByName(table.before_last_refresh())
+    written = {bucket for bucket, done in table.versions().items() if done[-1] == table.refresh}
+    both = table.latest(written).unionByName(table.before_last_refresh())
     return _joined(both, touched, keys, "left_semi")
 
 

@@ -152,6 +152,21 @@ def commit_history(feed: DataFrame, enabled_at: int = FEED_ENABLED_AT) -> DataFr
     )
 
 
+# When the feed of users is switched, on, off and on again; the last but one by unsetting the property.
+SWITCHES = ((5, True), (10, False), (15, True))
+
+
+def switched_history(feed: DataFrame) -> DataFrame:
+    """Commit history of a feed that is off for some versions."""
+    properties = F.lit(None).cast("string")
+    for version, on in SWITCHES:
+        text = '{"%s":"true"}' if on else '["%s"]'
+        properties = F.when(F.col("version") == version, F.lit(text % N.FEED_PROPERTY)).otherwise(properties)
+    return commit_history(feed).withColumn("properties", properties).withColumn(
+        "operation", F.when(F.col("properties").isNull(), "WRITE").otherwise("SET TBLPROPERTIES")
+    )
+
+
 # --- change logs of the business tables -----------------------------------------------------------
 
 

@@ -60,6 +60,31 @@ FROM ({snapshot(I.FEED_ENABLED_AT - 1)})"""
 
 RAW_INCREMENT = f"SELECT * FROM ({RAW_ALL}) WHERE _raw_commit_version >= {I.FEED_ENABLED_AT}"
 
+_FIRST_ON, _OFF, _ON_AGAIN = (version for version, _ in I.SWITCHES)
+FEED_STATE = f"""
+SELECT start_version, end_version, (SELECT count(*) FROM ({HISTORY})
+            WHERE version BETWEEN start_version AND coalesce(end_version, version)) AS commits,
+       (SELECT max(version) FROM ({HISTORY})) AS latest, true AS enabled, CAST({_FIRST_ON} AS BIGINT) AS first_enabled
+FROM (VALUES (CAST({_FIRST_ON} AS BIGINT), CAST({_OFF - 1} AS BIGINT)), ({_ON_AGAIN}, NULL)) AS t(start_version, end_version)"""
+
+# What two snapshots of users differ in, as changes of the later one's commit.
+RESTART = f"""
+SELECT {RUN_COLUMNS}, coalesce(b.user_id, a.user_id) AS user_id,
+       CASE WHEN b.user_id IS NULL THEN a.event_id ELSE b.event_id END AS event_id,
+       CASE WHEN b.user_id IS NULL THEN a.value ELSE b.value END AS value,
+       CASE WHEN b.user_id IS NULL THEN 'delete' WHEN a.user_id IS NULL THEN 'insert' ELSE 'update' END
+         AS _raw_change_type,
+       CAST({_ON_AGAIN - 1} AS BIGINT) AS _raw_commit_version,
+       (SELECT "timestamp" FROM ({HISTORY}) WHERE version = {_ON_AGAIN - 1}) AS _raw_commit_timestamp
+FROM ({snapshot(_OFF - 1)}) a FULL JOIN ({snapshot(_ON_AGAIN - 1)}) b ON a.user_id = b.user_id
+WHERE a.user_id IS NULL OR b.user_id IS NULL OR a.event_id IS DISTINCT FROM b.event_id
+   OR a.value IS DISTINCT FROM b.value"""
+INGEST_ACROSS_GAP = f"""
+SELECT * FROM ({RAW_INITIAL})
+UNION ALL BY NAME SELECT * FROM ({RAW_INCREMENT})
+WHERE _raw_commit_version NOT BETWEEN {_OFF} AND {_ON_AGAIN - 1}
+UNION ALL BY NAME SELECT * FROM ({RESTART})"""
+
 LOAD_LOG = f"""
 SELECT CAST(0 AS BIGINT) AS load, true AS of_this_feed, 'MRI' AS source_system, 'initial' AS kind,
        CAST({I.FEED_ENABLED_AT - 1} AS BIGINT) AS start_version, CAST({I.FEED_ENABLED_AT - 1} AS BIGINT) AS end_version,
@@ -170,7 +195,7 @@ FROM lineitem GROUP BY l_partkey, l_suppkey"""
 
 SILVER = {
     "customer": f"""
-SELECT c_custkey || '|MRI' AS business_key, CAST(c_custkey AS INTEGER) AS c_custkey, c_name,
+SELECT c_custkey || '|MRI' AS business_key, CAST(c_custkey AS BIGINT) AS c_custkey, c_name,
        'x-' || c_custkey AS c_address, c_nationkey, 'x-' || c_custkey AS c_phone, c_acctbal, c_mktsegment,
        'x-' || c_custkey AS c_comment, {META}
 FROM customer""",
@@ -182,28 +207,28 @@ FROM nation""",
 SELECT r_regionkey || '|MRI' AS business_key, r_regionkey, r_name, 'x-' || r_regionkey AS r_comment, {META}
 FROM region""",
     "part": f"""
-SELECT p_partkey || '|MRI' AS business_key, CAST(p_partkey AS INTEGER) AS p_partkey, p_name,
+SELECT p_partkey || '|MRI' AS business_key, CAST(p_partkey AS BIGINT) AS p_partkey, p_name,
        'x-' || p_partkey AS p_mfgr, p_brand, p_type, p_size, 'x-' || p_partkey AS p_container,
        CAST(p_retailprice AS DECIMAL(15,2)) AS p_retailprice, 'x-' || p_partkey AS p_comment, {META}
 FROM part""",
     "order": f"""
-SELECT o_orderkey || '|OAH' AS business_key, CAST(o_orderkey AS INTEGER) AS o_orderkey,
-       CAST(o_custkey AS INTEGER) AS o_custkey, substr(o_orderstatus, 1, 1) AS o_orderstatus, o_totalprice,
+SELECT o_orderkey || '|OAH' AS business_key, CAST(o_orderkey AS BIGINT) AS o_orderkey,
+       CAST(o_custkey AS BIGINT) AS o_custkey, substr(o_orderstatus, 1, 1) AS o_orderstatus, o_totalprice,
        CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority, 'x-' || o_orderkey AS o_clerk,
        CAST(0 AS INTEGER) AS o_shippriority, 'x-' || o_orderkey AS o_comment, {META}
 FROM orders""",
     "supplier": f"""
-SELECT s_suppkey || '|OAH' AS business_key, CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name,
+SELECT s_suppkey || '|OAH' AS business_key, CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name,
        'x-' || s_suppkey AS s_address, s_nationkey, 'x-' || s_suppkey AS s_phone, s_acctbal,
        'x-' || s_suppkey AS s_comment, {META}
 FROM supplier""",
     "partsupp": f"""
-SELECT ps_partkey || '|' || ps_suppkey || '|OAH' AS business_key, CAST(ps_partkey AS INTEGER) AS ps_partkey,
-       CAST(ps_suppkey AS INTEGER) AS ps_suppkey, ps_availqty, ps_supplycost,
+SELECT ps_partkey || '|' || ps_suppkey || '|OAH' AS business_key, CAST(ps_partkey AS BIGINT) AS ps_partkey,
+       CAST(ps_suppkey AS BIGINT) AS ps_suppkey, ps_availqty, ps_supplycost,
        'x-' || ps_partkey AS ps_comment, {META}
 FROM ({PARTSUPP})""",
     "customer_narrow": f"""
-SELECT c_custkey || '|MRI' AS business_key, CAST(c_custkey AS INTEGER) AS c_custkey, c_name, {META}
+SELECT c_custkey || '|MRI' AS business_key, CAST(c_custkey AS BIGINT) AS c_custkey, c_name, {META}
 FROM customer""",
 }
 
@@ -331,7 +356,7 @@ SELECT o_orderkey AS order_key, coalesce(customer_surrogate_key, -1) AS customer
        CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS order_date_key, o_orderstatus AS order_status,
        o_orderpriority AS order_priority, o_clerk AS clerk_name, o_shippriority AS ship_priority,
        CAST(o_totalprice AS DECIMAL(15,2)) AS total_price, o_comment AS order_comment,
-       o_orderdate AS order_date
+       o_orderdate AS order_date, _raw_commit_timestamp AS created_at, _raw_commit_timestamp AS updated_at
 FROM ({orders}) o LEFT JOIN ({dimension}) c ON o.o_custkey = c.customer_key"""
 
 
@@ -393,6 +418,15 @@ INGEST_ALL_FEEDS = union_all(
 )
 
 
+INGEST_WITH_BAD_FEED = union_all(
+    [
+        f"SELECT '{table}' AS table_name, {str(table == Q.BAD_FEED).lower()} AS failed, "
+        f"{0 if table == Q.BAD_FEED else 'n'} AS row_count FROM ({count})"
+        for table, count in SOURCE_COUNTS.items()
+    ]
+)
+
+
 def _layer(layer: str, name: str, rows: str, table: str) -> str:
     return (
         f"SELECT '{layer}' AS layer, '{name}' AS table_name, {rows} AS row_count FROM ({SOURCE_COUNTS[table]})"
@@ -432,6 +466,20 @@ PIPELINE_EMPTY = union_all(
     ]
 )
 
+FIRST, TOUCHED = "TIMESTAMP '2024-01-01'", "TIMESTAMP '2024-01-03'"
+PIPELINE_FACT = f"SELECT * REPLACE ({FIRST} AS created_at, {TOUCHED} AS updated_at) FROM ({FACT_ORDER})"
+PIPELINE_CUSTOMERS = f"""
+SELECT c.* REPLACE (kind AS _raw_change_type, began AS _raw_commit_timestamp, version AS _raw_commit_version),
+       began AS "__START_AT", ended AS "__END_AT"
+FROM ({SILVER['customer']}) c, (VALUES ('insert', CAST(0 AS BIGINT), {FIRST}, {TOUCHED}), ('update', 2, {TOUCHED}, NULL))
+     AS v(kind, version, began, ended)"""
+STREAM_LOG = union_all(
+    [
+        f"SELECT '{table}' AS stream, 2 * n AS row_count, CAST(2 AS BIGINT) AS high_version FROM ({count})"
+        for table, count in SOURCE_COUNTS.items()
+    ]
+)
+
 BUSINESS_KEYS = """
 SELECT l_orderkey, l_linenumber, concat_ws('|', l_partkey, l_suppkey, 'OAH') AS business_key,
        concat_ws('-', l_orderkey, l_linenumber) AS line_key,
@@ -448,6 +496,7 @@ ORACLE: dict[str, str] = {
     f"WHERE _commit_version BETWEEN {Q.WINDOW_START} AND {Q.WINDOW_END}",
     "cdf_normalized": normalized(FEED_WITH_PREIMAGES),
     "snapshot_as_of": snapshot(Q.SNAPSHOT_VERSION),
+    "snapshot_from_checkpoint": snapshot(Q.SNAPSHOT_VERSION),
     "snapshot_tagged": SNAPSHOT_TAGGED,
     "run_metadata": RAW_ALL,
     "business_keys": BUSINESS_KEYS,
@@ -465,8 +514,11 @@ ORACLE: dict[str, str] = {
     "incremental_load": RAW_INCREMENT,
     "ingest_two_runs": f"SELECT * FROM ({RAW_INITIAL}) UNION ALL BY NAME SELECT * FROM ({RAW_INCREMENT})",
     "ingest_after_broken_load": f"SELECT * FROM ({RAW_INITIAL}) UNION ALL BY NAME SELECT * FROM ({RAW_INCREMENT})",
+    "ingest_across_gap": INGEST_ACROSS_GAP,
     "load_log": LOAD_LOG,
+    "feed_state": FEED_STATE,
     "ingest_all_feeds": INGEST_ALL_FEEDS,
+    "ingest_with_bad_feed": INGEST_WITH_BAD_FEED,
     "feed_configs": FEED_CONFIGS,
     "bronze_stream": RAW_ALL,
     "bronze_evolved": RAW_EVOLVED,
@@ -499,5 +551,8 @@ ORACLE: dict[str, str] = {
     "fact_order_lines": FACT_ORDER_LINES,
     "fact_order_stream": FACT_ORDER,
     "pipeline_end_to_end": PIPELINE,
+    "pipeline_fact_order": PIPELINE_FACT,
+    "pipeline_customer_versions": PIPELINE_CUSTOMERS,
+    "stream_log": STREAM_LOG,
     "pipeline_empty_source": PIPELINE_EMPTY,
 }

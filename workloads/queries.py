@@ -30,6 +30,7 @@ SNAPSHOT_VERSION = 14
 MICRO_BATCHES = 4
 # Low enough that the skewed feed has hot keys in the smallest tables too.
 HOT_USER_ROWS = 100
+BAD_FEED = "h_part"
 SECOND_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 # The two configured source systems and their tables.
@@ -93,6 +94,16 @@ def snapshot_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changelog.snapshot_at(feed, I.USER_KEYS, SNAPSHOT_VERSION, ("event_id",))
 
 
+def snapshot_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same snapshot from a checkpoint of an earlier version and the changes after it."""
+    path, feed = work_folder(spark, "checkpointed-log"), I.user_feed_with_preimages(spark, sf_dir)
+    changelog.write_commits(feed, I.commit_history(I.user_feed(spark, sf_dir)), path)
+    log = changelog.ChangeLog(spark, path, I.USER_KEYS, ("event_id",))
+    for version in (2, I.FEED_ENABLED_AT + 3, SNAPSHOT_VERSION + 4):
+        log.write_checkpoint(version)
+    return log.snapshot(SNAPSHOT_VERSION)
+
+
 def snapshot_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     snapshot = changelog.snapshot_at(
         I.user_feed(spark, sf_dir), I.USER_KEYS, SNAPSHOT_VERSION, ("event_id",)
@@ -132,6 +143,16 @@ def feed_start_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changelog.feed_start(I.commit_history(I.user_feed(spark, sf_dir)))
 
 
+def feed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The times a feed was on, with the commits of each, and what the feed is now."""
+    history = I.switched_history(I.user_feed(spark, sf_dir))
+    intervals = changelog.feed_intervals(history)
+    inside = F.col("version").between(F.col("start_version"), F.coalesce("end_version", F.lit((1 << 63) - 1)))
+    counted = history.select("version").join(F.broadcast(intervals), inside).groupBy("start_version", "end_version")
+    now = F.broadcast(changelog.feed_state(history))
+    return counted.agg(F.count(F.lit(1)).alias("commits")).join(now, F.col("start_version") <= F.col("latest"))
+
+
 def high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = changelog.changes_between(I.user_feed(spark, sf_dir), 0, SNAPSHOT_VERSION)
     return ingest.high_water_mark(normalize.normalize_changes(loaded))
@@ -216,6 +237,17 @@ def ingest_after_broken_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loads.read_history(spark, target)
 
 
+def ingest_across_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed that was off for some versions: first load, its first time, what changed meanwhile, its second time."""
+    source, target = work_folder(spark, "gap-log"), work_folder(spark, "gap")
+    feed = I.user_feed_with_preimages(spark, sf_dir)
+    changelog.write_commits(feed, I.switched_history(I.user_feed(spark, sf_dir)), source)
+    log = changelog.ChangeLog(spark, source, I.USER_KEYS, ("event_id",))
+    while ingest.ingest(log, target, "MRI", I.moment(I.RUN_TIME), on_gap="restart") is not None:
+        pass
+    return loads.read_history(spark, target)
+
+
 def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the log says about a first load and a change window."""
     log, target = user_log(spark, sf_dir), work_folder(spark, "load-log")
@@ -263,6 +295,22 @@ def ingest_all_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def ingest_with_bad_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every feed, one of which has no source: what failed, and the rows the others have."""
+    root = work_folder(spark, "bad-feed")
+    found = configured_feeds(f"{root}/sources", f"{root}/raw")
+    write_business_logs(spark, sf_dir, [feed for feed in found if feed.table != BAD_FEED])
+    _, errors = pipeline.ingest_each(spark, found, I.moment(I.RUN_TIME))
+    nothing = spark.range(0)
+    counts = [
+        (nothing if loads.last_finished(spark, feed.target_path) is None else loads.read_history(spark, feed.target_path))
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(feed.table).alias("table_name"), F.lit(feed.table in errors).alias("failed"), "row_count")
+        for feed in found
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def feed_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every configured feed with the rows its source holds."""
     found = configured_feeds("/lake/sources", "/lake/raw")
@@ -516,18 +564,44 @@ def fact_order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean(stream_path(spark, bronze_path), ENTITIES["order"]).createOrReplaceTempView("slv_order_stream")
     orders = spark.sql("SELECT * FROM slv_order_stream")
     pipeline.refresh_fact_order(spark, orders, dim_customer(spark, sf_dir), layout)
-    return spark.read.parquet(layout.table("gold", "fact_order"))
+    return pipeline.read_fact(spark, layout.table("gold", "fact_order"))
+
+
+def finished_pipeline(spark: SparkSession, sf_dir: str) -> tuple[pipeline.Layout, list[feeds.Feed]]:
+    """All layers after a first load and one change window of every feed; run once per application."""
+    place = (spark.sparkContext.applicationId, f"pipeline of {sf_dir}")
+    root = _STORED.get(place) or work_folder(spark, "pipeline")
+    found, layout = configured_feeds(f"{root}/sources", f"{root}/raw"), pipeline.Layout(root)
+    if place not in _STORED:
+        write_business_logs(spark, sf_dir, found)
+        pipeline.ingest_all(spark, found, I.moment(I.RUN_TIME))
+        pipeline.run_pipeline(spark, found, layout, I.moment(I.RUN_TIME))
+        _STORED[place] = root
+    return layout, found
 
 
 def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All layers after a first load and one change window of every feed."""
-    root = work_folder(spark, "pipeline")
-    found = configured_feeds(f"{root}/sources", f"{root}/raw")
-    write_business_logs(spark, sf_dir, found)
-    pipeline.ingest_all(spark, found, I.moment(I.RUN_TIME))
-    layout = pipeline.Layout(root)
-    pipeline.run_pipeline(spark, found, layout, I.moment(I.RUN_TIME))
-    return pipeline.layer_counts(spark, layout, found)
+    return pipeline.layer_counts(spark, *finished_pipeline(spark, sf_dir))
+
+
+def pipeline_fact_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact the pipeline published: created by the first load, updated by the change window."""
+    layout, _ = finished_pipeline(spark, sf_dir)
+    return pipeline.read_fact(spark, layout.table("gold", "fact_order"))
+
+
+def pipeline_customer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both versions of every customer in the silver table of the pipeline."""
+    layout, _ = finished_pipeline(spark, sf_dir)
+    entity = ENTITIES["customer"]
+    return history.read_scd2(spark, layout.table("silver", entity.name), entity.keys).drop("_batch_id")
+
+
+def stream_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the bronze streams of the pipeline observed of their micro-batches."""
+    layout, _ = finished_pipeline(spark, sf_dir)
+    log = spark.read.parquet(layout.stream_log("bronze"))
+    return log.groupBy("stream").agg(F.sum("row_count").alias("row_count"), F.max("high_version").alias("high_version"))
 
 
 def pipeline_empty_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -544,12 +618,14 @@ QUERIES: dict[str, Query] = {
     "cdf_range": cdf_range,
     "cdf_normalized": cdf_normalized,
     "snapshot_as_of": snapshot_as_of,
+    "snapshot_from_checkpoint": snapshot_from_checkpoint,
     "snapshot_tagged": snapshot_tagged,
     "run_metadata": run_metadata,
     "business_keys": business_keys,
     "feed_versions": feed_versions,
     "commit_timestamps": commit_timestamps,
     "feed_start_version": feed_start_version,
+    "feed_state": feed_state,
     "high_water_mark": high_water_mark,
     "version_windows": version_windows,
     "raw_history": raw_history,
@@ -558,8 +634,10 @@ QUERIES: dict[str, Query] = {
     "incremental_load": incremental_load,
     "ingest_two_runs": ingest_two_runs,
     "ingest_after_broken_load": ingest_after_broken_load,
+    "ingest_across_gap": ingest_across_gap,
     "load_log": load_log,
     "ingest_all_feeds": ingest_all_feeds,
+    "ingest_with_bad_feed": ingest_with_bad_feed,
     "feed_configs": feed_configs,
     "bronze_stream": bronze_stream,
     "bronze_evolved": bronze_evolved,
@@ -592,5 +670,8 @@ QUERIES: dict[str, Query] = {
     "fact_order_lines": fact_order_lines,
     "fact_order_stream": fact_order_stream,
     "pipeline_end_to_end": pipeline_end_to_end,
+    "pipeline_fact_order": pipeline_fact_order,
+    "pipeline_customer_versions": pipeline_customer_versions,
+    "stream_log": stream_log,
     "pipeline_empty_source": pipeline_empty_source,
 }
