@@ -66,7 +66,7 @@ QUERIES = sorted(name for name in contract.queries() if name.startswith("op"))
 
 
 def test_there_is_one_query_per_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert "pipeline" in contract.queries()
 
 
