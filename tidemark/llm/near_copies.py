@@ -78,7 +78,8 @@ def near_copy_groups(documents: DataFrame, shingle: int = 4, radius: int = 4, se
     output rows.
     """
     marks, named = _rooted(documents, shingle, radius, seed)
-    smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Settled, it is a join side of its own, and a root that holds many fingerprints can be split.
+    smallest = settled(named.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")
     known = named.select("fingerprint", "root").join(smallest, "root").select("fingerprint", "component_id")
     return marks.join(known, "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id", "text_key"
@@ -105,12 +106,13 @@ def one_of_each_group(documents: DataFrame, **bounds: int) -> DataFrame:
     """
     marks, named = _rooted(documents, **bounds)
     groups = marks.join(named.select("fingerprint", "root"), "fingerprint").select("root", "doc_id", "text_key")
-    groups = settled(groups, "groups")
-    copies = groups.groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("times"))
+    copies = settled(groups.groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("times")), "copies")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("first")
     least = copies.groupBy("root").agg(first).select(
         F.col("root").alias("_root"), F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")
     )
+    # Settled, it is a join side of its own, and a root that holds many rows can be split.
+    least = settled(least, "least")
     own = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
     judged = copies.join(least, F.col("root") == F.col("_root")).select(
         F.col("doc_id").alias("_doc"), F.col("text_key").alias("_text"), own.alias("stays"), "times"
