@@ -98,3 +98,15 @@ def test_texts_with_letters_stay_whatever_there_is_to_learn(spark, lang, bounds)
     kept = with_language(frame, **bounds)
     assert kept.columns == frame.columns
     assert sorted((row.doc_id or 0) for row in kept.collect()) == [0, 1, 2, 2, 3, 7]
+
+
+def test_documents_in_other_languages_go(spark):
+    training, frame = labelled(spark)
+    extra = spark.createDataFrame([(90, "xyz zyx", "aa"), (91, "abab abba", None), (92, "123 ...", "aa")], frame.schema)
+    # The text decides, not the label; what has no letter is in no language.
+    kept = with_language(frame.union(extra), ["aa", "bb"], folds=1, held_fold=1, least=4)
+    texts = {one.decode() for name in ("aa", "bb") for one in training[name]} | {"abab abba"}
+    assert {row.text for row in kept.collect()} == texts
+    every = with_language(frame.union(extra), folds=1, held_fold=1, least=4)
+    assert every.count() == frame.count() + 2
+    assert with_language(frame.union(extra), [], folds=1, held_fold=1, least=4).count() == 0

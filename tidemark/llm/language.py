@@ -8,7 +8,7 @@ byte after each context is known; a text belongs to the language whose tree code
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -184,13 +184,28 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def with_language(documents: DataFrame, folds: int = 4, held_fold: int = 2, **bounds: int) -> DataFrame:
-    """The rows of ``documents`` whose text has a letter and so is in some language; trained as ``predicted_languages`` is."""
+def with_language(
+    documents: DataFrame,
+    languages: Sequence[str] | None = None,
+    folds: int = 4,
+    held_fold: int = 2,
+    **bounds: int,
+) -> DataFrame:
+    """The rows of ``documents`` that are in one of ``languages``; the trees are fitted as in ``predicted_languages``.
+
+    Without ``languages`` every learnt one will do, so that only texts without a letter, NULL ones among them,
+    go. Where nothing is labelled there are no trees: then all texts with a letter stay, whatever is asked
+    for. Repeated rows stay as they are, long texts are coded whole, columns are those given, and their
+    labels do not decide. No rows in, no rows out.
+    """
     model = train(_in_folds(documents, folds, held_fold).where("not held_out"), **bounds)
+    if model is None:
+        return documents.where(has_letter(F.col("text")))
     rest = [F.col(f"`{name}`") for name in documents.columns]
     marked = identify(documents.select(F.struct(*rest).alias("row"), "text"), model)
-    # Without a model every text is undetermined, and a label may say so; neither costs a text with letters.
-    return marked.where((F.col("lang_pred") != UNDETERMINED) | has_letter(F.col("text"))).select("row.*")
+    wanted = model.languages if languages is None else languages
+    # A language of that name may have been learnt, so a letter decides what is undetermined.
+    return marked.where(F.col("lang_pred").isin(list(wanted)) & has_letter(F.col("text"))).select("row.*")
 
 
 def _in_folds(documents: DataFrame, folds: int, held_fold: int) -> DataFrame:
