@@ -14,9 +14,13 @@ from tidemark.llm.surrogates import with_surrogates
 from tidemark.llm.tables import Stage, settled, table
 
 
+# Languages whose documents stay; None: all that the labels teach.
+LANGUAGES: list[str] | None = None
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter go."""
-    return with_language(docs)
+    """Documents in none of ``LANGUAGES``, by their text and not their label, and those without a letter go."""
+    return with_language(docs, LANGUAGES)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
