@@ -69,6 +69,52 @@ def test_two_entities_never_share_a_surrogate(spark, monkeypatch):
     assert len(set(texts)) == 20 and not set(texts) & set(names)
 
 
+def mails(count):
+    """Mail addresses of one form, which has 26 * 26 = 676 values."""
+    return [f"{chr(97 + n // 26)}@{chr(97 + n % 26)}.org" for n in range(count)]
+
+
+@pytest.mark.parametrize("count", [60, 338])
+def test_almost_full_forms_show_no_true_value(spark, count):
+    # 338 entities are half of the form: their surrogates are exactly the other half.
+    texts = replaced(spark, *mails(count))
+    assert len(set(texts)) == count and not set(texts) & set(mails(count))
+    assert all(re.fullmatch(r"[a-z]@[a-z]\.org", text) for text in texts)
+    assert replaced(spark, *mails(count)) == texts != replaced(spark, *mails(count), key="other")
+
+
+@pytest.mark.parametrize("count", [339, 676])
+def test_overfull_forms_stay_distinct(spark, count):
+    names = mails(count)
+    texts = replaced(spark, *names)
+    assert len(set(texts)) == count and not any(old == new for old, new in zip(names, texts))
+    # No true value is shown before all others are used up.
+    assert len(set(texts) & set(names)) == 2 * count - 676
+
+
+def test_forms_are_filled_apart(spark, monkeypatch):
+    monkeypatch.setitem(surrogates.ALPHABETS, "digit", "0123")
+    cards = [f"3{a}{b}0000000000" for a in "0123" for b in "0123"]
+    names = [*mails(300), "a@b.com", "long.name@place.org", "Mrs Anna Petrova", *cards]
+    texts = replaced(spark, *names)
+    assert len(set(texts)) == len(names) and not set(texts) & set(names)
+    assert [luhn(new) == 0 for new in texts[-16:]] == [luhn(old) == 0 for old in cards]
+
+
+def test_a_form_with_one_value_keeps_it(spark):
+    assert replaced(spark, "token=----------------") == ["token=----------------"]
+
+
+def test_values_of_a_form_are_numbered_apart(spark):
+    cards = ["4000000000006", "4000000000007"]
+    formed = surrogates._with_form(spark.createDataFrame([("card", one) for one in cards], "kind string, value string"))
+    assert sorted(row.room for row in formed.collect()) == [10.0**11, 9 * 10.0**11]
+    listed = formed.selectExpr("kind", "value", "form", "explode(sequence(0L, 999L)) as number")
+    found = listed.select("value", surrogates._numbered().alias("surrogate")).collect()
+    assert len({row.surrogate for row in found}) == 2000
+    assert all((luhn(row.surrogate) == 0) == (luhn(row.value) == 0) for row in found)
+
+
 def test_clean_rows_nulls_and_other_columns_stay(spark):
     frame = documents(spark)
     got = with_surrogates(frame, "k")
