@@ -15,17 +15,18 @@ def frame(spark, pairs):
 
 def plain(pairs, k=10, every=100):
     kept = sorted({(i, tuple(v)) for i, v in pairs if i is not None and v is not None})
-    kept = [(i, v) for i, v in kept if len(v) == 8 and None not in v and np.isfinite(v).all() and any(v)]
-    points = np.array([v for _, v in kept], np.float32).astype(float)
-    ids = np.array([i for i, _ in kept])
+    kept = [(i, v) for i, v in kept if None not in v and np.isfinite(v).all() and any(v)]
     result = {}
-    for n in np.flatnonzero(ids % every == 0):
-        if ids[n] in result:
-            continue
-        score = np.sqrt(((points - points[n]) ** 2).sum(axis=1))
-        order = [m for m in np.lexsort((ids, score)) if ids[m] != ids[n]][:k]
-        result[ids[n]] = [(int(ids[m]), pytest.approx(score[m])) for m in order]
-    return result
+    for size in {len(v) for _, v in kept}:
+        points = np.array([v for _, v in kept if len(v) == size], np.float32).astype(float)
+        ids = np.array([i for i, v in kept if len(v) == size])
+        for n in np.flatnonzero(ids % every == 0):
+            if ids[n] in result:
+                continue
+            score = np.sqrt(((points - points[n]) ** 2).sum(axis=1))
+            order = [m for m in np.lexsort((ids, score)) if ids[m] != ids[n]][:k]
+            result[ids[n]] = [(int(ids[m]), pytest.approx(score[m])) for m in order]
+    return {query: best for query, best in result.items() if best}
 
 
 def found(result):
@@ -42,6 +43,8 @@ def vectors():
     points += [(n, [0.5] * 8) for n in range(700, 1000)]
     odd = [[0.0] * 8, None, [float("nan")] * 8, [float("inf")] + [1.0] * 7, [None] + [1.0] * 7, [1.0, 2.0], []]
     points += [(100 * (20 + n), v) for n, v in enumerate(odd)]
+    # Few with other numbers of components, one of them alone.
+    points += [(100 * (40 + n), [float(n), 1.0]) for n in range(15)] + [(9000 + n, [n + 1.0]) for n in range(101)]
     return points + [points[0], points[5], (None, [1.0] * 8)]
 
 
@@ -51,12 +54,15 @@ def test_all_cells_give_the_exact_neighbours(spark, monkeypatch, block):
     assert found(nearest(frame(spark, vectors()), share=1.0)) == plain(vectors())
 
 
-def test_recall_on_the_tables(spark):
-    embeddings = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
-    exact = found(nearest(embeddings, share=1.0))
-    got = found(nearest(embeddings, least=200))
+@pytest.mark.parametrize("sf", ["0.01", "0.1"])
+def test_recall_on_the_tables(spark, sf):
+    embeddings = spark.read.parquet(f"/root/testdata/sf{sf}/embeddings.parquet")
+    every = 100 if sf == "0.1" else 10
+    exact = found(nearest(embeddings, every=every, share=1.0))
+    got = found(nearest(embeddings, every=every))
     recall = np.mean([len({i for i, _ in got[q]} & {i for i, _ in exact[q]}) / 10 for q in exact])
-    assert got.keys() == exact.keys() and recall > 0.9
+    # The index takes part: some neighbours are missed.
+    assert got.keys() == exact.keys() and 0.9 <= recall < 1
 
 
 def test_fewer_candidates_and_none(spark):

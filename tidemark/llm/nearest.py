@@ -21,6 +21,8 @@ from tidemark.llm.tables import renamed, settled
 
 # Vectors of one centroid that a task compares at once.
 BLOCK_ROWS = 4096
+# Queries whose cells a task looks up.
+QUERIES_A_TASK = 16
 _ROUNDS = 12
 
 
@@ -90,35 +92,41 @@ def usable(embeddings: DataFrame) -> DataFrame:
     rows = renamed(embeddings, {"vec_id": "vec_id", "embedding": "embedding"}).where("vec_id is not null")
     rows = rows.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return rows.where("vector is not null and size(vector) > 1").where(finite).where(F.exists("vector", lambda x: x != 0))
+    return rows.where("vector is not null").where(finite).where(F.exists("vector", lambda x: x != 0))
 
 
-def build(vectors: DataFrame, sample: int, per_cell: int, most: int) -> tuple[MultiIndex | None, DataFrame | None]:
-    """The index, and all rows with their cell. ``sample`` bounds the rows that the centroids are fitted to."""
-    dimensions = vectors.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    if dimensions is None:
-        return None, None
-    size, rows = dimensions["n"], dimensions["count"]
-    vectors = vectors.where(F.size("vector") == size)
+def build(vectors: DataFrame, sample: int, per_cell: int, most: int) -> tuple[dict[int, MultiIndex], DataFrame]:
+    """An index for each number of components, and all rows with their cell.
+
+    ``sample`` bounds the rows that the centroids are fitted to. A number of components so rare that the sample
+    holds none of it has one cell, which is compared whole.
+    """
+    counts = {row["n"]: row["count"] for row in vectors.groupBy(F.size("vector").alias("n")).count().collect()}
     place = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(1 << 30)) / (1 << 30)
-    points = np.stack(vectors.where(place < max(sample, 100) / rows).orderBy(place, "vec_id").limit(2 * sample).toPandas()["vector"])
-    k = min(most, max(2, round((rows / per_cell) ** 0.5)))
-    halves = _centres(points[:, : size // 2], k), _centres(points[:, size // 2 :], k)
-    empty = MultiIndex(halves, np.zeros((len(halves[0]), len(halves[1])), np.int64))
-    shared = vectors.sparkSession.sparkContext.broadcast(empty)
+    chosen = vectors.where(place < max(sample, 100) / max(1, sum(counts.values())))
+    drawn = chosen.orderBy(place, "vec_id").limit(2 * sample).toPandas()["vector"]
+    indexes = {}
+    for n, rows in counts.items():
+        own = [vector for vector in drawn if len(vector) == n]
+        points = np.stack(own) if own else np.zeros((1, n))
+        k = min(most, max(2, round((rows / per_cell) ** 0.5)))
+        halves = _centres(points[:, : n // 2], k), _centres(points[:, n // 2 :], k)
+        indexes[n] = MultiIndex(halves, np.zeros((len(halves[0]), len(halves[1])), np.int64))
+    shared = vectors.sparkSession.sparkContext.broadcast(indexes)
 
     def place_in_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                first, second = shared.value.distances(np.stack(batch["vector"]))
-                yield batch.assign(first=first.argmin(axis=1), second=second.argmin(axis=1))
+            for n, part in batch.groupby(batch["vector"].map(len)):
+                first, second = shared.value[n].distances(np.stack(part["vector"]))
+                yield part.assign(n=n, first=first.argmin(axis=1), second=second.argmin(axis=1))
 
     kind = vectors.schema["vec_id"].dataType.simpleString()
-    placed = settled(vectors.mapInPandas(place_in_cells, f"vec_id {kind}, vector array<double>, first int, second int"), "cells")
-    sizes = empty.sizes.copy()
-    for row in placed.groupBy("first", "second").count().collect():
-        sizes[row["first"], row["second"]] = row["count"]
-    return MultiIndex(halves, sizes), placed
+    columns = f"vec_id {kind}, vector array<double>, n int, first int, second int"
+    placed = settled(vectors.mapInPandas(place_in_cells, columns), "cells")
+    sizes = placed.groupBy("n", "first", "second").count().toPandas()
+    for n, cells in sizes.groupby("n"):
+        indexes[n].sizes[cells["first"], cells["second"]] = cells["count"]
+    return indexes, placed
 
 
 def nearest(
@@ -126,58 +134,63 @@ def nearest(
     every: int = 100,
     k: int = 10,
     share: float = 0.45,
-    least: int = 2000,
+    least: int = 300,
     sample: int = 20_000,
     per_cell: int = 1,
-    most: int = 1024,
+    most: int = 256,
 ) -> DataFrame:
     """The ``k`` nearest rows found for each query: query_id, rank from 1, vec_id and score, the Euclidean distance.
 
     Queries are the rows whose vec_id is divisible by ``every``, candidates all rows with another vec_id; ties
     go to the smaller vec_id. A query reads cells until they hold ``share`` of all vectors, and ``least`` of them; vectors
     without any clusters need so large a share for a recall of 0.9. Vectors that are NULL,
-    zero, or hold NULL or non-finite components take no part, nor do rows without an id or with another number
-    of components than most. Rows that repeat an id and a vector count once; of several vectors of one id the
+    zero (empty ones too), or hold NULL or non-finite components take no part, nor do rows without an id. Vectors are near only to
+    those with as many components. Rows that repeat an id and a vector count once; of several vectors of one id the
     least is its query. Halves have at most ``most`` centroids, so the cell sizes that the driver collects are
-    bounded.
+    bounded for each number of components.
     """
     vectors = usable(embeddings)
-    index, placed = build(vectors, sample, per_cell, most)
+    indexes, placed = build(vectors, sample, per_cell, most)
     kind = vectors.schema["vec_id"].dataType.simpleString()
-    if index is None:
+    if not indexes:
         none = vectors.where(F.lit(False))
         return none.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0.0).alias("score"))
-    shared = vectors.sparkSession.sparkContext.broadcast(index)
-    enough = max(least, round(share * int(index.sizes.sum())))
+    shared = vectors.sparkSession.sparkContext.broadcast(indexes)
+    total = sum(int(index.sizes.sum()) for index in indexes.values())
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
         for batch in batches:
-            if not len(batch):
-                continue
-            first, second = known.distances(np.stack(batch["vector"]))
-            for query, vector, a, b in zip(batch["vec_id"], batch["vector"], first, second):
-                cells = known.traverse(a, b, enough)
-                yield pd.DataFrame(
-                    {"vec_id": query, "vector": [vector] * len(cells), "first": cells.keys(), "seconds": cells.values()}
-                )
+            for n, part in batch.groupby(batch["vector"].map(len)):
+                known = shared.value[n]
+                enough = max(least, round(share * int(known.sizes.sum())))
+                first, second = known.distances(np.stack(part["vector"]))
+                for query, vector, a, b in zip(part["vec_id"], part["vector"], first, second):
+                    cells = known.traverse(a, b, enough)
+                    yield pd.DataFrame(
+                        {"vec_id": query, "vector": [vector] * len(cells), "n": n, "first": cells.keys(), "seconds": cells.values()}
+                    )
 
     queries = placed.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    routed = queries.mapInPandas(route, f"vec_id {kind}, vector array<double>, first int, seconds array<int>")
-    blocks_of = -(-index.sizes.sum(axis=1) // BLOCK_ROWS)
+    # A fixed number of tasks: the queries are few and small, their ways through the cells are not.
+    queries = queries.repartition(max(1, min(10_000, total // every // QUERIES_A_TASK)))
+    routed = queries.mapInPandas(route, f"vec_id {kind}, vector array<double>, n int, first int, seconds array<int>")
+    large = [
+        (n, first, blocks)
+        for n, index in indexes.items()
+        for first, blocks in enumerate((-(-index.sizes.sum(axis=1) // BLOCK_ROWS)).tolist())
+        if blocks > 1
+    ]
+    sizes = F.broadcast(placed.sparkSession.createDataFrame(large, "n int, first int, blocks bigint"))
 
     def dealt(frame: DataFrame, own: str, other: str) -> DataFrame:
         """Each row of a large centroid is in one block of its kind and meets all blocks of the other kind."""
         blocks = F.coalesce("blocks", F.lit(1))
-        sizes = frame.sparkSession.createDataFrame(
-            pd.DataFrame({"first": np.arange(len(blocks_of)), "blocks": blocks_of})
-        ).where("blocks > 1")
         return (
-            frame.join(F.broadcast(sizes), "first", "left")
+            frame.join(sizes, ["n", "first"], "left")
             .withColumn(own, F.pmod(F.xxhash64("vec_id"), blocks))
             .withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
             .drop("blocks")
-            .groupBy("first", "row_block", "query_block")
+            .groupBy("n", "first", "row_block", "query_block")
         )
 
     def compare(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
