@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import re
+import time
+from dataclasses import replace
 from html import unescape
 
 import pytest
@@ -31,6 +33,40 @@ def test_articles_of_the_tables(spark):
         assert got.loc[row.page_id, "n_chars"] == len(plain(row.html)) and got.loc[row.page_id, "url"] == row.url
 
 
+def unmarked(html):
+    """The page without any tag or class that says what is the article and what is not."""
+    return re.sub(r"<(/?)(?:article|nav|footer)\b", r"<\1div", html).replace(' class="ad"', "")
+
+
+def test_trees_find_articles_that_nothing_marks(spark, model):
+    rows = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    pages, wanted = [unmarked(row.html) for row in rows], [plain(row.html) for row in rows]
+    got = _texts(pages, model)
+    assert sum(a == b for a, b in zip(got, wanted)) >= 0.95 * len(rows)
+    lines = [(set(a.split("\n")), set(b.split("\n"))) for a, b in zip(got, wanted)]
+    assert sum(len(a & b) for a, b in lines) >= 0.98 * sum(len(b) for _, b in lines)
+    assert sum(len(a - b) for a, b in lines) <= 0.02 * sum(len(b) for _, b in lines)
+    # Without the trees nothing tells the boilerplate.
+    assert not any(a == b for a, b in zip(_texts(pages, None), wanted))
+
+
+def test_only_the_trees_judge(spark, model):
+    html = spark.read.parquet(f"{SF}/pages.parquet").first().html
+    for page in (html, unmarked(html)):
+        assert _texts([page], replace(model, weights=model.weights * 0)) != _texts([page], model)
+        assert _texts([page], replace(model, value=-model.value)) != _texts([page], model)
+
+
+def test_time_is_linear_in_nesting():
+    def seconds(n):
+        start = time.process_time()
+        Page("<p><table>" + "<section><span>" * n)
+        return time.process_time() - start
+
+    seconds(1000)
+    assert seconds(32_000) < 16 * max(seconds(4000), 0.02)
+
+
 CASES = [
     ("<main><p>Real  text\n of the page.</p><aside>side</aside><p>More <i>te</i>xt<br>two</main><footer>f</footer>",
      "Real text of the page.\nMore text two"),

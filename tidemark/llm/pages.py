@@ -1,18 +1,23 @@
 """Main text of web pages by gradient-boosted trees over DOM nodes and a hierarchical decoding.
 
 Pages carry no labels, but most mark their article and their boilerplate by tags and attribute words. Nodes
-of a bounded sample of such pages are the examples. Each is learnt three times: as it is, without what marks
-the article, and without any such mark, so that the trees also learn what text density, links, depth and
-siblings tell about pages that mark nothing. A page is then decoded as a whole: the set of kept nodes is the
-likeliest one in which every kept node's parent is kept too.
+of a bounded sample of such pages are the examples, each page as it is and with lists, wrappers and marked
+boilerplate put between its paragraphs. Marks and attribute tokens are hidden from the trees at random, so that
+they also learn what text density, links, depth and siblings tell about pages that mark nothing. The trees alone
+judge a node. A page is then decoded as a whole: the set of kept nodes is the likeliest one in which every
+kept node's parent is kept too.
 """
 
 from __future__ import annotations
 
+import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from html import escape
 from html.parser import HTMLParser
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -64,11 +69,17 @@ FEATURES = (
     "link_share", "density", "punctuation", "children", "nodes", "position", "siblings", "sibling_chars", "alike",
     "paragraph_share",
 )
-# What a page marks itself is evidence beside the trees', which cannot have seen all kinds of nodes in an
-# article; so much it counts, in logits.
-MARK_LOGITS = 6.0
+# The tag and the attribute words of a node are hashed to so many features.
+TOKENS = 48
 MARKS = {IN_MAIN, HAS_MAIN}
 ALL_MARKS = {IN_MAIN, HAS_MAIN, IN_ASIDE, "aside_here"}
+# What is hidden from the trees: nothing, what marks the article, all marks, or the tokens as well.
+HIDDEN = (frozenset(), frozenset(MARKS), frozenset(ALL_MARKS), frozenset(ALL_MARKS | {"tokens"}))
+
+
+@lru_cache(65_536)
+def _token(word: str) -> int:
+    return 1 << crc32(word.encode("utf-8", "surrogatepass")) % TOKENS
 
 
 class Page(HTMLParser):
@@ -81,9 +92,12 @@ class Page(HTMLParser):
         self.kind, self.said = [0], [(False, False, False)]
         self.own, self.linked, self.points = [0], [0], [0]
         self.children = [0]
+        self.tokens = [0]
         # Text parts are (node, text); a node without text is the edge of a block.
         self.parts: list[tuple[int, str]] = []
         self._open: list[tuple[str, int]] = [("", 0)]
+        # Where in ``_open`` elements of a name stand.
+        self._places: dict[str, list[int]] = {}
         self._silent = self._links = 0
         self.feed(html)
         self.close()
@@ -112,6 +126,7 @@ class Page(HTMLParser):
             node = self._node(tag, words, node)
         self._silent += tag in SILENT
         self._links += tag == "a"
+        self._places.setdefault(tag, []).append(len(self._open))
         self._open.append((tag, node))
         if tag not in INLINE:
             self.parts.append((node, ""))
@@ -131,6 +146,10 @@ class Page(HTMLParser):
         self.position.append(self.children[parent])
         self.children[parent] += 1
         self.children.append(0)
+        tokens = _token(f"<{tag}>")
+        for word in words:
+            tokens |= _token(word)
+        self.tokens.append(tokens)
         main = tag in MAIN_TAGS or not MAIN_WORDS.isdisjoint(words)
         self.said.append((main, tag in ASIDE_TAGS and not own_header, not ASIDE_WORDS.isdisjoint(words)))
         self.kind.append(1 if tag in TEXT_TAGS else 2 if tag in HEADING_TAGS else 3 if tag in LIST_TAGS else 0)
@@ -154,16 +173,15 @@ class Page(HTMLParser):
             self._end(tag, frozenset() if tag not in INLINE else BOUNDS)
 
     def _end(self, tag: str, bounds: frozenset) -> None:
-        for at in range(len(self._open) - 1, 0, -1):
-            if self._open[at][0] == tag:
-                while len(self._open) > at:
-                    self._pop()
-                return
-            if self._open[at][0] in bounds:
-                return
+        places = self._places.get(tag)
+        if places and not any(self._places[bound][-1] > places[-1] for bound in bounds if self._places.get(bound)):
+            start = places[-1]
+            while len(self._open) > start:
+                self._pop()
 
     def _pop(self) -> None:
         tag, node = self._open.pop()
+        self._places[tag].pop()
         self._silent -= tag in SILENT
         self._links -= tag == "a"
         if node != self._open[-1][1]:
@@ -229,7 +247,7 @@ class Page(HTMLParser):
 
 
 def features(pages: list[Page]) -> np.ndarray:
-    """A row of ``FEATURES`` for every node of the pages, one page after the other."""
+    """A row for every node of the pages, one page after the other: ``FEATURES``, then its tokens."""
     sizes = np.array([len(page.parent) for page in pages])
     begin = np.repeat(np.cumsum(sizes) - sizes, sizes)
 
@@ -254,13 +272,14 @@ def features(pages: list[Page]) -> np.ndarray:
     alike = np.zeros(len(parent))
     for one in range(4):
         alike += (kind == one) * np.bincount(parent, kind == one, len(parent))[parent] / siblings
+    masks = np.array([mask for page in pages for mask in page.tokens], np.int64)
     return np.column_stack(
         [
             marks[:, 0], marks[:, 1], np.maximum.reduceat(marks[:, 0], np.cumsum(sizes) - sizes).repeat(sizes),
             marks[:, 2], kind == 1, kind == 2, kind == 3, column("depth"), np.log1p(own), np.log1p(chars), chars / total,
             linked / np.maximum(chars, 1), np.log1p(chars / nodes), points / np.maximum(chars, 1), np.log1p(children),
             np.log1p(nodes), column("position") / siblings, np.log1p(siblings), np.log1p(around), alike,
-            paragraphs / np.maximum(chars, 1),
+            paragraphs / np.maximum(chars, 1), (masks[:, None] >> np.arange(TOKENS)) & 1,
         ]
     )
 
@@ -287,12 +306,55 @@ class NodeModel:
                 goes = rows[every, self.feature[tree, at]] <= self.threshold[tree, at]
                 at = np.where(goes, self.left[tree, at], self.right[tree, at])
             margin += weight * self.value[tree, at]
-        in_main, in_aside = rows[:, FEATURES.index(IN_MAIN)], rows[:, FEATURES.index(IN_ASIDE)]
-        marked = np.where(in_aside > 0, -1, in_main)
-        return 1 / (1 + np.exp(-2 * margin - MARK_LOGITS * marked))
-
-
-def train(pages: DataFrame, sample: int = 600, trees: int = 12, depth: int = 4) -> NodeModel | None:
+        return 1 / (1 + np.exp(-2 * margin))
+
+
+def varied(html: str, draw: random.Random) -> str:
+    """The page with lists, wrappers and marked boilerplate of its own words put before some of its paragraphs."""
+    words = re.sub(r"<[^>]*>", " ", html).split() or ["x"]
+
+    short = draw.random() < 0.4
+
+    def piece() -> str:
+        start = draw.randrange(len(words))
+        return escape(" ".join(words[start : start + draw.randint(1, 3 if short else 30)]))
+
+    def named() -> str:
+        """A class that says nothing, for elements that stay."""
+        return f" class='{''.join(draw.choices('abcdefghiklmnoprstuvw', k=draw.randint(3, 8)))}'" if draw.random() < 0.6 else ""
+
+    def before(paragraph: re.Match) -> str:
+        kind = draw.random()
+        if kind < 0.08:
+            added = f"<{(tag := draw.choice(sorted(ASIDE_TAGS)))}><p>{piece()}</p></{tag}>"
+        elif kind < 0.2:
+            inner = "".join(f"<{(tag := draw.choice(('p', 'li', 'div')))}>{piece()}</{tag}>" for _ in range(draw.randint(1, 3)))
+            added = f"<{(tag := draw.choice(('div', 'section', 'ul', 'span')))} class='{draw.choice(sorted(ASIDE_WORDS))}'>{inner}</{tag}>"
+        elif kind < 0.3:
+            added = f"<ul{named()}>" + "".join(f"<li>{piece()}" for _ in range(draw.randint(1, 6))) + "</ul>"
+        elif kind < 0.38:
+            if draw.random() < 0.3:
+                return f"<header class={draw.choice(('entry', 'post'))}-header><h1>{piece()}</h1></header>{paragraph[0]}"
+            added = f"<{(tag := draw.choice(('h2', 'h3', 'pre', 'blockquote', 'div')))}{named()}>{piece()}</{tag}>"
+        elif kind < 0.42:
+            added = f"<{draw.choice(('div', 'section'))}{named()}>"
+        else:
+            added = ""
+        return added + paragraph[0]
+
+    # Half of the pages get short: few paragraphs of few words, often with nothing around the article.
+    if short:
+        region = re.search(r"<(article|main)\b.*</\1>", html, re.DOTALL)
+        html = region[0] if region and draw.random() < 0.7 else html
+        some = iter(range(len(html)))
+        most = draw.randint(1, 4)
+        html = re.sub(r"<p\b[^>]*>[^<]*", lambda m: f"<p>{piece()}" if next(some) < most else "<p>", html)
+    # Layouts are named after what stands beside the article.
+    around = f" class='{draw.choice(sorted(ASIDE_WORDS))}'" if draw.random() < 0.2 else named()
+    return f"<div{around}>" + re.sub(r"<p\b", before, html, flags=re.IGNORECASE)
+
+
+def train(pages: DataFrame, sample: int = 600, trees: int = 30, depth: int = 5) -> NodeModel | None:
     """Boost trees on the nodes of about ``sample`` pages, chosen by a hash of the id; None if none marks an article."""
     total = pages.count()
     place = F.pmod(F.xxhash64(F.col("page_id").cast("string"), "html"), F.lit(1 << 30)) / (1 << 30)
@@ -302,12 +364,13 @@ def train(pages: DataFrame, sample: int = 600, trees: int = 12, depth: int = 4)
         for batch in batches:
             for html in batch["html"]:
                 page = Page(html)
-                label = page.labels()
-                if label.any():
-                    rows = features([page])
-                    for hidden in ((), MARKS, ALL_MARKS):
-                        shown = rows * [name not in hidden for name in FEATURES]
-                        yield pd.DataFrame({"label": label, "features": list(shown)})
+                if page.labels().any():
+                    draw = random.Random(crc32(html.encode("utf-8", "surrogatepass")))
+                    for one in (page, Page(varied(html, draw))):
+                        rows, label = features([one]), one.labels()
+                        for hidden in (HIDDEN[0], draw.choice(HIDDEN[1:])):
+                            shown = [name not in hidden for name in FEATURES] + ["tokens" not in hidden] * TOKENS
+                            yield pd.DataFrame({"label": label, "features": list(rows * shown)})
 
     rows = settled(chosen.mapInPandas(examples, "label double, features array<double>"), "page-nodes")
     if rows.select("label").distinct().count() < 2:
