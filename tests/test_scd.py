@@ -237,6 +237,27 @@ def test_sketch_names_every_hot_key(spark, monkeypatch):
     assert hot_keys(frame.where("false"), ["k"], 0) is None
 
 
+def test_the_second_sketch_takes_over_from_the_first(spark, monkeypatch):
+    """Where the first one is not exact enough, as for millions of rows and a low bound."""
+    monkeypatch.setattr(skew, "SKETCH_COUNTERS", (8, skew.SKETCH_COUNTERS[1]))
+    frame = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.col("id")).alias("k"))
+    found = hot_keys(frame, ["k"], 100).collect()
+    assert [(r["k"], r[skew.ROWS_OF_KEY]) for r in found] == [(None, 2000)]
+
+
+def test_slices_follow_the_events_of_each_key(spark):
+    """A key with few events gets few slices beside one with many."""
+    frame = spark.range(20_500).select(
+        F.when(F.col("id") >= 20_000, F.lit(None)).otherwise(F.lit(1)).alias("k"), F.col("id").alias("s")
+    )
+    sliced = scd.in_slices(frame, ["k"], "s", 256, 100)
+    rows = sliced.groupBy("k", "_slice").agg(F.min("s").alias("low"), F.max("s").alias("high"), F.count("s").alias("n"))
+    slices = sorted(rows.collect(), key=lambda r: r["low"])
+    assert len([r for r in slices if r["k"] == 1]) == 256 and len([r for r in slices if r["k"] is None]) == 8
+    assert all(one["high"] < following["low"] for one, following in zip(slices, slices[1:]))
+    assert max(r["n"] for r in slices) <= 100
+
+
 def test_dense_points_of_a_hot_key_give_many_slices(spark):
     """100,000 points in a minute, and a few a year apart."""
     dense = spark.range(100_000).select(
