@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,6 +108,23 @@ def test_range_read_prunes_partitions(log):
     assert log.changes(90, 99).count() == 0
 
 
+def test_commits_written_without_a_shuffle(spark, folder):
+    """Every task writes the versions it has, none of them gathered; the rows are the same."""
+    rows = spark.range(0, 300, 1, 3).select(
+        F.col("id").alias("k"), F.lit("insert").alias("_change_type"), (F.col("id") % 2).alias("_commit_version"),
+        F.lit("2024-01-01").cast("timestamp").alias("_commit_timestamp"),
+    )
+    history = spark.sql("SELECT 0L AS version, timestamp'2024-01-01' AS timestamp, 'WRITE' AS operation, '' AS properties")
+    kept = []
+    for gather in (True, False):
+        path = f"{folder}/{gather}"
+        changelog.write_commits(rows, history, path, gather=gather)
+        files = [len(list(Path(f"{path}/changes/_commit_version={v}").glob("*.zstd.parquet"))) for v in (0, 1)]
+        assert files == ([1, 1] if gather else [3, 3])
+        kept.append(sorted(map(tuple, ChangeLog(spark, path, ("k",)).feed().select(*rows.columns).collect())))
+    assert kept[0] == kept[1] and len(kept[0]) == 300
+
+
 def test_feed_read_under_a_given_schema(spark, log):
     schema = log.feed().schema
     known = ChangeLog(spark, log.path, ("id",), schema=schema)

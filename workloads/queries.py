@@ -273,7 +273,8 @@ def write_business_logs(
         changes = I.business_feed(spark, sf_dir, entity_of(feed.table))
         if feed.table in empty:
             changes = changes.where("false")
-        changelog.write_commits(changes, history, feed.source_path)
+        # Two versions hold all rows: what a task has read goes to both.
+        changelog.write_commits(changes, history, feed.source_path, gather=False)
 
     jobs = [lambda feed=feed: write(feed) for feed in found]
     pipeline.in_parallel(spark, jobs, pipeline.CONCURRENT_FEEDS)
