@@ -51,6 +51,15 @@ def test_refreshed_tables_equal_the_batch_result(spark, folder, order):
     assert feeds.as_scd1(history.read_current(spark, f"{folder}/two")) == feeds.expected_scd1(events)
 
 
+def test_files_are_compressed_by_entropy(spark, folder):
+    """Keys in no order shrink little otherwise: ledger, last events, ended events and touched keys."""
+    land(spark, folder, feeds.random_events(5, count=80), 0)
+    history.refresh_scd2(spark, f"{folder}/ledger", f"{folder}/two", ["k"], tie_break=TIES)
+    for place in ("ledger", "two/latest", "two/events", "two/touched"):
+        files = list(Path(f"{folder}/{place}").rglob("*.parquet"))
+        assert files and all(file.name.endswith(".zstd.parquet") for file in files)
+
+
 def test_compacted_table_goes_on(spark, folder):
     events = feeds.random_events(17, count=180, minutes=2000)
     old, new = f"{folder}/two", f"{folder}/compact"

@@ -44,6 +44,13 @@ def test_history_takes_one_shuffle(spark):
     assert shuffles(versions) == 1
 
 
+def test_history_does_not_shuffle_what_the_order_adds(spark):
+    """The hash that decides ties is made behind the shuffle, where rows are sorted."""
+    changes = I.user_changes(I.user_feed(spark, SF))
+    text = plan(scd.scd2_history(changes, ["user_id"], hot_rows=None))
+    assert "xxhash64" in text and "xxhash64" not in text[text.index("Exchange hashpartitioning"):]
+
+
 def test_hot_branch_is_gone_without_hot_keys(spark):
     changes = I.user_changes(I.user_feed(spark, SF))
     versions = scd.scd2_history(changes, ["user_id"], tie_break=("event_id",))
