@@ -248,3 +248,78 @@ def test_compacting_deals_keys_anew(spark, folder):
     buckets = partition_values(spark, f"{folder}/wide/latest/_refresh=1", "_bucket")
     assert len(buckets) > 2 and max(buckets) < 32
     assert feeds.as_scd2(history.read_scd2(spark, f"{folder}/wide", ["k"])) == feeds.expected_scd2(events)
+
+
+@pytest.fixture
+def copied(monkeypatch):
+    """Rows that each refresh shuffles once more, bucket by bucket, to write them."""
+    write, counts = history._Table.write_latest, []
+
+    def counted(table, rows, keys):
+        counts.append(rows.count())
+        write(table, rows, keys)
+
+    monkeypatch.setattr(history._Table, "write_latest", counted)
+    return counts
+
+
+def created(spark, root):
+    history.create_scd2(spark, root, spark.createDataFrame([], feeds.SCHEMA).schema, ["k"])
+    return root
+
+
+def test_open_versions_are_written_once_into_their_buckets(spark, folder, copied):
+    """Only untouched keys of the touched buckets are copied; late events and further refreshes change nothing in that."""
+    table, seen = created(spark, f"{folder}/scd2"), []
+    first = [(key, key, "insert", 1, 0, 100 + key) for key in range(40)]
+    second = [(3, 30, "update", 5, 1, 200), (4, 0, "delete", 5, 1, 201), (5, 50, "update", 5, 1, 2), (90, 9, "insert", 5, 1, 202)]
+    for number, part in enumerate((first, second)):
+        land(spark, folder, part, number)
+        seen += part
+        refresh(spark, folder, "scd2")
+        assert feeds.as_scd2(history.read_scd2(spark, table, ["k"])) == feeds.expected_scd2(seen)
+        assert feeds.as_scd1(history.read_current(spark, table)) == feeds.expected_scd1(seen)
+    state = history._Table.open(spark, table)
+    touched = {row[0] for row in spark.createDataFrame([(k,) for k in (3, 4, 5, 90)], "k int").select(state.bucket(["k"])).collect()}
+    beside = state.latest(touched).where("k not in (3, 4, 5, 90)").count()
+    assert copied == [0, beside]
+    assert state.latest().count() == 41
+    for bucket in range(8):
+        numbers = state.latest({bucket}).select(state.bucket(["k"])).distinct().collect()
+        assert [row[0] for row in numbers] in ([], [bucket])
+
+
+def test_an_empty_table_is_filled_without_counting_keys(spark, folder):
+    """All of its keys are touched, so they are not written; hot ones among them are found all the same."""
+    table = created(spark, f"{folder}/scd2")
+    events = feeds.random_events(21, count=300, minutes=2000)
+    land(spark, folder, events, 0)
+    assert refresh(spark, folder, "scd2", hot_rows=20)
+    assert not Path(f"{table}/touched").exists()
+    assert feeds.as_scd2(history.read_scd2(spark, table, ["k"])) == feeds.expected_scd2(events)
+    keys = sorted({event[0] for event in events})
+    assert sorted(row.k for row in history.touched_keys(spark, table, ["k"]).collect()) == keys
+    land(spark, folder, [(keys[0], 1, "update", 9, 1, 5000)], 1)
+    assert refresh(spark, folder, "scd2")
+    assert [row.k for row in history.touched_keys(spark, table, ["k"]).collect()] == keys[:1]
+
+
+def test_a_fill_that_broke_off_is_made_again(spark, folder, monkeypatch):
+    table = created(spark, f"{folder}/scd2")
+    events = feeds.random_events(22, count=200)
+    land(spark, folder, events, 0)
+    move, moved = history.move_folder, []
+
+    def breaking(spark, path, place):
+        if len(moved) == 2:
+            raise OSError("broke off")
+        moved.append(place)
+        move(spark, path, place)
+
+    monkeypatch.setattr(history, "move_folder", breaking)
+    with pytest.raises(OSError, match="broke off"):
+        refresh(spark, folder, "scd2")
+    assert history.read_scd2(spark, table, ["k"]).count() == 0
+    monkeypatch.undo()
+    assert refresh(spark, folder, "scd2")
+    assert feeds.as_scd2(history.read_scd2(spark, table, ["k"])) == feeds.expected_scd2(events)
