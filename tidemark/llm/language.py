@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import id_remainder, renamed
+from tidemark.llm.tables import id_remainder, in_small_batches, renamed
 
 UNDETERMINED = "und"
 # Not a byte of any UTF-8 text: stands before the first byte of a text.
@@ -93,7 +93,7 @@ def train(labelled: DataFrame, per_language: int = 3000, least: int = 16) -> Lan
                     yield pd.DataFrame({"lang": name, "gram": gram, "times": times})
 
     grams = (
-        sample.mapInPandas(count, "lang string, gram bigint, times bigint")
+        in_small_batches(sample).mapInPandas(count, "lang string, gram bigint, times bigint")
         .groupBy("lang", "gram")
         .agg(F.sum("times").alias("times"))
         .toPandas()
@@ -177,7 +177,7 @@ def identify(documents: DataFrame, model: LanguageModel | None) -> DataFrame:
         )
 
     found = guess(F.coalesce(F.col("text").cast("binary"), F.lit(b"")), has_letter(F.col("text")))
-    return documents.select(*keep, found.alias("_found")).select(*keep, "_found.lang_pred", "_found.score")
+    return in_small_batches(documents).select(*keep, found.alias("_found")).select(*keep, "_found.lang_pred", "_found.score")
 
 
 def has_letter(text: Column) -> Column:

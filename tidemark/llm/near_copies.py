@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.shingles import small
-from tidemark.llm.tables import renamed, settled
+from tidemark.llm.tables import in_small_batches, renamed, settled
 
 BITS = 64
 # Members of one upper node that one task compares; larger nodes are cut into pairs of blocks.
@@ -49,7 +49,7 @@ def fingerprints(documents: DataFrame, shingle: int = 4, seed: int = 42) -> Data
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     texts = documents.select("doc_id", F.xxhash64("text").alias("text_key"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
-    return texts.mapInPandas(run, f"doc_id {kind}, text_key bigint, fingerprint bigint")
+    return in_small_batches(texts).mapInPandas(run, f"doc_id {kind}, text_key bigint, fingerprint bigint")
 
 
 def simhash(text: bytes, shingle: int, seed: int) -> int:

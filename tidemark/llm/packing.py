@@ -8,11 +8,12 @@ length and gives every rank its place.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 from pathlib import Path
 
 import numpy as np
@@ -24,11 +25,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.tables import renamed, settled
+from tidemark.llm.tables import in_small_batches, renamed, settled
 
 END_ID = 2
-# Tokens of a stretch of text are kept for the next time it occurs, up to so many stretches a worker.
-CACHED_STRETCHES = 400_000
+# Tokens of a stretch of text are kept for the next time it occurs, up to so many stretches of so many characters a
+# worker: some 30 MB, which the worker holds as long as it lives, also in other stages.
+CACHED_STRETCHES = 1 << 17
+CACHED_LENGTH = 64
 _ID_BYTES = 4
 # White space before a space would be one token across a cut at that space.
 _NO_CUT = regex.compile(r"\s ")
@@ -37,33 +40,51 @@ Pattern = tuple[tuple[int, ...], int]
 
 
 class _Stretches(dict):
-    """Token ids, as bytes, of stretches of text that the vocabulary's pattern never crosses."""
+    """Token ids, as bytes, of stretches of text that the vocabulary's pattern never crosses.
+
+    Half of what is kept has been met since the other half was full, so that frequent stretches stay.
+    """
 
     def __init__(self, ranks: str, pattern: str) -> None:
         pairs = (line.split() for line in Path(ranks).read_bytes().splitlines())
         merges = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.encode = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=merges, special_tokens={})
+        self.earlier: dict[str, bytes] = {}
 
     def __missing__(self, stretch: str) -> bytes:
-        if len(self) >= CACHED_STRETCHES:
-            self.clear()
-        ids = array("I", self.encode.encode_ordinary(stretch)).tobytes()
-        self[stretch] = ids
+        ids = self.earlier.get(stretch)
+        if ids is None:
+            ids = array("I", self.encode.encode_ordinary(stretch)).tobytes()
+        if len(stretch) <= CACHED_LENGTH:
+            if len(self) >= CACHED_STRETCHES // 2:
+                self.earlier = dict(self)
+                self.clear()
+            self[stretch] = ids
         return ids
 
 
+def special_tokens(vocabulary: str) -> tuple[str, ...]:
+    """The tokens of a tokenizer file that stand for themselves wherever a text holds them."""
+    return tuple(token["content"] for token in json.loads(Path(vocabulary).read_bytes())["added_tokens"])
+
+
 class TextTokens:
     """Token ids of a text as little-endian 32-bit numbers, equal to what the tokenizer file gives.
 
     The pattern of a byte-level vocabulary takes a space to the word behind it, so a text may be cut before
-    a single space. Texts that hold white space before a space or a special token are encoded whole.
+    a single space. Texts that hold white space before a space or a special token are encoded whole. The
+    tokenizer file is read when the first text with one of its ``special`` tokens comes.
     """
 
-    def __init__(self, vocabulary: str, ranks: str, pattern: str) -> None:
-        self.whole = Tokenizer.from_file(vocabulary)
-        self.special = [token.content for token in self.whole.get_added_tokens_decoder().values()]
+    def __init__(self, vocabulary: str, ranks: str, pattern: str, special: tuple[str, ...] | None = None) -> None:
+        self.vocabulary = vocabulary
+        self.special = special_tokens(vocabulary) if special is None else special
         self.stretches = _Stretches(ranks, pattern)
 
+    @cached_property
+    def whole(self) -> Tokenizer:
+        return Tokenizer.from_file(self.vocabulary)
+
     def __call__(self, text: str) -> bytes:
         if any(token in text for token in self.special):
             return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
@@ -75,8 +96,8 @@ class TextTokens:
 
 
 @cache
-def _tokens(vocabulary: str, ranks: str, pattern: str) -> TextTokens:
-    return TextTokens(vocabulary, ranks, pattern)
+def _tokens(vocabulary: str, ranks: str, pattern: str, special: tuple[str, ...]) -> TextTokens:
+    return TextTokens(vocabulary, ranks, pattern, special)
 
 
 def pieces(documents: DataFrame, vocabulary: str, ranks: str, pattern: str, capacity: int) -> DataFrame:
@@ -85,9 +106,10 @@ def pieces(documents: DataFrame, vocabulary: str, ranks: str, pattern: str, capa
     Documents longer than ``capacity`` are cut from their end, so only the first piece may be shorter.
     ``chunk`` and ``nth`` number the pieces of one length within the task that made them.
     """
+    special = special_tokens(vocabulary)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, end = _tokens(vocabulary, ranks, pattern), array("I", [END_ID]).tobytes()
+        encode, end = _tokens(vocabulary, ranks, pattern, special), array("I", [END_ID]).tobytes()
         chunk, met = TaskContext.get().partitionId(), Counter()
         for batch in batches:
             rows = []
@@ -104,7 +126,7 @@ def pieces(documents: DataFrame, vocabulary: str, ranks: str, pattern: str, capa
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "chunk", "nth"]
     kind = documents.schema["doc_id"].dataType.simpleString()
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInPandas(
+    return in_small_batches(texts).mapInPandas(
         run, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, chunk int, nth bigint"
     )
 
