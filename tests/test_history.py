@@ -1,28 +1,30 @@
 from __future__ import annotations
 
 import random
+from functools import partial
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests import feeds
-from tidemark.operators.scd import IS_DELETE
+from tidemark.operators.scd import IS_DELETE, event_intervals, scd1_events
+from tidemark.operators.skew import hot_keys
 from tidemark.sources.storage import partition_values
 from tidemark.sources.streams import stream_path
 from tidemark.streaming import history
-from tidemark.streaming.ledger import append_changes
+from tidemark.streaming.ledger import append_changes, buckets_for, forget_batches, is_dealt, read_batches
 from tidemark.streaming.triggered import finish
 
 TIES = ("n",)
 
 
-def land(spark, folder, events, number):
+def land(spark, folder, events, number, **dealt):
     """Give the stream a further file and let it run."""
     feeds.frame(spark, events).coalesce(1).write.parquet(f"{folder}/landing/part={number}")
     schema = f"{feeds.SCHEMA}, part int"
     stream = stream_path(spark, f"{folder}/landing", spark.createDataFrame([], schema).schema)
-    return finish(append_changes(stream.drop("part"), f"{folder}/ledger", f"{folder}/checkpoint"))
+    return finish(append_changes(stream.drop("part"), f"{folder}/ledger", f"{folder}/checkpoint", **dealt))
 
 
 def parts_of(events, order):
@@ -323,3 +325,85 @@ def test_a_fill_that_broke_off_is_made_again(spark, folder, monkeypatch):
     monkeypatch.undo()
     assert refresh(spark, folder, "scd2")
     assert feeds.as_scd2(history.read_scd2(spark, table, ["k"])) == feeds.expected_scd2(events)
+
+
+def keyless(events, every=7):
+    """Events, some of them without a key."""
+    return [(None if number % every == 0 else e[0], *e[1:]) for number, e in enumerate(events)]
+
+
+@pytest.mark.parametrize("entry", ["kept", "lost"])
+@pytest.mark.parametrize("hot_rows", [30, 1000])
+def test_dealt_batches_give_the_same_tables(spark, folder, monkeypatch, entry, hot_rows):
+    monkeypatch.setattr(history, "hot_keys", partial(hot_keys, hot_rows=hot_rows))
+    ledger, before = f"{folder}/ledger", spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    seen = []
+    for number, part in enumerate(parts_of(keyless(feeds.random_events(29, count=240, minutes=2000)), "mixed")):
+        land(spark, folder, part, number, keys=["k"], buckets=3)
+        seen += part
+        assert is_dealt(spark, ledger, [number])
+        assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+        if entry == "lost":
+            forget_batches(spark, ledger, [number])
+        rows = feeds.frame(spark, seen)
+        assert history.refresh_scd2(spark, ledger, f"{folder}/two", ["k"], tie_break=TIES, hot_rows=hot_rows)
+        assert not is_dealt(spark, ledger, [number])
+        history.create_scd1(spark, f"{folder}/one", rows.schema, ["k"])
+        assert history.refresh_scd1(spark, ledger, f"{folder}/one", ["k"], tie_break=TIES)
+        assert feeds.as_scd2(history.read_scd2(spark, f"{folder}/two", ["k"])) == feeds.expected_scd2(seen)
+        assert feeds.as_scd1(history.read_scd1(spark, f"{folder}/one")) == feeds.expected_scd1(seen)
+
+
+@pytest.mark.parametrize("hot_rows", [30, 1000])
+def test_a_dealt_batch_fills_created_tables(spark, folder, monkeypatch, hot_rows):
+    monkeypatch.setattr(history, "hot_keys", partial(hot_keys, hot_rows=hot_rows))
+    events = keyless(feeds.random_events(31, count=240, minutes=2000))
+    schema = feeds.frame(spark, events).schema
+    for number, kind in enumerate(("two", "one")):
+        place = f"{folder}/{kind}-place"
+        land(spark, place, events, number, keys=["k"], buckets=3)
+        create = history.create_scd2 if kind == "two" else history.create_scd1
+        create(spark, f"{folder}/{kind}", schema, ["k"])
+        assert is_dealt(spark, f"{place}/ledger", [0])
+        if kind == "two":
+            assert history.refresh_scd2(spark, f"{place}/ledger", f"{folder}/two", ["k"], tie_break=TIES, hot_rows=hot_rows)
+        else:
+            assert history.refresh_scd1(spark, f"{place}/ledger", f"{folder}/one", ["k"], tie_break=TIES)
+        assert not is_dealt(spark, f"{place}/ledger", [0])
+    assert feeds.as_scd2(history.read_scd2(spark, f"{folder}/two", ["k"])) == feeds.expected_scd2(events)
+    assert feeds.as_scd1(history.read_scd1(spark, f"{folder}/one")) == feeds.expected_scd1(events)
+
+
+def test_a_dealt_batch_is_not_shuffled(spark, folder):
+    """Neither by the history of its keys nor by their last events; a batch that was not dealt is, by both."""
+    def exchanges(ledger):
+        new = read_batches(spark, ledger, [0])
+        dealt = is_dealt(spark, ledger, [0])
+        made = event_intervals(new, ["k"], tie_break=TIES, hot_rows=None, dealt=dealt), scd1_events(new, ["k"], tie_break=TIES)
+        return ["Exchange" in rows._jdf.queryExecution().executedPlan().toString() for rows in made]
+
+    events = feeds.random_events(37, count=80)
+    land(spark, f"{folder}/dealt", events, 0, keys=["k"], buckets=3)
+    land(spark, f"{folder}/plain", events, 0)
+    assert exchanges(f"{folder}/dealt/ledger") == [False, False]
+    assert exchanges(f"{folder}/plain/ledger") == [True, True]
+
+
+def test_few_events_are_not_dealt(spark, folder):
+    assert [buckets_for(spark, n) > 0 for n in (0, 999_999, 1_000_000)] == [False, False, True]
+    assert buckets_for(spark, 10**12) == 256
+    land(spark, folder, feeds.random_events(41, count=20), 0, keys=["k"], buckets=buckets_for(spark, 20))
+    assert not is_dealt(spark, f"{folder}/ledger", [0])
+
+
+def test_last_events_go_to_few_buckets_without_another_shuffle(spark, folder, monkeypatch):
+    """The tasks that found them write them; only very many buckets are dealt out anew."""
+    hints = []
+    hint = type(spark.range(1)).hint
+    monkeypatch.setattr(type(spark.range(1)), "hint", lambda rows, name, *more: hints.append(name) or hint(rows, name, *more))
+    land(spark, folder, feeds.random_events(43, count=80), 0)
+    for buckets in (8, 9):
+        history.refresh_scd1(spark, f"{folder}/ledger", f"{folder}/one-{buckets}", ["k"], tie_break=TIES, buckets=buckets)
+    assert hints == ["rebalance"]
+    one, other = (history.read_scd1(spark, f"{folder}/one-{buckets}") for buckets in (8, 9))
+    assert feeds.as_scd1(one) == feeds.as_scd1(other) != set()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tests.feeds import at
 from tidemark import names as N
 from tidemark import session
-from tidemark.operators import ingest
+from tidemark.operators import ingest, skew
 from tidemark.plans import pipeline
 from tidemark.session import work_folder
 from tidemark.sources import changelog, feeds
@@ -125,6 +125,27 @@ def test_commits_written_without_a_shuffle(spark, folder):
     assert kept[0] == kept[1] and len(kept[0]) == 300
 
 
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_snapshot_of_one_commit_shuffles_rows_of_repeated_keys_only(spark, folder, monkeypatch, most):
+    """Keys with one row, with several, with a delete, with none; also where too many repeat to be told apart."""
+    monkeypatch.setattr(skew, "BROADCAST_KEYS", most)
+    rows = [(k, v, "insert") for k, v in ((1, 1), (2, 2), (2, 2), (None, 4), (None, 4), (5, 5))]
+    rows += [(6, 6, "delete"), (7, 7, "delete"), (7, 8, "insert"), (8, 8, "update_preimage"), (9, 9, "update_postimage"), (10, 1, None)]
+    changes = spark.createDataFrame(rows, "k long, v long, _change_type string").withColumns(
+        {"_commit_version": F.lit(0).cast("long"), "_commit_timestamp": F.lit("2024-01-01").cast("timestamp")}
+    )
+    history = spark.sql("SELECT 0L AS version, timestamp'2024-01-01' AS timestamp, 'WRITE' AS operation, '' AS properties")
+    changelog.write_commits(changes, history, folder)
+    seen = []
+    whole = changelog.snapshot_rows
+    monkeypatch.setattr(changelog, "snapshot_rows", lambda log, *more: seen.append(log.count()) or whole(log, *more))
+    found = ChangeLog(spark, folder, ("k",)).snapshot(0)
+    assert found.columns == ["k", "v"]
+    expected = [(1, 1), (2, 2), (5, 5), (7, 8), (9, 9), (None, 4)]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+    assert seen == [6 if most else 12]
+
+
 def test_feed_read_under_a_given_schema(spark, log):
     schema = log.feed().schema
     known = ChangeLog(spark, log.path, ("id",), schema=schema)

@@ -10,8 +10,9 @@ from tidemark.plans import pipeline
 from tidemark.plans.gold import dim_supplier
 from tidemark.plans.silver import ENTITIES
 from tidemark.sources import changelog
-from tidemark.streaming import history
+from tidemark.streaming import history, ledger
 from workloads import inputs as I
+from workloads import queries as Q
 from workloads.queries import configured_feeds, entity_of
 
 SF = "/root/testdata/sf0.001"
@@ -75,6 +76,24 @@ def test_two_runs_of_all_layers(spark, folder):
     assert len(counts) == 30
 
 
+def test_layers_are_the_same_whether_events_are_dealt_by_key_or_shuffled(spark, monkeypatch):
+    """Two loads of every feed; all events dealt over buckets while the ledgers are written, or none."""
+    found, dealt = [], []
+    read = ledger.read_batches
+    monkeypatch.setattr(history, "read_batches", lambda *given, **more: dealt.append(ledger.is_dealt(*given[:3])) or read(*given, **more))
+    for least in (1, 10**9):
+        monkeypatch.setattr(ledger, "BUCKET_EVENTS", least)
+        monkeypatch.setattr(Q, "_STORED", {})
+        layout, feeds = Q.finished_pipeline(spark, SF)
+        tables = [pipeline.layer_counts(spark, layout, feeds), pipeline.read_fact(spark, layout.table("gold", "fact_order"))]
+        for name, entity in ENTITIES.items():
+            place = layout.table("silver", name)
+            tables.append(history.read_scd1(spark, place) if entity.scd_type == 1 else history.read_scd2(spark, place, entity.keys))
+        found.append([sorted(map(str, rows.collect())) for rows in tables])
+    assert found[0] == found[1] and all(found[0])
+    assert dealt == [True] * 9 + [False] * 9
+
+
 def test_source_without_rows_leaves_the_unknown_member(spark, folder):
     layout = pipeline.Layout(folder)
     for name in ("supplier", "nation", "region"):
